@@ -1,0 +1,101 @@
+"""Joins that keep working when one key holds a third of all rows.
+
+Hot keys are found by ``freqItems``: one pass, map-side sketches, and never more than
+``1 / HOT_SHARE`` keys, which is the proven bound that makes broadcasting them safe. A wrongly
+reported key costs a little time and never changes a result. Frames that Spark estimates to be
+smaller than ``GUARD_BYTES`` cannot hold a dangerous group and are joined plainly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_SHARE = 1 / 1000
+GUARD_BYTES = 256 * 1024 * 1024
+GROWTH = 100
+SPREAD = "_spread"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of the optimised plan, which multiplies up at every join, but no
+    more than ``GROWTH`` times what the plan reads."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return min(int(plan.stats().sizeInBytes()), GROWTH * read)
+
+
+def may_be_skewed(df: DataFrame) -> bool:
+    return estimated_bytes(df) >= GUARD_BYTES
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that may hold more than ``HOT_SHARE`` of the rows, at most ``1 / HOT_SHARE`` of them."""
+    items = df.where(F.col(key).isNotNull()).stat.freqItems([key], HOT_SHARE)
+    return items.select(F.explode(f"{key}_freqItems").alias(key)).distinct()
+
+
+def with_spread(df: DataFrame) -> DataFrame:
+    """Number the rows of a stored frame so that equal rows can be told apart for salting.
+
+    Only valid right above a scan or checkpoint, where a retried task sees the same rows in the
+    same order and so hands out the same numbers again.
+    """
+    return df.withColumn(SPREAD, F.monotonically_increasing_id())
+
+
+def lookup_join(many: DataFrame, one: DataFrame, key: str, how: str = "left",
+                skewed: bool | None = None) -> DataFrame:
+    """Join ``many`` with ``one``, whose ``key`` is unique. ``how`` is left or inner.
+
+    Rows of hot or NULL keys are never shuffled: they meet the few matching rows of ``one`` by
+    broadcast. All other rows take an ordinary join. ``skewed`` overrides the size guard when the
+    caller knows the size better than the optimiser.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(how)
+    if not (may_be_skewed(many) if skewed is None else skewed):
+        return many.join(one, key, how)
+    hot = F.broadcast(hot_keys(many, key).withColumn("_hot", F.lit(True)))
+    marked = many.join(hot, key, "left")
+    apart = F.col("_hot").isNotNull() | F.col(key).isNull()
+    usual = marked.where(~apart).drop("_hot").join(one, key, how)
+    few = F.broadcast(one.join(hot.drop("_hot"), key, "left_semi"))
+    return usual.unionByName(marked.where(apart).drop("_hot").join(few, key, how))
+
+
+def fanout_join(left: DataFrame, right: DataFrame, key: str, salts: int | None = None) -> DataFrame:
+    """Inner join in which the key may repeat, and be hot, on both sides.
+
+    Rows of a key that is hot on one side are dealt out over ``salts`` parts there and copied to
+    all of these parts on the other side, so every pair still meets exactly once. A ``SPREAD``
+    column on an input decides the part; without one the row content does.
+    """
+    hot_left, hot_right = may_be_skewed(left), may_be_skewed(right)
+    if not (hot_left or hot_right):
+        return left.drop(SPREAD).join(right.drop(SPREAD), key)
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def tagged(df: DataFrame, mine: str, other: str) -> DataFrame:
+        spread = F.col(SPREAD) if SPREAD in df.columns else F.xxhash64(*df.columns)
+        for keys, tag in ((left_keys, "_hot_left"), (right_keys, "_hot_right")):
+            if keys is None:
+                df = df.withColumn(tag, F.lit(None).cast("boolean"))
+            else:
+                df = df.join(F.broadcast(keys.withColumn(tag, F.lit(True))), key, "left")
+        part = F.when(F.col(f"_hot_{mine}"), F.pmod(spread, F.lit(salts))).otherwise(0)
+        copies = F.when(
+            F.col(f"_hot_{other}"), F.sequence(F.lit(0), F.lit(salts - 1))
+        ).otherwise(F.array(F.lit(0)))
+        return (
+            df.withColumn(f"_part_{mine}", part.cast("int"))
+            .withColumn(f"_part_{other}", F.explode(copies))
+            .drop(SPREAD, "_hot_left", "_hot_right")
+        )
+
+    left_keys = hot_keys(left, key) if hot_left else None
+    right_keys = hot_keys(right, key) if hot_right else None
+    parts = ["_part_left", "_part_right"]
+    joined = tagged(left, "left", "right").join(tagged(right, "right", "left"), [key, *parts])
+    return joined.drop(*parts)
