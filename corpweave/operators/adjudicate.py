@@ -163,17 +163,24 @@ def adjudicated_edges(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def shared_word_scorer(request: str) -> str:
-    """Offline stand-in for the service: the share of words two names have in common."""
-    results = []
-    for pair in json.loads(request)["pairs"]:
-        left = set((pair["left_company_name"] or "").split())
-        right = set((pair["right_company_name"] or "").split())
-        share = len(left & right) / len(left | right) if left | right else 0.0
-        results.append({
-            "left_id": pair["left_id"],
-            "right_id": pair["right_id"],
-            "match": share >= 0.5,
-            "match_confidence": share,
-        })
-    return json.dumps({"results": results})
+def letter_pair_scorer(least: float = 0.85) -> Callable[[str], str]:
+    """Offline stand-in for the service: the share of two-letter sequences two names have in
+    common, a match from ``least`` on."""
+
+    def letter_pairs(name: str | None) -> set[str]:
+        name = name or ""
+        return {name[i:i + 2] for i in range(len(name) - 1)}
+
+    def scorer(request: str) -> str:
+        results = []
+        for pair in json.loads(request)["pairs"]:
+            left = letter_pairs(pair["left_company_name"])
+            right = letter_pairs(pair["right_company_name"])
+            share = len(left & right) / len(left | right) if left | right else 0.0
+            results.append({
+                "left_id": pair["left_id"], "right_id": pair["right_id"],
+                "match": share >= least, "match_confidence": share,
+            })
+        return json.dumps({"results": results})
+
+    return scorer

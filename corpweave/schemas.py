@@ -2,63 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-BRONZE_TECH = StructType.fromDDL(
-    "ranking INT, company STRING, market_cap STRING, stock STRING, country STRING, "
-    "sector STRING, industry STRING"
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DateType, DoubleType, IntegerType, LongType, StringType,
+    StructField, StructType, TimestampType,
 )
 
-BRONZE_COMPANIES = StructType.fromDDL(
-    "name STRING, domain STRING, year_founded DOUBLE, industry STRING, size_range STRING, "
-    "locality STRING, country STRING, linkedin_url STRING, current_employee_estimate BIGINT, "
-    "total_employee_estimate BIGINT"
-)
+TEXT, WHOLE, COUNT, NUMBER = StringType(), IntegerType(), LongType(), DoubleType()
+FLAG, DAY, TIME = BooleanType(), DateType(), TimestampType()
 
-SILVER_TECH = StructType.fromDDL(
-    "record_id STRING, source_system STRING, company STRING, company_name_normalised STRING, "
-    "industry_std STRING, country_std STRING, market_cap_usd DOUBLE, estimated_revenue DOUBLE, "
-    "processing_ts TIMESTAMP"
-)
 
-SILVER_COMPANIES = StructType.fromDDL(
-    "record_id STRING, source_system STRING, company STRING, company_name_normalised STRING, "
-    "domain STRING, industry_std STRING, country_std STRING, year_founded DOUBLE, "
-    "current_employee_estimate BIGINT, total_employee_estimate BIGINT, processing_ts TIMESTAMP"
-)
+def columns(*groups: tuple[str, DataType]) -> StructType:
+    """Each group is a space-separated list of column names and their common type."""
+    return StructType([StructField(n, kind) for names, kind in groups for n in names.split()])
 
-MATCHES = StructType.fromDDL(
-    "left_source_system STRING, right_source_system STRING, left_id STRING, right_id STRING, "
-    "name_distance INT, match_confidence DOUBLE, match_type STRING"
-)
 
+BRONZE_TECH = columns(
+    ("ranking", WHOLE), ("company market_cap stock country sector industry", TEXT)
+)
 
-def _prefixed(schema: StructType, prefix: str) -> str:
-    return ", ".join(f"{prefix}{f.name} {f.dataType.simpleString()}" for f in schema)
+BRONZE_COMPANIES = columns(
+    ("name domain", TEXT), ("year_founded", NUMBER),
+    ("industry size_range locality country linkedin_url", TEXT),
+    ("current_employee_estimate total_employee_estimate", COUNT),
+)
 
+SILVER_TECH = columns(
+    ("record_id source_system company company_name_normalised industry_std country_std", TEXT),
+    ("market_cap_usd estimated_revenue", NUMBER),
+    ("processing_ts", TIME),
+)
 
-GOLDEN = StructType.fromDDL(
-    f"corporate_id STRING, {_prefixed(SILVER_TECH, 'tech_')}, "
-    f"{_prefixed(SILVER_COMPANIES, 'reg_')}, processing_ts TIMESTAMP"
+SILVER_COMPANIES = columns(
+    ("record_id source_system company company_name_normalised domain industry_std country_std",
+     TEXT),
+    ("year_founded", NUMBER),
+    ("current_employee_estimate total_employee_estimate", COUNT),
+    ("processing_ts", TIME),
 )
 
-PAIR_REQUEST = StructType.fromDDL(
-    "left_id STRING, right_id STRING, left_company_name STRING, right_company_name STRING"
+MATCHES = columns(
+    ("left_source_system right_source_system left_id right_id", TEXT),
+    ("name_distance", WHOLE), ("match_confidence", NUMBER), ("match_type", TEXT),
 )
 
-VERDICT = StructType.fromDDL(
-    "left_id STRING, right_id STRING, match BOOLEAN, match_confidence DOUBLE"
+GOLDEN = StructType(
+    [StructField("corporate_id", TEXT)]
+    + [StructField("tech_" + field.name, field.dataType) for field in SILVER_TECH]
+    + [StructField("reg_" + field.name, field.dataType) for field in SILVER_COMPANIES]
+    + [StructField("processing_ts", TIME)]
 )
 
-NEWS_DOCUMENT = StructType.fromDDL(
-    "corporate_id STRING, company STRING, `current_date` STRING, "
-    "items ARRAY<STRUCT<date: STRING, title: STRING, url: STRING, corporate_id: STRING>>"
+PAIR_REQUEST = columns(("left_id right_id left_company_name right_company_name", TEXT))
+
+VERDICT = columns(("left_id right_id", TEXT), ("match", FLAG), ("match_confidence", NUMBER))
+
+NEWS_DOCUMENT = columns(
+    ("corporate_id company current_date", TEXT),
+    ("items", ArrayType(columns(("date title url corporate_id", TEXT)))),
 )
 
-NEWS_ITEM = StructType.fromDDL(
-    "corporate_id STRING, company STRING, `current_date` DATE, date DATE, title STRING, url STRING"
+NEWS_ITEM = columns(
+    ("corporate_id company", TEXT), ("current_date date", DAY), ("title url", TEXT)
 )
 
-RUN_REPORT = StructType.fromDDL(
-    "model STRING, train_rows BIGINT, test_rows BIGINT, metrics STRUCT<mae: DOUBLE>"
+RUN_REPORT = columns(
+    ("model", TEXT), ("train_rows test_rows", COUNT), ("metrics", columns(("mae", NUMBER)))
 )
