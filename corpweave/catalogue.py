@@ -6,7 +6,6 @@ names of a block, entities by a transitive closure over record pairs.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -250,10 +249,10 @@ SELECT ranking, market_cap, {_amount_sql('trim(lower(market_cap))')} AS market_c
             THEN {_amount_sql('trim(lower(market_cap))')} END AS strict_usd
 FROM bronze_tech""")
 def market_cap_usd(spark, folder):
-    cap = text.tidy(F.col("market_cap"))
-    return sample.bronze_tech(spark, folder).select(
-        "ranking", "market_cap", text.amount_usd(cap).alias("market_cap_usd"),
-        text.amount_usd(cap, strict=True).alias("strict_usd"),
+    cap = text.tidy("market_cap")
+    return sample.bronze_tech(spark, folder).selectExpr(
+        "ranking", "market_cap", f"{text.amount_usd(cap)} AS market_cap_usd",
+        f"{text.amount_usd(cap, strict=True)} AS strict_usd",
     )
 
 
@@ -271,13 +270,13 @@ def normalised_names(spark, folder):
     customer = sample.table(spark, folder, "customer").select(F.col("c_name").alias("name"))
     supplier = sample.table(spark, folder, "supplier").select(F.col("s_name").alias("name"))
     names = part.unionByName(customer).unionByName(supplier)
-    return names.withColumn("company_name_normalised", text.company_key(F.col("name")))
+    return names.selectExpr("name", f"{text.company_key('name')} AS company_name_normalised")
 
 
 @query(f"SELECT doc_id, {_key_sql('text')} AS words FROM documents")
 def normalised_texts(spark, folder):
-    return sample.table(spark, folder, "documents").select(
-        "doc_id", text.company_key(F.col("text")).alias("words")
+    return sample.table(spark, folder, "documents").selectExpr(
+        "doc_id", f"{text.company_key('text')} AS words"
     )
 
 
@@ -372,11 +371,11 @@ WHERE levenshtein(l.n, r.n) <= 1"""
 @query(_NUMBERED_SQL)
 def one_block_name_pairs(spark, folder):
     """All names fall into one block and differ in a digit or two: the worst case of blocking."""
-    customers = sample.table(spark, folder, "customer").select(
-        text.company_key(F.col("c_name")).alias("name")
+    customers = sample.table(spark, folder, "customer").selectExpr(
+        f"{text.company_key('c_name')} AS name"
     )
-    buyers = sample.table(spark, folder, "orders").select(
-        F.concat(F.lit("customer "), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("name")
+    buyers = sample.table(spark, folder, "orders").selectExpr(
+        "concat('customer ', lpad(string(o_custkey), 9, '0')) AS name"
     )
     return matching.name_pairs(customers.distinct(), buyers.distinct(), 1)
 
@@ -593,34 +592,25 @@ def model_mae(spark, folder):
 
 # --- Adjudication ------------------------------------------------------------------------------
 
-def _json_pair(key, suffix: str, left, right):
-    return F.concat(
-        F.lit('{"left_id":"L'), key, F.lit(suffix + '","right_id":"R'), key,
-        F.lit(suffix + '","left_company_name":"'), left, F.lit('","right_company_name":"'), right,
-        F.lit('"}'),
-    )
-
-
 def _pair_requests(spark, folder):
     """One request line per customer, in every shape requests come in."""
-    key = F.col("c_custkey").cast("string")
-    pair = _json_pair(key, "", F.col("c_name"), F.col("c_mktsegment"))
-    inner = _json_pair(key, "x", F.col("c_name"), F.col("c_mktsegment"))
-    shape = F.col("c_custkey") % 6
-    line = (
-        F.when(shape == 0, F.concat(F.lit("["), pair, F.lit(",17]")))
-        .when(shape == 1, F.concat(F.lit('{"pairs":['), pair, F.lit(',{"left_id":"L'), key,
-                                   F.lit('b","right_id":"R'), key, F.lit('b"}]}')))
-        .when(shape == 2, F.concat(
-            F.lit('{"body":"{\\"pairs\\":['), F.replace(pair, F.lit('"'), F.lit('\\"')),
-            F.lit(']}"}')))
-        .when(shape == 3, F.concat(F.lit("["), F.substr(pair, F.lit(1), F.lit(20))))
-        .when(shape == 4, F.concat(F.lit('{"body":{"pairs":['), inner, F.lit(']},"pairs":['),
-                                   pair, F.lit("]}")))
-        .otherwise(F.concat(F.lit('{"body":"  ","pairs":[{"left_id":'), key,
-                            F.lit(',"left_company_name":null}]}')))
-    )
-    return sample.table(spark, folder, "customer").select("c_custkey", line.alias("value"))
+    def pair(suffix: str) -> str:
+        return (
+            f"""concat('{{"left_id":"L', c_custkey, '{suffix}","right_id":"R', c_custkey,
+            '{suffix}","left_company_name":"', c_name, '","right_company_name":"', c_mktsegment,
+            '"}}')"""
+        )
+
+    line = f"""CASE c_custkey % 6
+      WHEN 0 THEN concat('[', {pair('')}, ',17]')
+      WHEN 1 THEN concat('{{"pairs":[', {pair('')}, ',{{"left_id":"L', c_custkey,
+                         'b","right_id":"R', c_custkey, 'b"}}]}}')
+      WHEN 2 THEN concat(r'{{"body":"{{\\"pairs\\":[', replace({pair('')}, '"', r'\\"'), ']}}"}}')
+      WHEN 3 THEN concat('[', left({pair('')}, 20))
+      WHEN 4 THEN concat('{{"body":{{"pairs":[', {pair('x')}, ']}},"pairs":[', {pair('')}, ']}}')
+      ELSE concat('{{"body":"  ","pairs":[{{"left_id":', c_custkey, ',"left_company_name":null}}]}}')
+      END AS value"""
+    return sample.table(spark, folder, "customer").selectExpr("c_custkey", line)
 
 
 _PAIRS_SQL = """
@@ -646,14 +636,11 @@ FROM asked LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 4 IN (0,
   ON left_id = 'L' || r.c_custkey AND right_id = 'R' || r.c_custkey""")
 def default_verdicts(spark, folder):
     """Of four answers two are usable, one is out of range and one cannot be read."""
-    key, kind = F.col("c_custkey"), F.col("c_custkey") % 4
-    score = F.when(kind == 2, F.lit(1.5)).otherwise((key % 101) / 100.0)
-    answer = F.concat(
-        F.lit('{"results":[{"left_id":"L'), key, F.lit('","right_id":"R'), key,
-        F.lit('","match":'), (key % 2 == 0).cast("string"), F.lit(',"match_confidence":'),
-        score.cast("string"), F.when(kind == 3, F.lit("}]")).otherwise(F.lit("}]}")),
-    )
-    responses = sample.table(spark, folder, "customer").select(answer.alias("response"))
+    answer = """concat('{"results":[{"left_id":"L', c_custkey, '","right_id":"R', c_custkey,
+      '","match":', c_custkey % 2 = 0, ',"match_confidence":',
+      IF(c_custkey % 4 = 2, 1.5D, (c_custkey % 101) / 100D),
+      IF(c_custkey % 4 = 3, '}]', '}]}')) AS response"""
+    responses = sample.table(spark, folder, "customer").selectExpr(answer)
     pairs = adjudicate.read_pairs(_pair_requests(spark, folder))
     return adjudicate.complete_verdicts(pairs, adjudicate.read_verdicts(responses))
 
@@ -695,26 +682,24 @@ def adjudicated_edges(spark, folder):
 
 def _news_requests(spark, folder):
     """One request event per row of the events table, in every shape and with every defect."""
-    shape, key = F.col("event_id") % 8, F.col("user_id").cast("string")
-    day = F.date_format("ts", "yyyy-MM-dd")
-    full = F.concat(F.lit('{"corporate_id":"C-'), key, F.lit('","company":" '), F.col("event_type"),
-                    F.lit(' ","current_date":"'), day, F.lit('"}'))
-    line = (
-        F.when(shape == 0, full)
-        .when(shape == 1, F.concat(F.lit('{"body":"'), F.replace(full, F.lit('"'), F.lit('\\"')),
-                                   F.lit('"}')))
-        .when(shape == 2, F.concat(F.lit('{"body":'), full, F.lit("}")))
-        .when(shape == 3, F.concat(F.lit('{"company":"x","current_date":"'), day, F.lit('"}')))
-        .when(shape == 4, F.concat(F.lit('{"corporate_id":"C-'), key,
-                                   F.lit('","company":null,"current_date":"2024-01-05"}')))
-        .when(shape == 5, F.concat(F.lit('{"corporate_id":'), key,
-                                   F.lit(',"company":"x","current_date":"2024-02-30"}')))
-        .when(shape == 6, F.concat(
-            F.lit('{"body":"{","queryStringParameters":{"corporate_id":"C-'), key,
-            F.lit('","company":"q","current_date":"2024-1-5"}}')))
-        .otherwise(F.lit("{"))
+    day = "date_format(ts, 'yyyy-MM-dd')"
+    full = (
+        """concat('{"corporate_id":"C-', user_id, '","company":" ', event_type,"""
+        f"""' ","current_date":"', {day}, '"}}')"""
     )
-    return sample.table(spark, folder, "events").select("event_id", line.alias("value"))
+    line = f"""CASE event_id % 8
+      WHEN 0 THEN {full}
+      WHEN 1 THEN concat('{{"body":"', replace({full}, '"', r'\\"'), '"}}')
+      WHEN 2 THEN concat('{{"body":', {full}, '}}')
+      WHEN 3 THEN concat('{{"company":"x","current_date":"', {day}, '"}}')
+      WHEN 4 THEN concat('{{"corporate_id":"C-', user_id,
+                         '","company":null,"current_date":"2024-01-05"}}')
+      WHEN 5 THEN concat('{{"corporate_id":', user_id,
+                         ',"company":"x","current_date":"2024-02-30"}}')
+      WHEN 6 THEN concat('{{"body":"{{","queryStringParameters":{{"corporate_id":"C-', user_id,
+                         '","company":"q","current_date":"2024-1-5"}}}}')
+      ELSE '{{' END AS value"""
+    return sample.table(spark, folder, "events").selectExpr("event_id", line)
 
 
 @query(f"""
@@ -738,28 +723,21 @@ def news_requests(spark, folder):
 
 def _news_documents(spark, folder):
     """One result document per event, some of them defective in one way or another."""
-    kind, user = F.col("event_id") % 10, F.col("user_id").cast("string")
-    company_id = F.concat(F.lit('"C-'), user, F.lit('"'))
-    url = F.concat(F.lit('"https://news.example.com/'), F.col("event_type"), F.lit("/"),
-                   F.get_json_object("props", "$.k"), F.lit('"'))
-    head = F.concat(F.lit('{"date":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"'))
-    title = F.concat(F.lit(',"title":"'), F.col("event_type"), F.lit('"'))
-    tail = F.concat(F.lit(',"url":'), url, F.lit(',"corporate_id":'), company_id, F.lit("}"))
-    whole = F.concat(head, title, tail)
-    impossible = F.concat(F.lit('{"date":"2024-02-30"'), title, tail)
-    items = (
-        F.when(kind == 4, F.concat(head, tail))
-        .when(kind == 5, F.concat(head, title, F.lit(',"extra":1'), tail))
-        .when(kind == 6, F.lit(""))
-        .when(kind == 7, F.concat(whole, F.lit(","), impossible))
-        .otherwise(whole)
-    )
-    line = F.concat(
-        F.lit('{"corporate_id":'), company_id, F.lit(',"company":"Company '), user,
-        F.lit('","current_date":"2024-1-'), (F.col("user_id") % 20 + 1).cast("string"),
-        F.lit('","items":['), items, F.when(kind == 3, F.lit("]")).otherwise(F.lit("]}")),
-    )
-    return sample.table(spark, folder, "events").select(line.alias("value"))
+    head = """concat('{"date":"', date_format(ts, 'yyyy-MM-dd'), '"')"""
+    impossible = """'{"date":"2024-02-30"'"""
+    title = """concat(',"title":"', event_type, '"')"""
+    tail = """concat(',"url":"https://news.example.com/', event_type, '/',
+      get_json_object(props, '$.k'), '","corporate_id":"C-', user_id, '"}')"""
+    items = f"""CASE event_id % 10
+      WHEN 4 THEN concat({head}, {tail})
+      WHEN 5 THEN concat({head}, {title}, ',"extra":1', {tail})
+      WHEN 6 THEN ''
+      WHEN 7 THEN concat({head}, {title}, {tail}, ',', {impossible}, {title}, {tail})
+      ELSE concat({head}, {title}, {tail}) END"""
+    line = f"""concat('{{"corporate_id":"C-', user_id, '","company":"Company ', user_id,
+      '","current_date":"2024-1-', user_id % 20 + 1, '","items":[', {items},
+      IF(event_id % 10 = 3, ']', ']}}')) AS value"""
+    return sample.table(spark, folder, "events").selectExpr(line)
 
 
 _NEWS_SQL = """
@@ -818,7 +796,7 @@ def news_refused(spark, folder):
 @query(_with(_NEWS_SQL) + f"SELECT {_NEWS_CELLS} FROM newest")
 def news_stream_upsert(spark, folder):
     """The same items, arriving as files of a stream that is merged batch by batch."""
-    place = f"{lineage.shared_folder(spark)}/corpweave-news-{uuid.uuid4().hex}"
+    place = lineage.new_folder(spark)
     documents = _news_documents(spark, folder).repartition(4)
     documents.write.text(f"{place}/in")
     lines = news_stream.news_lines(spark, f"{place}/in", files_per_batch=2)

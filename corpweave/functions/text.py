@@ -1,94 +1,105 @@
-"""Column expressions on names, amounts and categories. All JVM-side, no Python UDF."""
+"""Spark SQL expressions on names, amounts and categories.
+
+Every function takes SQL text of its inputs (usually a column name) and returns SQL text, to be
+used with ``selectExpr`` or ``F.expr``. All of it runs inside the JVM; there is no Python UDF.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from corpweave import settings
 
 
-def tidy(text: Column) -> Column:
+def quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def listed(values: Iterable[str]) -> str:
+    return ", ".join(quoted(value) for value in values)
+
+
+def tidy(text: str) -> str:
     """Lower case, outer spaces removed (spaces only; tabs stay)."""
-    return F.trim(F.lower(text))
+    return f"trim(lower({text}))"
 
 
-def record_id(source: str, *parts: Column) -> Column:
+def record_id(source: str, *parts: str) -> str:
     """SHA-256 over the source tag and the tidied parts; a NULL part keeps its separator."""
-    cells = [tidy(F.coalesce(part, F.lit(""))) for part in parts]
-    return F.sha2(F.concat_ws("||", F.lit(source), *cells), 256)
+    cells = ", ".join(tidy(f"coalesce({part}, '')") for part in parts)
+    return f"sha2(concat_ws('||', {quoted(source)}, {cells}), 256)"
 
 
-def company_key(name: Column, legal_forms: Iterable[str] = settings.LEGAL_FORMS) -> Column:
+def company_key(name: str, legal_forms: Iterable[str] = settings.LEGAL_FORMS) -> str:
     """The name as compared: lower-case words without punctuation and legal forms.
 
     Words are maximal runs of letters, digits and underscores in any script, so a legal form
     goes wherever it stands as a whole word. NULL and legal-form-only names become ''.
     """
-    words = F.split(
-        F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), r"[^\p{L}\p{N}_]+", " "), " "
+    words = (
+        rf"split(regexp_replace(lower(coalesce({name}, '')), r'[^\p{{L}}\p{{N}}_]+', ' '), ' ')"
+    )
+    return (
+        f"array_join(filter({words}, word -> word NOT IN ({listed(['', *legal_forms])})), ' ')"
     )
-    dropped = ["", *legal_forms]
-    return F.array_join(F.filter(words, lambda word: ~word.isin(dropped)), " ")
 
 
-def name_block(key: Column, length: int = settings.BLOCK_LENGTH) -> Column:
+def name_block(key: str, length: int = settings.BLOCK_LENGTH) -> str:
     """Leading characters two names must share to be compared at all."""
-    return F.substring(key, 1, length)
+    return f"substring({key}, 1, {length})"
 
 
-def amount_usd(text: Column, strict: bool = False) -> Column:
+def amount_usd(text: str, strict: bool = False) -> str:
     """Amount text such as ``$1.31b`` as a double; expects lower case, unreadable text is NULL.
 
     Only digits and dots are read, so ``1.31e9`` counts as 1.319; ``strict`` turns such text
     into NULL instead.
     """
-    digits = F.regexp_replace(text, "[^0-9.]", "").try_cast("double")
-    scale = F.lit(1.0)
-    for suffix, factor in settings.MONEY_SCALES.items():
-        scale = F.when(F.endswith(text, F.lit(suffix)), F.lit(factor)).otherwise(scale)
-    amount = digits * scale
+    scales = " ".join(
+        f"WHEN endswith({text}, {quoted(suffix)}) THEN {factor!r}D"
+        for suffix, factor in settings.MONEY_SCALES.items()
+    )
+    digits = f"try_cast(regexp_replace({text}, '[^0-9.]', '') AS DOUBLE)"
+    amount = f"({digits} * CASE {scales} ELSE 1D END)"
     if strict:
-        amount = F.when(text.rlike(r"^\$?[0-9,.]+\s*[tbm]?$"), amount)
+        return f"CASE WHEN {text} RLIKE r'^\\$?[0-9,.]+\\s*[tbm]?$' THEN {amount} END"
     return amount
 
 
-def translated(value: Column, wording: Mapping[str, str] = settings.INDUSTRIES) -> Column:
+def translated(value: str, wording: Mapping[str, str] = settings.INDUSTRIES) -> str:
     """Exact lookup in a small fixed wording table, 'N/A' for anything else."""
-    table = F.create_map(*[F.lit(cell) for entry in wording.items() for cell in entry])
-    return F.coalesce(F.try_element_at(table, value), F.lit(settings.NOT_AVAILABLE))
+    cases = " ".join(f"WHEN {quoted(old)} THEN {quoted(new)}" for old, new in wording.items())
+    return f"CASE {value} {cases} ELSE {quoted(settings.NOT_AVAILABLE)} END"
 
 
-def known_or_na(value: Column, known: Iterable[str] = settings.COUNTRIES) -> Column:
+def known_or_na(value: str, known: Iterable[str] = settings.COUNTRIES) -> str:
     """The value itself when listed, 'N/A' for anything else."""
-    return F.when(value.isin(list(known)), value).otherwise(F.lit(settings.NOT_AVAILABLE))
+    return f"CASE WHEN {value} IN ({listed(known)}) THEN {value} ELSE 'N/A' END"
 
 
-def confidence(distance: Column, threshold: int) -> Column:
-    return F.lit(1.0) - distance / F.lit(threshold)
+def confidence(distance: str, threshold: int) -> str:
+    return f"(1D - {distance} / {threshold})"
 
 
-def deletion_variants(text: Column, depth: int) -> Column:
+def deletion_variants(text: str, depth: int) -> str:
     """The text and everything left of it after deleting up to ``depth`` characters.
 
     Two texts within edit distance ``depth`` always share a variant, and two that share one are
     within twice that, so the variants make complete and highly selective join keys.
     """
 
-    def shorter(word: Column) -> Column:
-        return F.when(
-            F.length(word) > 0,
-            F.transform(
-                F.sequence(F.lit(1), F.length(word)),
-                lambda at: F.concat(F.substr(word, F.lit(1), at - 1), F.substr(word, at + 1)),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-
-    found = F.array(text)
-    frontier = found
-    for _ in range(depth):
-        frontier = F.array_distinct(F.flatten(F.transform(frontier, shorter)))
-        found = F.concat(found, frontier)
+    def shorter(word: str, at: str) -> str:
+        return (
+            f"CASE WHEN length({word}) > 0 THEN transform(sequence(1, length({word})), {at} -> "
+            f"concat(substring({word}, 1, {at} - 1), substring({word}, {at} + 1))) "
+            "ELSE cast(array() AS array<string>) END"
+        )
+
+    found = frontier = f"array({text})"
+    for level in range(depth):
+        word, at = f"word{level}", f"at{level}"
+        frontier = (
+            f"array_distinct(flatten(transform({frontier}, {word} -> {shorter(word, at)})))"
+        )
+        found = f"concat({found}, {frontier})"
     return found

@@ -108,62 +108,52 @@ def name_labels(left: DataFrame, right: DataFrame, rule: MatchRule) -> tuple[Dat
     A record id must stand for one name within its source, which holds for content-derived ids.
     """
     reach = rule.reach()
-    left_names = matching.distinct_names(matching.usable_names(left, rule))
-    right_names = matching.distinct_names(matching.usable_names(right, rule))
+    left, right = matching.usable_names(left, rule), matching.usable_names(right, rule)
+    left_names = matching.distinct_names(left)
+    right_names = matching.distinct_names(matching.comparable(right, left, reach))
     right_end = "greatest_id" if rule.id_order else "least_id"
-    lefts = left_names.select("name", F.col("least_id").alias("left_end"))
-    rights = right_names.select("name", F.col(right_end).alias("right_end"))
-    if reach == 0:
-        pairs = lefts.join(rights, "name").select(
-            F.col("name").alias("left_name"), F.col("name").alias("right_name"),
-            "left_end", "right_end",
-        )
+    lefts = left_names.selectExpr("name AS left_name", "least_id AS left_end")
+    rights = right_names.selectExpr("name AS right_name", f"{right_end} AS right_end")
+    if reach:
+        found = matching.name_pairs(left_names, right_names, reach)
+        pairs = found.join(lefts, "left_name").join(rights, "right_name")
     else:
-        pairs = (
-            matching.name_pairs(left_names, right_names, reach)
-            .join(lefts.withColumnRenamed("name", "left_name"), "left_name")
-            .join(rights.withColumnRenamed("name", "right_name"), "right_name")
-        )
+        pairs = lefts.join(rights, F.col("left_name") == F.col("right_name"))
     if rule.id_order:
-        pairs = pairs.where(F.col("left_end") < F.col("right_end"))
-    if reach == 0:
-        component = F.least("left_end", "right_end")
-        labelled = pairs.withColumn("component", component)
+        pairs = pairs.where("left_end < right_end")
+    if reach is None:
+        pairs = pairs.where("false")
+    pairs = lineage.cut(pairs.select("left_name", "right_name", "left_end", "right_end"))
+    if reach:
+        ends = pairs.selectExpr("left_end AS src", "right_end AS dst")
+        found = components(ends).withColumnRenamed("id", "left_end")
+        pairs = pairs.join(found, "left_end")
     else:
-        pairs = lineage.cut(pairs)
-        found = components(
-            pairs.select(F.col("left_end").alias("src"), F.col("right_end").alias("dst"))
-        )
-        labelled = pairs.join(found.withColumnRenamed("id", "left_end"), "left_end")
-    left_labels = labelled.groupBy(F.col("left_name").alias("name")).agg(
-        F.min("component").alias("component"), F.max("right_end").alias("bound")
-    )
-    right_labels = labelled.groupBy(F.col("right_name").alias("name")).agg(
-        F.min("component").alias("component"), F.min("left_end").alias("bound")
-    )
-    return left_labels, right_labels
+        pairs = pairs.selectExpr("*", "least(left_end, right_end) AS component")
+
+    def labels(side: str, bound: str) -> DataFrame:
+        grouped = pairs.groupBy(F.col(side).alias("name"))
+        return grouped.agg(F.min("component").alias("component"), F.expr(f"{bound} AS bound"))
+
+    return labels("left_name", "max(right_end)"), labels("right_name", "min(left_end)")
 
 
 def link_by_name(left: DataFrame, right: DataFrame,
                  rule: MatchRule = MatchRule()) -> tuple[DataFrame, DataFrame]:
     """Both sources with ``corporate_id`` and ``linked`` (has at least one match) added."""
     left_labels, right_labels = name_labels(left, right, rule)
-    record = F.col("record_id")
 
-    def attach(df: DataFrame, labels: DataFrame, inside) -> DataFrame:
+    def attach(df: DataFrame, labels: DataFrame, inside: str) -> DataFrame:
         labels = labels.withColumnRenamed("name", matching.NAME)
         joined = skew.lookup_join(df, labels, matching.NAME)
-        linked = F.col("component").isNotNull()
-        if rule.id_order:
-            linked = linked & inside
-        linked = F.coalesce(linked, F.lit(False))
-        return joined.select(
-            *df.columns,
-            F.when(linked, F.col("component")).otherwise(record).alias("corporate_id"),
-            linked.alias("linked"),
+        linked = f"coalesce({inside if rule.id_order else 'component IS NOT NULL'}, false)"
+        return joined.selectExpr(
+            *[f"`{c}`" for c in df.columns],
+            f"IF({linked}, component, record_id) AS corporate_id",
+            f"{linked} AS linked",
         )
 
     return (
-        attach(left, left_labels, record < F.col("bound")),
-        attach(right, right_labels, record > F.col("bound")),
+        attach(left, left_labels, "record_id < bound"),
+        attach(right, right_labels, "record_id > bound"),
     )

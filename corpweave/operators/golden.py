@@ -22,7 +22,7 @@ def attach_corporate_id(records: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _prefixed(df: DataFrame, names: list[str], prefix: str) -> DataFrame:
     extra = [skew.SPREAD] if skew.SPREAD in df.columns else []
-    return df.select(KEY, *[F.col(name).alias(prefix + name) for name in names], *extra)
+    return df.selectExpr(KEY, *[f"{name} AS {prefix}{name}" for name in names], *extra)
 
 
 def _tech(df: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Cutting lineage so that an iterative plan survives the loss of executors."""
+"""Cutting lineage so that long plans survive the loss of executors."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,18 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a private one only for a local session without any."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="corpweave-")
-    return folder
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/corpweave-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and drop its lineage."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Store ``df`` in the shared folder and read it back.
+
+    Unlike a plain checkpoint the stored copy has a known size, which later joins are planned by.
+    """
+    folder = new_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

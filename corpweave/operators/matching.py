@@ -15,7 +15,7 @@ Keys are 64-bit hashes; a collision only adds a candidate, which the exact check
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.functions import text
@@ -27,14 +27,12 @@ NAME = "company_name_normalised"
 # A piece shared by more than this many (left, right) name pairs is left to the variants.
 CROWDED_PAIRS = 10_000
 
+# What follows the block. Names of one block differ only here.
+TAIL = f"substring(name, {BLOCK_LENGTH + 1})"
 
-def _tail() -> Column:
-    """What follows the block. Names of one block differ only here."""
-    return F.substr(F.col("name"), F.lit(BLOCK_LENGTH + 1))
 
-
-def _key(*cells: Column) -> Column:
-    return F.xxhash64(text.name_block(F.col("name")), *cells).alias("key")
+def _key(*cells: str) -> str:
+    return f"xxhash64({', '.join([text.name_block('name'), *cells])}) AS key"
 
 
 def usable_names(df: DataFrame, rule: MatchRule) -> DataFrame:
@@ -44,38 +42,48 @@ def usable_names(df: DataFrame, rule: MatchRule) -> DataFrame:
 def distinct_names(df: DataFrame) -> DataFrame:
     """One row per name with the number of its records and their least and greatest id."""
     return df.groupBy(F.col(NAME).alias("name")).agg(
-        F.count(F.lit(1)).alias("records"),
-        F.min("record_id").alias("least_id"),
-        F.max("record_id").alias("greatest_id"),
+        F.expr("count(1) AS records"),
+        F.expr("min(record_id) AS least_id"),
+        F.expr("max(record_id) AS greatest_id"),
     )
 
 
+def comparable(df: DataFrame, other: DataFrame, reach: int | None) -> DataFrame:
+    """The records of ``df`` that can have a partner in ``other`` at all, when that is cheap to
+    tell: if the names (or, with a reach, the blocks) of ``other`` are few enough to broadcast."""
+    test = NAME if not reach else text.name_block(NAME)
+    present = other.selectExpr(f"{test} AS _present").distinct()
+    if skew.estimated_bytes(present) > skew.broadcast_limit(df.sparkSession):
+        return df
+    present = F.broadcast(present)
+    return df.join(present, F.expr(test) == F.col("_present"), "left_semi")
+
+
 def _variant_keys(names: DataFrame, reach: int) -> DataFrame:
-    variants = F.explode(text.deletion_variants(_tail(), reach)).alias("variant")
-    return names.select("name", variants).select("name", _key(F.lit("variant"), F.col("variant")))
+    variants = names.selectExpr("name", f"explode({text.deletion_variants(TAIL, reach)}) AS variant")
+    return variants.selectExpr("name", _key("'variant'", "variant"))
+
+
+def _placed(pieces: DataFrame, length: str, reach: int) -> DataFrame:
+    """Adds ``width`` and ``start`` of each ``piece`` when a text of ``length`` is cut into
+    ``reach + 1`` pieces, the shorter ones first."""
+    count = reach + 1
+    longer = f"greatest(0, piece - {count} + {length} % {count})"
+    width = f"({length} div {count} + IF(piece >= {count} - {length} % {count}, 1, 0))"
+    return pieces.selectExpr(
+        "*", f"int({width}) AS width", f"int(piece * ({length} div {count}) + {longer}) AS start"
+    )
 
 
 def _left_pieces(names: DataFrame, reach: int) -> DataFrame:
-    """Every left tail cut into ``reach + 1`` pieces, the shorter ones first."""
-    pieces = reach + 1
-    size, longer = F.expr(f"length(tail) div {pieces}"), F.length("tail") % pieces
-    short = F.lit(pieces) - longer
-    return (
-        names.select("name", _tail().alias("tail"))
-        .select("name", "tail", F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("piece"))
-        .select(
-            "name",
-            "tail",
-            "piece",
-            (size + F.when(F.col("piece") >= short, 1).otherwise(0)).alias("width"),
-            (F.col("piece") * size + F.greatest(F.lit(0), F.col("piece") - short)).alias("start"),
-        )
-        .select(
-            "name",
-            (F.col("width") == 0).alias("empty"),
-            _key(F.length("tail"), F.col("piece"),
-                 F.substr(F.col("tail"), F.col("start") + 1, F.col("width"))),
-        )
+    """Every left tail cut into ``reach + 1`` pieces."""
+    pieces = names.selectExpr("name", f"{TAIL} AS tail").selectExpr(
+        "*", f"explode(sequence(0, {reach})) AS piece"
+    )
+    return _placed(pieces, "length(tail)", reach).selectExpr(
+        "name",
+        "width = 0 AS empty",
+        _key("length(tail)", "piece", "substring(tail, start + 1, width)"),
     )
 
 
@@ -85,38 +93,25 @@ def _right_pieces(names: DataFrame, reach: int) -> DataFrame:
     For a left tail ``extra`` characters shorter, a piece can only have moved as far as the
     edits before it and after it together allow.
     """
-    pieces = reach + 1
-    left_length = F.length("tail") - F.col("extra")
-    spread = (
-        names.select("name", _tail().alias("tail"))
-        .select("*", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("extra"))
-        .where(left_length >= 0)
-        .select("*", left_length.alias("left_length"),
-                F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("piece"))
+    lengths = (
+        names.selectExpr("name", f"{TAIL} AS tail")
+        .selectExpr("*", f"explode(sequence({-reach}, {reach})) AS extra")
+        .selectExpr("*", "length(tail) - extra AS left_length")
+        .where("left_length >= 0")
+        .selectExpr("*", f"explode(sequence(0, {reach})) AS piece")
     )
-    size, longer = F.expr(f"left_length div {pieces}"), F.col("left_length") % pieces
-    short = F.lit(pieces) - longer
-    placed = spread.select(
+    moves = _placed(lengths, "left_length", reach).selectExpr(
         "*",
-        (size + F.when(F.col("piece") >= short, 1).otherwise(0)).alias("width"),
-        (F.col("piece") * size + F.greatest(F.lit(0), F.col("piece") - short)).alias("start"),
-    )
-    first = F.greatest(
-        F.lit(0), F.col("start") - F.floor((F.lit(reach) - F.col("extra")) / 2).cast("long")
-    )
-    last = F.least(
-        F.length("tail") - F.col("width"),
-        F.col("start") + F.floor((F.lit(reach) + F.col("extra")) / 2).cast("long"),
+        f"int(greatest(0, start - floor(({reach} - extra) / 2))) AS first",
+        f"int(least(length(tail) - width, start + floor(({reach} + extra) / 2))) AS last",
     )
     return (
-        placed.select("*", first.alias("first"), last.alias("last"))
-        .where(F.col("first") <= F.col("last"))
-        .select("*", F.explode(F.sequence("first", "last")).alias("at"))
-        .select(
+        moves.where("first <= last")
+        .selectExpr("*", "explode(sequence(first, last)) AS at")
+        .selectExpr(
             "name",
-            (F.col("width") == 0).alias("empty"),
-            _key(F.col("left_length"), F.col("piece"),
-                 F.substr(F.col("tail"), F.col("at") + 1, F.col("width"))),
+            "width = 0 AS empty",
+            _key("left_length", "piece", "substring(tail, at + 1, width)"),
         )
     )
 
@@ -130,12 +125,10 @@ def _meet(left_keys: DataFrame, right_keys: DataFrame) -> DataFrame:
 def _piecewise(left: DataFrame, right: DataFrame, reach: int) -> DataFrame:
     left_keys, right_keys = _left_pieces(left, reach), _right_pieces(right, reach)
     load = (
-        left_keys.groupBy("key").agg(F.count(F.lit(1)).alias("lefts"), F.max("empty").alias("empty"))
-        .join(right_keys.groupBy("key").agg(F.count(F.lit(1)).alias("rights")), "key")
+        left_keys.groupBy("key").agg(F.expr("count(1) AS lefts"), F.expr("max(empty) AS empty"))
+        .join(right_keys.groupBy("key").agg(F.expr("count(1) AS rights")), "key")
     )
-    crowded = load.where(
-        F.col("empty") | (F.col("lefts") * F.col("rights") > CROWDED_PAIRS)
-    ).select("key")
+    crowded = load.where(f"empty OR lefts * rights > {CROWDED_PAIRS}").select("key")
 
     def crowded_names(keys: DataFrame) -> DataFrame:
         return keys.join(crowded, "key", "left_semi").select("name").distinct()
@@ -164,22 +157,20 @@ def name_pairs(left: DataFrame, right: DataFrame, reach: int | None) -> DataFram
         candidates = _meet(_variant_keys(left, reach), _variant_keys(right, reach))
     else:
         candidates = _piecewise(left, right, reach)
-    distance = F.levenshtein("left_name", "right_name", reach)
     return (
-        candidates.where(
-            text.name_block(F.col("left_name")) == text.name_block(F.col("right_name"))
+        candidates.where(f"{text.name_block('left_name')} = {text.name_block('right_name')}")
+        .selectExpr(
+            "left_name", "right_name",
+            f"levenshtein(left_name, right_name, {reach}) AS name_distance",
         )
-        .select("left_name", "right_name", distance.alias("name_distance"))
-        .where(F.col("name_distance") >= 0)
+        .where("name_distance >= 0")
         .distinct()
     )
 
 
 def _exact(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.join(right, "name").select(
-        F.col("name").alias("left_name"),
-        F.col("name").alias("right_name"),
-        F.lit(0).alias("name_distance"),
+    return left.join(right, "name").selectExpr(
+        "name AS left_name", "name AS right_name", "0 AS name_distance"
     )
 
 
@@ -190,46 +181,46 @@ def record_pairs(left: DataFrame, right: DataFrame, rule: MatchRule,
     Columns come out as ``left_*`` and ``right_*``, plus ``name_distance``.
     """
     kept = ["record_id", "source_system", *carried]
+    left, right = usable_names(left, rule), usable_names(right, rule)
+    right = comparable(right, left, reach)
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        df = skew.with_spread(usable_names(df, rule).select(NAME, *kept))
-        return df.select(
-            F.col(NAME).alias(f"{prefix}_name"),
-            *[F.col(c).alias(f"{prefix}_{c}") for c in kept],
+        return skew.with_spread(df.select(NAME, *kept)).selectExpr(
+            f"{NAME} AS {prefix}_name",
+            *[f"{c} AS {prefix}_{c}" for c in kept],
             skew.SPREAD,
         )
 
     lefts, rights = side(left, "left"), side(right, "right")
-    if reach is None or reach == 0:
+    if not reach:
         lefts = lefts.withColumnRenamed("left_name", "name")
         rights = rights.withColumnRenamed("right_name", "name")
-        pairs = skew.fanout_join(lefts, rights, "name").withColumn("name_distance", F.lit(0))
-        pairs = pairs if reach == 0 else pairs.where(F.lit(False))
-        pairs = pairs.drop("name")
+        pairs = skew.fanout_join(lefts, rights, "name").drop("name")
+        pairs = pairs.withColumn("name_distance", F.lit(0))
+        if reach is None:
+            pairs = pairs.where("false")
     else:
         found = name_pairs(
-            lefts.select(F.col("left_name").alias("name")).distinct(),
-            rights.select(F.col("right_name").alias("name")).distinct(),
+            left.selectExpr(f"{NAME} AS name").distinct(),
+            right.selectExpr(f"{NAME} AS name").distinct(),
             reach,
         )
         pairs = skew.fanout_join(lefts, found, "left_name")
         pairs = skew.fanout_join(pairs, rights, "right_name").drop("left_name", "right_name")
-    if rule.id_order:
-        pairs = pairs.where(F.col("left_record_id") < F.col("right_record_id"))
-    return pairs
+    return pairs.where("left_record_id < right_record_id") if rule.id_order else pairs
 
 
 def match_records(left: DataFrame, right: DataFrame, rule: MatchRule = MatchRule()) -> DataFrame:
     """The match table: every accepted record pair of the two sources."""
     pairs = record_pairs(left, right, rule, rule.reach())
-    return pairs.select(
+    return pairs.selectExpr(
         "left_source_system",
         "right_source_system",
-        F.col("left_record_id").alias("left_id"),
-        F.col("right_record_id").alias("right_id"),
+        "left_record_id AS left_id",
+        "right_record_id AS right_id",
         "name_distance",
-        text.confidence(F.col("name_distance"), rule.threshold).alias("match_confidence"),
-        F.lit("fuzzy").alias("match_type"),
+        f"{text.confidence('name_distance', rule.threshold)} AS match_confidence",
+        "'fuzzy' AS match_type",
     )
 
 
@@ -237,7 +228,7 @@ def ambiguous_pairs(left: DataFrame, right: DataFrame, rule: MatchRule = MatchRu
                     band: AmbiguityBand = AmbiguityBand(),
                     carried: tuple[str, ...] = ("company",)) -> DataFrame:
     """Record pairs whose confidence falls into the band that goes to adjudication."""
-    score = text.confidence(F.col("name_distance"), rule.threshold)
+    score = F.expr(text.confidence("name_distance", rule.threshold))
     pairs = record_pairs(left, right, rule, rule.reach(band.low), carried)
     return (
         pairs.withColumn("match_confidence", score)
@@ -251,14 +242,12 @@ def block_load(left: DataFrame, right: DataFrame) -> DataFrame:
     join would make. Computed from counts, without forming a pair."""
 
     def profile(df: DataFrame, side: str) -> DataFrame:
-        return (
-            distinct_names(df)
-            .groupBy(text.name_block(F.col("name")).alias("blocking_key"))
-            .agg(F.sum("records").alias(f"{side}_records"), F.count(F.lit(1)).alias(f"{side}_names"))
+        blocks = distinct_names(df).groupBy(F.expr(text.name_block("name")).alias("blocking_key"))
+        return blocks.agg(
+            F.expr(f"sum(records) AS {side}_records"), F.expr(f"count(1) AS {side}_names")
         )
 
     both = profile(left, "left").join(profile(right, "right"), "blocking_key", "full")
     counts = [c for c in both.columns if c != "blocking_key"]
-    filled = both.fillna(0, counts)
-    wide = F.col("left_records").cast("decimal(20,0)") * F.col("right_records")
-    return filled.withColumn("record_comparisons", wide.cast("decimal(38,0)").cast("string"))
+    product = "cast(left_records AS DECIMAL(19, 0)) * cast(right_records AS DECIMAL(19, 0))"
+    return both.fillna(0, counts).selectExpr("*", f"string({product}) AS record_comparisons")

@@ -19,10 +19,17 @@ MISSING_COMPANY = "Missing required parameter: company"
 BAD_DATE = "Missing or invalid required parameter: current_date (YYYY-MM-DD)"
 
 
-def _filled(value: Column) -> Column:
-    """A scalar variant as text; NULL for the values that count as not given."""
+def _as_python_text(value: Column) -> Column:
+    """A scalar variant the way ``str`` writes it; an explicit null counts as absent."""
     text = value.try_cast("string")
-    return F.when(~text.isin("", "0", "false"), text)
+    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+
+
+def _blank(value: Column) -> Column:
+    """Whether a query-string value may take the place of this one."""
+    text, kind = value.try_cast("string"), F.schema_of_variant(value)
+    nothing = (text == "") | ((kind != "STRING") & text.isin("0", "false"))
+    return F.coalesce(nothing, F.lit(True))
 
 
 def _stripped(text: Column) -> Column:
@@ -47,17 +54,15 @@ def read_requests(requests: DataFrame, column: str = "value") -> DataFrame:
     )
     query = member(event, "queryStringParameters")
     parsed = requests.select(*others, source.alias("_source"), query.alias("_query"))
-    return parsed.select(
-        *others,
-        *[
-            _stripped(F.coalesce(
-                _filled(member(F.col("_source"), field)),
-                _filled(member(F.col("_query"), field)),
-                F.lit(""),
-            )).alias(field)
-            for field in FIELDS
-        ],
-    )
+
+    def value(field: str) -> Column:
+        own, spare = member(F.col("_source"), field), member(F.col("_query"), field)
+        chosen = F.when(_blank(own) & ~_blank(spare), _as_python_text(spare)).otherwise(
+            _as_python_text(own)
+        )
+        return _stripped(F.coalesce(chosen, F.lit(""))).alias(field)
+
+    return parsed.select(*others, *[value(field) for field in FIELDS])
 
 
 def checked_requests(requests: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ smaller than ``GUARD_BYTES`` cannot hold a dangerous group and are joined plainl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1 / 1000
@@ -26,6 +26,16 @@ def estimated_bytes(df: DataFrame) -> int:
     return min(int(plan.stats().sizeInBytes()), GROWTH * read)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """The size up to which Spark itself would broadcast, in bytes; -1 when it never does."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    units = {"kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    for unit, factor in units.items():
+        if text.endswith(unit):
+            return int(text.removesuffix(unit)) * factor
+    return int(text.removesuffix("b"))
+
+
 def may_be_skewed(df: DataFrame) -> bool:
     return estimated_bytes(df) >= GUARD_BYTES
 

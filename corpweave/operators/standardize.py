@@ -18,9 +18,9 @@ def run_time(processing_ts: datetime | None) -> Column:
 
 def tidy_strings(df: DataFrame) -> DataFrame:
     """Lower-case and trim every string column, leave the others alone."""
-    return df.select(
+    return df.selectExpr(
         *[
-            text.tidy(F.col(f"`{name}`")).alias(name) if kind == "string" else F.col(f"`{name}`")
+            f"{text.tidy(f'`{name}`')} AS `{name}`" if kind == "string" else f"`{name}`"
             for name, kind in df.dtypes
         ]
     )
@@ -30,35 +30,33 @@ def tech_companies(bronze: DataFrame, processing_ts: datetime | None = None,
                    strict_amounts: bool = False) -> DataFrame:
     """Silver tech companies. Their industry is kept as it is: it is the target wording."""
     tidy = tidy_strings(bronze)
-    company, country, industry = F.col("company"), F.col("country"), F.col("industry")
-    cap = text.amount_usd(F.col("market_cap"), strict_amounts)
-    return tidy.select(
-        text.record_id(settings.TECH_SOURCE, company, country, industry).alias("record_id"),
-        F.lit(settings.TECH_SOURCE).alias("source_system"),
-        company,
-        text.company_key(company).alias("company_name_normalised"),
-        industry.alias("industry_std"),
-        text.known_or_na(country).alias("country_std"),
-        cap.alias("market_cap_usd"),
-        (cap / settings.REVENUE_DIVISOR).alias("estimated_revenue"),
-        run_time(processing_ts).alias("processing_ts"),
-    ).select(*schemas.SILVER_TECH.fieldNames())
+    cap = text.amount_usd("market_cap", strict_amounts)
+    silver = tidy.selectExpr(
+        f"{text.record_id(settings.TECH_SOURCE, 'company', 'country', 'industry')} AS record_id",
+        f"'{settings.TECH_SOURCE}' AS source_system",
+        "company",
+        f"{text.company_key('company')} AS company_name_normalised",
+        "industry AS industry_std",
+        f"{text.known_or_na('country')} AS country_std",
+        f"{cap} AS market_cap_usd",
+        f"{cap} / {settings.REVENUE_DIVISOR} AS estimated_revenue",
+    ).withColumn("processing_ts", run_time(processing_ts))
+    return silver.select(*schemas.SILVER_TECH.fieldNames())
 
 
 def company_registry(bronze: DataFrame, processing_ts: datetime | None = None) -> DataFrame:
     """Silver registry companies."""
     tidy = tidy_strings(bronze)
-    company, country, industry = F.col("name"), F.col("country"), F.col("industry")
-    return tidy.select(
-        text.record_id(settings.REGISTRY_SOURCE, company, country, industry).alias("record_id"),
-        F.lit(settings.REGISTRY_SOURCE).alias("source_system"),
-        company.alias("company"),
-        text.company_key(company).alias("company_name_normalised"),
+    silver = tidy.selectExpr(
+        f"{text.record_id(settings.REGISTRY_SOURCE, 'name', 'country', 'industry')} AS record_id",
+        f"'{settings.REGISTRY_SOURCE}' AS source_system",
+        "name AS company",
+        f"{text.company_key('name')} AS company_name_normalised",
         "domain",
-        text.translated(industry).alias("industry_std"),
-        text.known_or_na(country).alias("country_std"),
+        f"{text.translated('industry')} AS industry_std",
+        f"{text.known_or_na('country')} AS country_std",
         "year_founded",
         "current_employee_estimate",
         "total_employee_estimate",
-        run_time(processing_ts).alias("processing_ts"),
-    ).select(*schemas.SILVER_COMPANIES.fieldNames())
+    ).withColumn("processing_ts", run_time(processing_ts))
+    return silver.select(*schemas.SILVER_COMPANIES.fieldNames())

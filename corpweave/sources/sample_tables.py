@@ -7,10 +7,10 @@ to exact ones.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from corpweave import schemas
+from corpweave.functions.text import quoted
 
 REGISTRY_ENDINGS = [" Inc.", " Ltd", ", LLC", " GmbH", " Holdings", ""]
 TECH_ENDINGS = [" Inc", " Corporation", "", " Group", ", Co."]
@@ -30,48 +30,44 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def pick(values: list[str | None], number: Column) -> Column:
-    """The element of a fixed list at ``number`` modulo its length."""
-    cells = F.array(*[F.lit(value).cast("string") for value in values])
-    return F.get(cells, (number % len(values)).cast("int"))
+def pick(values: list[str | None], number: str) -> str:
+    """The element of a fixed list at ``number`` modulo its length, as SQL text."""
+    cells = ", ".join("NULL" if value is None else quoted(value) for value in values)
+    return f"get(array({cells}), cast({number} % {len(values)} AS INT))"
 
 
 def bronze_companies(spark: SparkSession, folder: str) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return table(spark, folder, "part").select(
-        F.concat("p_name", pick(REGISTRY_ENDINGS, key)).alias("name"),
-        F.when(size % 5 != 0, F.concat(F.replace("p_name", F.lit(" "), F.lit("-")),
-                                       F.lit(".example.com"))).alias("domain"),
-        F.when(size % 7 != 0, (F.lit(1950) + size).cast("double")).alias("year_founded"),
-        pick(REGISTRY_INDUSTRIES, key).alias("industry"),
-        F.col("p_type").alias("size_range"),
-        F.col("p_brand").alias("locality"),
-        pick(COUNTRY_TEXTS, key).alias("country"),
-        F.concat(F.lit("https://social.example.com/"), key.cast("string")).alias("linkedin_url"),
-        (size * 10).cast("long").alias("current_employee_estimate"),
-        (size * 25 + key % 10).cast("long").alias("total_employee_estimate"),
+    return table(spark, folder, "part").selectExpr(
+        f"concat(p_name, {pick(REGISTRY_ENDINGS, 'p_partkey')}) AS name",
+        "CASE WHEN p_size % 5 <> 0 THEN concat(replace(p_name, ' ', '-'), '.example.com') END "
+        "AS domain",
+        "CASE WHEN p_size % 7 <> 0 THEN cast(1950 + p_size AS DOUBLE) END AS year_founded",
+        f"{pick(REGISTRY_INDUSTRIES, 'p_partkey')} AS industry",
+        "p_type AS size_range",
+        "p_brand AS locality",
+        f"{pick(COUNTRY_TEXTS, 'p_partkey')} AS country",
+        "concat('https://social.example.com/', p_partkey) AS linkedin_url",
+        "cast(p_size * 10 AS BIGINT) AS current_employee_estimate",
+        "cast(p_size * 25 + p_partkey % 10 AS BIGINT) AS total_employee_estimate",
     ).select(*schemas.BRONZE_COMPANIES.fieldNames())
 
 
 def bronze_tech(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    names = table(spark, folder, "part").select(F.col("p_partkey").alias("c_custkey"), "p_name")
-    shortened = F.substr("p_name", F.lit(1), F.length("p_name") - 1)
-    stem = F.when(key % 3 == 0, shortened).otherwise(F.col("p_name"))
+    names = table(spark, folder, "part").selectExpr("p_partkey AS c_custkey", "p_name")
+    stem = "CASE WHEN c_custkey % 3 = 0 THEN left(p_name, length(p_name) - 1) ELSE p_name END"
     return (
         table(spark, folder, "customer")
         .join(names, "c_custkey")
-        .select(
-            key.cast("int").alias("ranking"),
-            F.concat(stem, pick(TECH_ENDINGS, key)).alias("company"),
-            F.concat(F.lit("$"), F.col("c_acctbal").cast("string"), pick(CAP_SUFFIXES, key))
-            .alias("market_cap"),
-            F.col("c_name").alias("stock"),
-            pick(COUNTRY_TEXTS, F.col("c_nationkey")).alias("country"),
-            F.col("c_mktsegment").alias("sector"),
-            F.when(key % 13 == 0, F.lit("N/A"))
-            .when(key % 11 != 0, F.col("c_mktsegment"))
-            .alias("industry"),
+        .selectExpr(
+            "cast(c_custkey AS INT) AS ranking",
+            f"concat({stem}, {pick(TECH_ENDINGS, 'c_custkey')}) AS company",
+            f"concat('$', cast(c_acctbal AS STRING), {pick(CAP_SUFFIXES, 'c_custkey')}) "
+            "AS market_cap",
+            "c_name AS stock",
+            f"{pick(COUNTRY_TEXTS, 'c_nationkey')} AS country",
+            "c_mktsegment AS sector",
+            "CASE WHEN c_custkey % 13 = 0 THEN 'N/A' WHEN c_custkey % 11 <> 0 THEN c_mktsegment "
+            "END AS industry",
         )
         .select(*schemas.BRONZE_TECH.fieldNames())
     )
