@@ -1,0 +1,77 @@
+import pytest
+from pyspark.sql import functions as F
+
+from corpweave.operators import skew
+from tests.conftest import rows
+
+
+@pytest.fixture
+def many(spark):
+    """A third of the rows on one key, exact copies among them, some NULL keys, 3000 cold keys."""
+    hot = spark.range(3000).selectExpr("'hot' AS k", "id div 100 AS v")
+    cold = spark.range(6000).selectExpr("concat('c', id % 3000) AS k", "id AS v")
+    none = spark.range(50).selectExpr("string(NULL) AS k", "id AS v")
+    return hot.unionByName(cold).unionByName(none)
+
+
+@pytest.fixture
+def one(spark):
+    cold = spark.range(2000).selectExpr("concat('c', id) AS k", "id * 10 AS w")
+    return cold.unionByName(spark.sql("SELECT 'hot' AS k, -1L AS w"))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_join(forced_skew, many, one, how):
+    assert rows(skew.lookup_join(many, one, "k", how)) == rows(many.join(one, "k", how))
+
+
+def test_lookup_join_keeps_hot_rows_off_the_shuffle(forced_skew, many, one):
+    plan = skew.lookup_join(many, one, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_fanout_join(forced_skew, spark, many, spread):
+    right = spark.range(40).selectExpr("'hot' AS k", "id AS w").unionByName(
+        spark.range(4000).selectExpr("concat('c', id % 1500) AS k", "id AS w")
+    )
+    left = many.where("v % 5 = 0 OR k IS NULL")
+    wanted = rows(left.join(right, "k"))
+    if spread:
+        left, right = skew.with_spread(left), skew.with_spread(right)
+    assert rows(skew.fanout_join(left, right, "k", salts=7)) == wanted
+
+
+def test_fanout_join_hot_on_both_sides(forced_skew, spark):
+    left = spark.range(60).selectExpr("'hot' AS k", "id AS v")
+    right = spark.range(70).selectExpr("'hot' AS k", "id AS w")
+    joined = skew.fanout_join(skew.with_spread(left), skew.with_spread(right), "k", salts=5)
+    assert joined.count() == 60 * 70 == joined.distinct().count()
+
+
+def test_copies_are_spread(forced_skew, spark):
+    """Equal rows of a hot key end up in different parts."""
+    copies = spark.range(1000).selectExpr("'hot' AS k", "1 AS v")
+    parts = skew.with_spread(copies).select(F.pmod(skew.SPREAD, F.lit(8)).alias("p"))
+    assert parts.distinct().count() == 8
+
+
+def test_hot_keys_are_bounded(spark):
+    keys = spark.range(200_000).selectExpr("string(id) AS k")
+    assert skew.hot_keys(keys, "k").count() <= 1 / skew.HOT_SHARE
+    mixed = keys.unionByName(spark.range(100_000).selectExpr("'hot' AS k"))
+    found = {r.k for r in skew.hot_keys(mixed, "k").collect()}
+    assert "hot" in found and len(found) <= 1 / skew.HOT_SHARE
+
+
+def test_small_inputs_are_joined_plainly(many, one):
+    plan = skew.lookup_join(many, one, "k")._jdf.queryExecution().analyzed().toString()
+    assert "freq" not in plan.lower()
+
+
+def test_broadcast_limit(spark):
+    assert skew.broadcast_limit(spark) == 10 * 1024 * 1024
+    for text, size in [("-1", -1), ("5MB", 5 << 20), ("1024b", 1024), ("7", 7)]:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert skew.broadcast_limit(spark) == size
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
