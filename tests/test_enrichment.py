@@ -1,0 +1,189 @@
+import json
+
+import pytest
+
+from corpweave.operators import adjudicate, news
+from corpweave.sources import registry_table
+from corpweave.streaming import news_stream
+from tests.conftest import rows
+
+PAIR = {"left_id": "1", "right_id": "2", "left_company_name": "ibm", "right_company_name": "i b m"}
+READ = ("1", "2", "ibm", "i b m")
+
+
+def lines(spark, *values):
+    texts = [(v if isinstance(v, str) or v is None else json.dumps(v),) for v in values]
+    return spark.createDataFrame(texts, "value string")
+
+
+@pytest.mark.parametrize("event, wanted", [
+    ([PAIR], [READ]), ({"pairs": [PAIR]}, [READ]), ({"body": json.dumps([PAIR])}, [READ]),
+    ({"body": json.dumps({"pairs": [PAIR]})}, [READ]), ({"body": "{bad"}, []), ("{bad", []),
+    ({"body": {"pairs": [PAIR]}}, []), ({"body": " ", "pairs": [PAIR]}, [READ]),
+    ({"body": None, "pairs": [PAIR]}, [READ]), ([PAIR, 3, "x", None, [PAIR]], [READ]),
+    ([{"left_id": 7}], [("7", None, "", "")]), ([{"left_company_name": None}], [(None, None, None, "")]),
+    ({"pairs": "no"}, []), ([], []), (None, []), ({"body": "[]", "pairs": [PAIR]}, []),
+])
+def test_read_pairs(spark, event, wanted):
+    assert rows(adjudicate.read_pairs(lines(spark, event))) == wanted
+
+
+def pairs(spark, *ids):
+    return spark.createDataFrame(
+        [(a, b, f"name {a}", f"name {b}") for a, b in ids],
+        "left_id string, right_id string, left_company_name string, right_company_name string",
+    )
+
+
+def verdict(a, b, match=True, score=0.9):
+    return {"left_id": a, "right_id": b, "match": match, "match_confidence": score}
+
+
+def responses(spark, *values):
+    return lines(spark, *values).withColumnRenamed("value", "response")
+
+
+def test_read_verdicts(spark):
+    got = adjudicate.read_verdicts(responses(
+        spark, {"results": [verdict("1", "2"), verdict("3", "4", score=1.5), verdict("5", "6", None),
+                            7, verdict("7", "8", False, 1)]},
+        "{bad", {"results": "none"}, {}, None, [verdict("9", "9")],
+    ))
+    assert rows(got) == [("1", "2", True, 0.9), ("7", "8", False, 1.0)]
+
+
+def test_complete_verdicts(spark):
+    asked = pairs(spark, ("1", "2"), ("3", "4"), ("5", None), ("6", None))
+    given = adjudicate.read_verdicts(responses(
+        spark, {"results": [verdict("1", "2"), verdict("x", "y"), verdict("5", None)]}
+    ))
+    got = adjudicate.complete_verdicts(asked, given)
+    assert rows(got) == sorted([
+        ("1", "2", True, 0.9), ("3", "4", False, 0.0), ("5", None, True, 0.9),
+        ("6", None, False, 0.0),
+    ], key=repr)
+    assert rows(adjudicate.unasked(asked, given).select("left_id")) == [("x",)]
+    assert adjudicate.complete_verdicts(asked, given, keep_unasked=True).count() == 5
+
+
+def test_ask_in_batches_and_survive_failures(spark):
+    def scorer(request):
+        asked = json.loads(request)["pairs"]
+        assert len(asked) <= 3
+        if any(p["left_id"] == "4" for p in asked):
+            raise RuntimeError("service down")
+        return json.dumps({"results": [verdict(p["left_id"], p["right_id"]) for p in asked]})
+
+    asked = pairs(spark, *[(str(i), "r") for i in range(10)]).coalesce(1)
+    answers = adjudicate.ask(asked, scorer, batch=3)
+    assert answers.count() == 4
+    done = adjudicate.complete_verdicts(asked, adjudicate.read_verdicts(answers))
+    assert done.count() == 10 and done.where("match").count() == 7
+
+
+def test_names_are_scored_once(spark):
+    asked = spark.createDataFrame(
+        [(str(i), "r", "acme one", "acme on" if i % 2 else "other") for i in range(20)],
+        pairs(spark, ("1", "2")).schema,
+    )
+    got = adjudicate.adjudicate_names(asked, adjudicate.letter_pair_scorer(0.8))
+    assert got.count() == 20
+    by_match = {r.match: r["count"] for r in got.groupBy("match").count().collect()}
+    assert by_match == {True: 10, False: 10}
+    extra = adjudicate.adjudicated_edges(got)
+    assert extra.columns == ["src", "dst", "match_confidence", "match_type"] and extra.count() == 10
+
+
+def request(**fields):
+    return {"corporate_id": "C-1", "company": "Tesla", "current_date": "2026-01-27", **fields}
+
+
+@pytest.mark.parametrize("event, wanted", [
+    (request(), ("C-1", "Tesla", "2026-01-27", None)),
+    (request(company="  Tesla\n"), ("C-1", "Tesla", "2026-01-27", None)),
+    ({"body": json.dumps(request())}, ("C-1", "Tesla", "2026-01-27", None)),
+    ({"body": request()}, ("C-1", "Tesla", "2026-01-27", None)),
+    ({"body": "{", **request()}, ("", "", "", news.MISSING_ID)),
+    ({"body": "", **request()}, ("C-1", "Tesla", "2026-01-27", None)),
+    (request(corporate_id=""), ("", "Tesla", "2026-01-27", news.MISSING_ID)),
+    (request(company=" "), ("C-1", "", "2026-01-27", news.MISSING_COMPANY)),
+    (request(company=None), ("C-1", "", "2026-01-27", news.MISSING_COMPANY)),
+    (request(current_date="2026-1-5"), ("C-1", "Tesla", "2026-1-5", None)),
+    (request(current_date="2026-02-30"), ("C-1", "Tesla", "2026-02-30", news.BAD_DATE)),
+    (request(current_date=""), ("C-1", "Tesla", "", news.BAD_DATE)),
+    (request(corporate_id=0), ("0", "Tesla", "2026-01-27", None)),
+    (request(corporate_id="0"), ("0", "Tesla", "2026-01-27", None)),
+    ({"queryStringParameters": request(company="Q"), "company": "own"},
+     ("C-1", "own", "2026-01-27", None)),
+    ({"body": "{bad", "queryStringParameters": request()}, ("C-1", "Tesla", "2026-01-27", None)),
+    (request(corporate_id=0, queryStringParameters={"corporate_id": "Q"}),
+     ("Q", "Tesla", "2026-01-27", None)),
+    ("{bad", ("", "", "", news.MISSING_ID)),
+    ([1], ("", "", "", news.MISSING_ID)),
+])
+def test_news_requests(spark, event, wanted):
+    assert rows(news.checked_requests(news.read_requests(lines(spark, event)))) == [wanted]
+
+
+def item(**fields):
+    return {"date": "2026-01-28", "title": "t", "url": "u", "corporate_id": "C-1", **fields}
+
+
+def document(*items, **fields):
+    return request(items=list(items), **fields)
+
+
+@pytest.mark.parametrize("doc, error", [
+    (document(item()), None), (document(item(date="2026-1-28")), None),
+    (document(item(date="2026-01-16")), "item: older than requested"),
+    (document(item(date="soon")), "item: unreadable date"),
+    (document(item(more=1)), "item: unknown field"),
+    (document({"date": "2026-01-28", "title": "t", "url": "u"}), "item: missing field"),
+    (document(3), "item: not an object"), (document(item(), more=1), "document: unknown field"),
+    (request(), "document: missing field"), (document(current_date="x"), "document: unreadable current_date"),
+    (request(items="x"), "document: items is not a list"), ([1], "document: not an object"),
+    ("{bad", "unreadable document"),
+])
+def test_read_news(spark, doc, error):
+    got = news.read_news(lines(spark, doc)).collect()
+    assert [r.error for r in got] == [error] and all(r.entry for r in got)
+
+
+def test_empty_items_give_nothing(spark):
+    assert news.read_news(lines(spark, document())).count() == 0
+
+
+def test_newest_and_top(spark):
+    items = [item(date=f"2026-02-{d:02d}", url=f"u{d % 12}") for d in range(1, 25)]
+    accepted = news.accepted(news.read_news(lines(spark, document(*items))))
+    newest = news.newest_per_url(accepted)
+    assert newest.count() == 12 and rows(newest.selectExpr("string(min(date))")) == [("2026-02-13",)]
+    top = news.top_items(newest)
+    assert sorted(r.item_rank for r in top.collect()) == list(range(1, 11))
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def drop(name, *docs):
+        text = "\n".join(d if isinstance(d, str) else json.dumps(d) for d in docs)
+        (folder / name).write_text(text + "\n")
+
+    def run():
+        news_stream.start(
+            news_stream.news_lines(spark, str(folder)), str(tmp_path / "table"),
+            str(tmp_path / "quarantine"), str(tmp_path / "progress"),
+        ).awaitTermination()
+        table = registry_table.current(spark, str(tmp_path / "table"))
+        return rows(table.selectExpr("corporate_id", "url", "title"))
+
+    drop("1.json", document(item(title="old"), item(url="v")), "{bad")
+    assert run() == [("C-1", "u", "old"), ("C-1", "v", "t")]
+    drop("2.json", document(item(title="new", date="2026-02-01")),
+         document(item(url="v", title="late arrival", date="2026-01-27")))
+    assert run() == [("C-1", "u", "new"), ("C-1", "v", "t")]
+    assert run() == [("C-1", "u", "new"), ("C-1", "v", "t")]
+    refused = spark.read.parquet(str(tmp_path / "quarantine"))
+    assert rows(refused.select("error")) == [("unreadable document",)]
