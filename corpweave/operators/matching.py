@@ -4,8 +4,8 @@ Records are compared by normalised name, and only when the first characters (the
 The work is done on distinct names, never on records, and never on all pairs of a block:
 
 * reach 0 is an equi-join on the name;
-* reach 1 joins on deletion variants: names within distance 1 share one, and names that share
-  one are within distance 2, so even a block holding every name stays close to linear;
+* reach 1 joins on the text around the one differing character, which only true pairs share, so
+  even a block holding every name costs no more than its names and its result;
 * a larger reach cuts each left name into ``reach + 1`` pieces, one of which must occur intact
   in the right name, and joins on the pieces. Names with a piece that is too common are joined
   on deletion variants instead, which loses nothing: both names of such a pair hold that piece.
@@ -116,6 +116,50 @@ def _right_pieces(names: DataFrame, reach: int) -> DataFrame:
     )
 
 
+def _one_edit_keys(names: DataFrame, whole: str, shorter: str) -> DataFrame:
+    """One key per way a name can take part in a pair at distance 0 or 1.
+
+    ``at`` 0 stands for the whole tail, any other for the tail without the character at that place.
+    Kind E (equal) pairs whole tails; S (substitution) pairs tails lacking the same place; a whole
+    tail also meets, under kind ``whole``, the other side's longer tails less one character, and
+    under kind ``shorter`` this side's tails less one character meet the other side's whole ones.
+    Of a run of equal characters only the first is left out there, so a pair meets just once.
+    """
+    spots = names.selectExpr("name", f"{TAIL} AS tail").selectExpr(
+        "*", "explode(sequence(0, length(tail))) AS at"
+    )
+    kinds = spots.selectExpr(
+        "name", "at",
+        "IF(at = 0, tail, concat(left(tail, at - 1), substring(tail, at + 1))) AS rest",
+        f"""explode(CASE WHEN at = 0 THEN array('E', '{whole}')
+              WHEN at > 1 AND substring(tail, at, 1) = substring(tail, at - 1, 1) THEN array('S')
+              ELSE array('S', '{shorter}') END) AS kind""",
+    )
+    return kinds.selectExpr(
+        "name", "at", "kind", _key("kind", "IF(kind = 'S', at, 0)", "rest")
+    )
+
+
+def _one_edit_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    lefts = _one_edit_keys(left, "R", "L").withColumnsRenamed({"name": "left_name", "at": "left_at"})
+    rights = _one_edit_keys(right, "L", "R").withColumnsRenamed(
+        {"name": "right_name", "at": "right_at"}
+    )
+
+    def rest(side: str) -> str:
+        name, at = f"{side}_name", f"({BLOCK_LENGTH} + {side}_at)"
+        return f"IF({side}_at = 0, {name}, concat(left({name}, {at} - 1), substring({name}, {at} + 1)))"
+
+    return (
+        lefts.join(rights, ["key", "kind"])
+        .where(
+            f"{rest('left')} = {rest('right')} "
+            "AND (kind <> 'S' OR left_at = right_at AND left_name <> right_name)"
+        )
+        .selectExpr("left_name", "right_name", "IF(kind = 'E', 0, 1) AS name_distance")
+    )
+
+
 def _meet(left_keys: DataFrame, right_keys: DataFrame) -> DataFrame:
     left = left_keys.select("key", F.col("name").alias("left_name"))
     right = right_keys.select("key", F.col("name").alias("right_name"))
@@ -154,11 +198,10 @@ def name_pairs(left: DataFrame, right: DataFrame, reach: int | None) -> DataFram
     if reach == 0:
         return _exact(left, right)
     if reach == 1:
-        candidates = _meet(_variant_keys(left, reach), _variant_keys(right, reach))
-    else:
-        candidates = _piecewise(left, right, reach)
+        return _one_edit_pairs(left, right)
     return (
-        candidates.where(f"{text.name_block('left_name')} = {text.name_block('right_name')}")
+        _piecewise(left, right, reach)
+        .where(f"{text.name_block('left_name')} = {text.name_block('right_name')}")
         .selectExpr(
             "left_name", "right_name",
             f"levenshtein(left_name, right_name, {reach}) AS name_distance",

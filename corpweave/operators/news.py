@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpweave import schemas, settings
 from corpweave.functions.dates import calendar_date
-from corpweave.operators.adjudicate import is_object, member
+from corpweave.operators.adjudicate import member
 
 FIELDS = ["corporate_id", "company", "current_date"]
 ITEM_FIELDS = ["date", "title", "url", "corporate_id"]
@@ -54,15 +54,20 @@ def read_requests(requests: DataFrame, column: str = "value") -> DataFrame:
     )
     query = member(event, "queryStringParameters")
     parsed = requests.select(*others, source.alias("_source"), query.alias("_query"))
+    members = parsed.select(
+        *others,
+        *[member(F.col("_source"), field).alias(f"_own_{field}") for field in FIELDS],
+        *[member(F.col("_query"), field).alias(f"_spare_{field}") for field in FIELDS],
+    )
 
     def value(field: str) -> Column:
-        own, spare = member(F.col("_source"), field), member(F.col("_query"), field)
+        own, spare = F.col(f"_own_{field}"), F.col(f"_spare_{field}")
         chosen = F.when(_blank(own) & ~_blank(spare), _as_python_text(spare)).otherwise(
             _as_python_text(own)
         )
         return _stripped(F.coalesce(chosen, F.lit(""))).alias(field)
 
-    return parsed.select(*others, *[value(field) for field in FIELDS])
+    return members.select(*others, *[value(field) for field in FIELDS])
 
 
 def checked_requests(requests: DataFrame) -> DataFrame:
@@ -75,14 +80,17 @@ def checked_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def _key_problem(value: Column, wanted: list[str]) -> Column:
-    """What is wrong with the members of a JSON object, NULL when they are exactly ``wanted``."""
-    keys = F.json_object_keys(F.to_json(value))
-    allowed = F.array(*[F.lit(name) for name in wanted])
+def _parsed(fields: str) -> str:
+    return f"{fields}, _corrupt_record STRING"
+
+
+def _key_problem(keys: str, wanted: list[str]) -> str:
+    """What is wrong with the member names of an object, NULL when they are exactly ``wanted``."""
+    listed = "array(" + ", ".join(f"'{name}'" for name in sorted(wanted)) + ")"
     return (
-        F.when(~F.coalesce(is_object(value), F.lit(False)), F.lit("not an object"))
-        .when(F.size(F.array_except(allowed, keys)) > 0, F.lit("missing field"))
-        .when(F.size(F.array_except(keys, allowed)) > 0, F.lit("unknown field"))
+        f"CASE WHEN sort_array({keys}) = {listed} THEN NULL "
+        f"WHEN size(array_except({listed}, {keys})) > 0 THEN 'missing field' "
+        "ELSE 'unknown field' END"
     )
 
 
@@ -91,41 +99,48 @@ def read_news(documents: DataFrame, column: str = "value") -> DataFrame:
 
     Accepted items have ``error`` NULL. A document that cannot be used gives one row that holds
     its text in ``entry``. Items dated before the document's ``current_date`` are refused, as are
-    items whose date cannot be read.
+    items whose date cannot be read. Each text is parsed once.
     """
-    doc, items = F.col("_doc"), F.try_variant_get("_doc", "$.items", "array<variant>")
-    asked = calendar_date(member(doc, "current_date", "string"))
-    doc_problem = (
-        F.when(doc.isNull(), F.lit("unreadable document"))
-        .otherwise(F.concat(F.lit("document: "), F.coalesce(
-            _key_problem(doc, [*FIELDS, "items"]),
-            F.when(items.isNull(), F.lit("items is not a list")),
-            F.when(asked.isNull(), F.lit("unreadable current_date")),
-        )))
+    texts = documents.selectExpr(
+        f"`{column}` AS entry",
+        f"from_json(`{column}`, '{_parsed('company STRING, current_date STRING, items ARRAY<STRING>')}') "
+        "AS doc",
+        f"json_object_keys(`{column}`) AS keys",
+    )
+    read = texts.select(
+        "entry", "keys", "doc.company", "doc.items",
+        calendar_date(F.col("doc.`current_date`")).alias("asked"),
+        F.expr("doc._corrupt_record IS NOT NULL OR keys IS NULL").alias("unreadable"),
+    ).selectExpr(
+        "entry", "company", "asked", "items",
+        f"""CASE WHEN unreadable THEN 'unreadable document'
+            ELSE concat('document: ', coalesce({_key_problem('keys', [*FIELDS, 'items'])},
+              IF(items IS NULL OR company IS NULL, 'missing field', NULL),
+              IF(asked IS NULL, 'unreadable current_date', NULL))) END AS problem""",
+    )
+    entries = read.selectExpr(
+        "entry", "company", "asked", "problem",
+        "explode(IF(problem IS NULL, items, array(string(NULL)))) AS item",
+    ).selectExpr(
+        "*",
+        f"from_json(item, '{_parsed(', '.join(f'{name} STRING' for name in ITEM_FIELDS))}') AS parts",
+        "json_object_keys(item) AS keys",
     )
-    read = documents.select(
-        F.col(column).alias("entry"), F.try_parse_json(F.col(column)).alias("_doc")
-    ).select("*", doc_problem.alias("_problem"))
-    usable, item = F.col("_problem").isNull(), F.col("_item")
-    date = calendar_date(member(item, "date", "string"))
-    item_problem = F.concat(F.lit("item: "), F.coalesce(
-        _key_problem(item, ITEM_FIELDS),
-        F.when(date.isNull(), F.lit("unreadable date")),
-        F.when(date < asked, F.lit("older than requested")),
-    ))
-    placeholder = F.array(F.lit(None).cast("variant"))
-    return read.select(
-        "*", F.explode(F.when(usable, items).otherwise(placeholder)).alias("_item")
-    ).select(
-        member(item, "corporate_id", "string").alias("corporate_id"),
-        F.when(usable, member(doc, "company", "string")).alias("company"),
-        F.when(usable, asked).alias("current_date"),
-        date.alias("date"),
-        member(item, "title", "string").alias("title"),
-        member(item, "url", "string").alias("url"),
-        F.when(usable, F.to_json(item)).otherwise(F.col("entry")).alias("entry"),
-        F.when(usable, item_problem).otherwise(F.col("_problem")).alias("error"),
+    checked = entries.select(
+        "entry", "asked", "problem", "item", "keys", "parts.corporate_id", "company", "parts.title",
+        "parts.url", calendar_date(F.col("parts.date")).alias("date"),
+    ).selectExpr(
+        "corporate_id", "IF(problem IS NULL, company, NULL) AS company",
+        "IF(problem IS NULL, asked, NULL) AS `current_date`", "date", "title", "url",
+        "IF(problem IS NULL, coalesce(item, 'null'), entry) AS entry",
+        f"""CASE WHEN problem IS NOT NULL THEN problem
+            ELSE concat('item: ', coalesce(
+              IF(keys IS NULL, 'not an object', {_key_problem('keys', ITEM_FIELDS)}),
+              IF(corporate_id IS NULL OR title IS NULL OR url IS NULL, 'missing field', NULL),
+              IF(date IS NULL, 'unreadable date', NULL),
+              IF(date < asked, 'older than requested', NULL))) END AS error""",
     )
+    return checked
 
 
 def accepted(entries: DataFrame) -> DataFrame:

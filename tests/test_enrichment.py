@@ -141,7 +141,9 @@ def document(*items, **fields):
     (document({"date": "2026-01-28", "title": "t", "url": "u"}), "item: missing field"),
     (document(3), "item: not an object"), (document(item(), more=1), "document: unknown field"),
     (request(), "document: missing field"), (document(current_date="x"), "document: unreadable current_date"),
-    (request(items="x"), "document: items is not a list"), ([1], "document: not an object"),
+    (request(items="x"), "unreadable document"), ([1], "unreadable document"),
+    (document(item(title=None)), "item: missing field"), (document(company=None), "document: missing field"),
+    (json.dumps(document(item()))[:-1], "unreadable document"), (document(None), "item: not an object"),
     ("{bad", "unreadable document"),
 ])
 def test_read_news(spark, doc, error):
