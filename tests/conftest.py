@@ -10,6 +10,8 @@ def spark():
     cloudpickle.register_pickle_by_value(corpweave)
     session = local_session(cores=8, partitions=4, memory="8g")
     session.sparkContext.setLogLevel("OFF")
+    # Compiling a stage takes longer than running it on a few rows.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

@@ -80,8 +80,7 @@ RULES = [
 ]
 
 
-@pytest.mark.parametrize("rule", RULES, ids=str)
-@pytest.mark.parametrize("seed", [11, 12])
+@pytest.mark.parametrize("rule, seed", [(r, 11 + i % 2) for i, r in enumerate(RULES)], ids=str)
 def test_linking_by_name_equals_linking_by_pairs(spark, rule, seed):
     names = some_names(seed, 25, "ab", 8) + ["", "abc"]
     left = [("l" + i if seed % 2 else i, n) for i, n in some_records(seed, 40, names)]

@@ -41,10 +41,14 @@ def test_threshold_must_be_positive():
 
 @pytest.mark.parametrize("crowded", [10_000, 3])
 @pytest.mark.parametrize("reach", [0, 1, 2, 3, 4])
-@pytest.mark.parametrize("letters, longest", [("ab", 9), ("abé ", 14)])
-def test_name_pairs(spark, monkeypatch, reach, crowded, letters, longest):
+def test_name_pairs(spark, monkeypatch, reach, crowded):
+    if reach < 2 and crowded == 3:
+        pytest.skip("no pieces below reach 2")
     monkeypatch.setattr(matching, "CROWDED_PAIRS", crowded)
-    left, right = some_names(1, 150, letters, longest), some_names(2, 150, letters, longest)
+    left, right = (
+        sorted({*some_names(seed, 120, "ab", 9), *some_names(seed, 120, "abé ", 14)})
+        for seed in (1, 2)
+    )
     got = matching.name_pairs(
         spark.createDataFrame([(n,) for n in left], "name string"),
         spark.createDataFrame([(n,) for n in right], "name string"),
