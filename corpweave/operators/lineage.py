@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a private one only for a local session without any."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="corpweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="corpweave-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

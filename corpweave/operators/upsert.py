@@ -31,14 +31,9 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if duplicates not in DUPLICATES:
         raise ValueError(f"duplicates must be one of {DUPLICATES}")
     names = target.columns
-    source = source.select(*names)
-    staged, current = _keyed(source, keys, null_safe), _keyed(target, keys, null_safe)
-    order = [newest, *[n for n in names if n != newest]] if newest in names else names
-    one = (
-        staged.where(F.col("_key").isNotNull())
-        .groupBy("_key")
-        .agg(F.max(F.struct(*order)).alias("_new"), F.count(F.lit(1)).alias("_copies"))
-    )
+    staged = _keyed(source.select(*names), keys, null_safe)
+    current = _keyed(target, keys, null_safe)
+    one = _one_per_key(staged, names, newest)
     updated = skew.lookup_join(current, one, "_key")
     hit = F.col("_new").isNotNull()
     if duplicates == "error":
@@ -49,14 +44,30 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     )
     present = current.join(one.select("_key"), "_key", "left_semi").select("_key").distinct()
     if duplicates == "latest":
-        keyless = staged.where(F.col("_key").isNull()).select(*names)
-        fresh = one.join(present, "_key", "left_anti").select("_new.*").select(*names)
-        fresh = fresh.unionByName(keyless)
+        fresh = _latest(staged, one.join(present, "_key", "left_anti"), names)
     else:
         fresh = staged.join(present, "_key", "left_anti").select(*names)
     return kept.unionByName(fresh)
 
 
+def latest_per_key(source: DataFrame, keys: Sequence[str], newest: str = "processing_ts",
+                   null_safe: Sequence[str] = ()) -> DataFrame:
+    """The newest row of each key, and every row with a NULL key."""
+    staged = _keyed(source, keys, null_safe)
+    return _latest(staged, _one_per_key(staged, source.columns, newest), source.columns)
+
+
+def _one_per_key(staged: DataFrame, names: list[str], newest: str) -> DataFrame:
+    order = [newest, *[n for n in names if n != newest]] if newest in names else names
+    rows = staged.where(F.col("_key").isNotNull()).groupBy("_key")
+    return rows.agg(F.max(F.struct(*order)).alias("_new"), F.count(F.lit(1)).alias("_copies"))
+
+
+def _latest(staged: DataFrame, one: DataFrame, names: list[str]) -> DataFrame:
+    keyless = staged.where(F.col("_key").isNull()).select(*names)
+    return one.select("_new.*").select(*names).unionByName(keyless)
+
+
 def _keyed(df: DataFrame, keys: Sequence[str], null_safe: Sequence[str]) -> DataFrame:
     """Adds the merge key as one struct, NULL when a key column that is not null-safe is NULL."""
     plain = [F.col(key).isNotNull() for key in keys if key not in null_safe]

@@ -22,14 +22,14 @@ def run(spark: SparkSession, staging_path: str, table: str, keys: Sequence[str]
     """Check the contract and upsert. ``table`` is a catalog table name or a snapshot folder.
 
     Golden rows repeat a corporate id when an entity has several registry records, which a merge on
-    that id alone refuses on the second run. Pass ``ROW_KEY`` to keep them all, or
-    ``duplicates="latest"`` to keep one per id; both only for a snapshot folder.
+    that id alone refuses on the second run. Add key columns that tell the rows apart, starting
+    with ``ROW_KEY``, to keep them all, or pass ``duplicates="latest"`` to keep one per key. Key
+    columns other than the corporate id may be NULL, as they are in unmatched rows.
     """
     staged = files.read(spark, staging_path, schemas.GOLDEN)
-    if "/" not in table:
-        registry_table.merge_into(spark, table, staged, keys)
-        return
-    registry_table.upsert(
-        spark, table, staged, keys, duplicates,
-        null_safe=[k for k in keys if k != registry_table.KEY], bucket_by=registry_table.KEY,
-    )
+    null_safe = [k for k in keys if k != registry_table.KEY]
+    if "/" in table:
+        registry_table.upsert(spark, table, staged, keys, duplicates, null_safe=null_safe,
+                              bucket_by=registry_table.KEY)
+    else:
+        registry_table.merge_into(spark, table, staged, keys, duplicates, null_safe)

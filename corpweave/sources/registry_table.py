@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpweave import schemas, settings
 from corpweave.operators.contract import check_contract
-from corpweave.operators.upsert import merged
+from corpweave.operators.upsert import latest_per_key, merged
 
 KEY = "corporate_id"
 BUCKET = "bucket"
@@ -50,21 +50,27 @@ def create(spark: SparkSession, table: str, location: str | None = None) -> None
     spark.sql(create_sql(table, location))
 
 
-def merge_sql(table: str, view: str, keys: Sequence[str] = (KEY,)) -> str:
-    on = " AND ".join(f"target.{k} = source.{k}" for k in keys)
+def merge_sql(table: str, view: str, keys: Sequence[str] = (KEY,),
+              null_safe: Sequence[str] = ()) -> str:
+    on = " AND ".join(
+        f"target.{k} {'<=>' if k in null_safe else '='} source.{k}" for k in keys
+    )
     return (
         f"MERGE INTO {table} AS target USING {view} AS source ON {on} "
         "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )
 
 
-def merge_into(spark: SparkSession, table: str, staged: DataFrame,
-               keys: Sequence[str] = (KEY,)) -> None:
-    """Contract check, then MERGE in the table's own format."""
+def merge_into(spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str] = (KEY,),
+               duplicates: str = "error", null_safe: Sequence[str] = ()) -> None:
+    """Contract check, then MERGE in the table's own format, which itself refuses several source
+    rows for one target row."""
     check_contract(staged, spark.table(table))
+    if duplicates == "latest":
+        staged = latest_per_key(staged, keys, null_safe=null_safe)
     view = "staged_" + table.replace(".", "_")
     staged.createOrReplaceTempView(view)
-    spark.sql(merge_sql(table, view, keys))
+    spark.sql(merge_sql(table, view, keys, null_safe))
 
 
 def _finished(spark: SparkSession, root: str) -> list[int]:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from corpweave.operators.contract import check_contract
-from corpweave.operators.upsert import merged
+from corpweave.operators.upsert import latest_per_key, merged
 from corpweave.schemas import GOLDEN, columns
 from corpweave.sources import registry_table
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -74,6 +74,13 @@ def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     assert "SortMergeJoin LeftOuter" not in text and "BroadcastHashJoin" in text
 
 
+def test_latest_per_key(spark):
+    source = frame(spark, [("a", "x", 1, 1), ("a", "y", 2, 3), ("a", "z", 9, 2), (None, "p", 1, 1),
+                           (None, "p", 1, 1)])
+    assert rows(latest_per_key(source, ["id"])) == sorted(
+        [("a", "y", 2, 3), (None, "p", 1, 1), (None, "p", 1, 1)], key=repr)
+
+
 def test_unknown_policy(spark):
     with pytest.raises(ValueError):
         upserted(spark, [], duplicates="first")
@@ -116,6 +123,9 @@ def test_catalog_statements_parse(spark):
     parser = spark._jsparkSession.sessionState().sqlParser()
     create = registry_table.create_sql("lake.db.registry", "s3://somewhere/registry/")
     merge = registry_table.merge_sql("lake.db.registry", "staged")
-    for statement in (create, merge):
+    by_row = registry_table.merge_sql("t", "staged", ["corporate_id", "reg_record_id"],
+                                      ["reg_record_id"])
+    assert "target.reg_record_id <=> source.reg_record_id" in by_row
+    for statement in (create, merge, by_row):
         parser.parsePlan(statement)
     assert all(f"{f.name} " in create for f in GOLDEN) and "bucket(32, corporate_id)" in create
