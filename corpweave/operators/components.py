@@ -111,6 +111,8 @@ def name_labels(left: DataFrame, right: DataFrame, rule: MatchRule) -> tuple[Dat
     left, right = matching.usable_names(left, rule), matching.usable_names(right, rule)
     left_names = matching.distinct_names(left)
     right_names = matching.distinct_names(matching.comparable(right, left, reach))
+    if reach:  # read twice below, so do not aggregate the records twice
+        left_names, right_names = lineage.cut(left_names), lineage.cut(right_names)
     right_end = "greatest_id" if rule.id_order else "least_id"
     lefts = left_names.selectExpr("name AS left_name", "least_id AS left_end")
     rights = right_names.selectExpr("name AS right_name", f"{right_end} AS right_end")

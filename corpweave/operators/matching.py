@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.functions import text
-from corpweave.operators import skew
+from corpweave.operators import lineage, skew
 from corpweave.settings import BLOCK_LENGTH, AmbiguityBand, MatchRule
 
 NAME = "company_name_normalised"
@@ -167,6 +167,7 @@ def _meet(left_keys: DataFrame, right_keys: DataFrame) -> DataFrame:
 
 
 def _piecewise(left: DataFrame, right: DataFrame, reach: int) -> DataFrame:
+    left, right = lineage.cut(left), lineage.cut(right)  # each is read several times
     left_keys, right_keys = _left_pieces(left, reach), _right_pieces(right, reach)
     load = (
         left_keys.groupBy("key").agg(F.expr("count(1) AS lefts"), F.expr("max(empty) AS empty"))
@@ -248,7 +249,7 @@ def record_pairs(left: DataFrame, right: DataFrame, rule: MatchRule,
             right.selectExpr(f"{NAME} AS name").distinct(),
             reach,
         )
-        pairs = skew.fanout_join(lefts, found, "left_name")
+        pairs = skew.fanout_join(lefts, found, "left_name", keep_spread=True)
         pairs = skew.fanout_join(pairs, rights, "right_name").drop("left_name", "right_name")
     return pairs.where("left_record_id < right_record_id") if rule.id_order else pairs
 

@@ -75,16 +75,18 @@ def lookup_join(many: DataFrame, one: DataFrame, key: str, how: str = "left",
     return usual.unionByName(marked.where(apart).drop("_hot").join(few, key, how))
 
 
-def fanout_join(left: DataFrame, right: DataFrame, key: str, salts: int | None = None) -> DataFrame:
+def fanout_join(left: DataFrame, right: DataFrame, key: str, salts: int | None = None,
+                keep_spread: bool = False) -> DataFrame:
     """Inner join in which the key may repeat, and be hot, on both sides.
 
     Rows of a key that is hot on one side are dealt out over ``salts`` parts there and copied to
     all of these parts on the other side, so every pair still meets exactly once. A ``SPREAD``
-    column on an input decides the part; without one the row content does.
+    column on an input decides the part; without one the row content does. ``keep_spread`` hands
+    that of the left side on, for a next join.
     """
     hot_left, hot_right = may_be_skewed(left), may_be_skewed(right)
     if not (hot_left or hot_right):
-        return left.drop(SPREAD).join(right.drop(SPREAD), key)
+        return (left if keep_spread else left.drop(SPREAD)).join(right.drop(SPREAD), key)
     salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def tagged(df: DataFrame, mine: str, other: str) -> DataFrame:
@@ -98,11 +100,12 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, salts: int | None =
         copies = F.when(
             F.col(f"_hot_{other}"), F.sequence(F.lit(0), F.lit(salts - 1))
         ).otherwise(F.array(F.lit(0)))
-        return (
+        salted = (
             df.withColumn(f"_part_{mine}", part.cast("int"))
             .withColumn(f"_part_{other}", F.explode(copies))
-            .drop(SPREAD, "_hot_left", "_hot_right")
+            .drop("_hot_left", "_hot_right")
         )
+        return salted if keep_spread and mine == "left" else salted.drop(SPREAD)
 
     left_keys = hot_keys(left, key) if hot_left else None
     right_keys = hot_keys(right, key) if hot_right else None
