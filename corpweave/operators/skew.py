@@ -1,9 +1,11 @@
 """Joins that keep working when one key holds a third of all rows.
 
-Hot keys are found by ``freqItems``: one pass, map-side sketches, and never more than
-``1 / HOT_SHARE`` keys, which is the proven bound that makes broadcasting them safe. A wrongly
-reported key costs a little time and never changes a result. Frames that Spark estimates to be
-smaller than ``GUARD_BYTES`` cannot hold a dangerous group and are joined plainly.
+A join can only suffer from a hot key when it shuffles: when neither side is small enough to be
+broadcast and the data is larger than ``GUARD_BYTES``. Then the most frequent keys are looked up
+first, in a sample of the key column. They are at most ``MOST_HOT``, the proven bound that makes
+collecting and broadcasting them safe. The list is fixed before the join is planned, so all parts
+of the plan agree on it; whether a key is on it decides how its rows travel and never what the
+result is.
 """
 
 from __future__ import annotations
@@ -11,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1 / 1000
+MOST_HOT = 1000
+HOT_SAMPLE = 0.01
+HOT_SIGHTINGS = 10
 GUARD_BYTES = 256 * 1024 * 1024
 GROWTH = 100
 SPREAD = "_spread"
@@ -40,10 +44,19 @@ def may_be_skewed(df: DataFrame) -> bool:
     return estimated_bytes(df) >= GUARD_BYTES
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that may hold more than ``HOT_SHARE`` of the rows, at most ``1 / HOT_SHARE`` of them."""
-    items = df.where(F.col(key).isNotNull()).stat.freqItems([key], HOT_SHARE)
-    return items.select(F.explode(f"{key}_freqItems").alias(key)).distinct()
+def may_shuffle(*sides: DataFrame) -> bool:
+    """Whether no side is small enough for Spark to broadcast it."""
+    limit = broadcast_limit(sides[0].sparkSession)
+    return all(estimated_bytes(side) > limit for side in sides)
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """The most frequent keys, at most ``MOST_HOT`` of them, as a local frame; None without any."""
+    keys = df.select(key).where(F.col(key).isNotNull())
+    counted = keys.sample(HOT_SAMPLE, seed=1).groupBy(key).count()
+    top = counted.where(F.col("count") >= HOT_SIGHTINGS).orderBy(F.desc("count")).limit(MOST_HOT)
+    found = [(row[0],) for row in top.collect()]
+    return df.sparkSession.createDataFrame(found, keys.schema) if found else None
 
 
 def with_spread(df: DataFrame) -> DataFrame:
@@ -59,19 +72,20 @@ def lookup_join(many: DataFrame, one: DataFrame, key: str, how: str = "left",
                 skewed: bool | None = None) -> DataFrame:
     """Join ``many`` with ``one``, whose ``key`` is unique. ``how`` is left or inner.
 
-    Rows of hot or NULL keys are never shuffled: they meet the few matching rows of ``one`` by
+    Rows of hot or NULL keys are not shuffled: they meet the few matching rows of ``one`` by
     broadcast. All other rows take an ordinary join. ``skewed`` overrides the size guard when the
     caller knows the size better than the optimiser.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
-    if not (may_be_skewed(many) if skewed is None else skewed):
+    guarded = may_be_skewed(many) if skewed is None else skewed
+    hot = hot_keys(many, key) if guarded and may_shuffle(many, one) else None
+    if hot is None:
         return many.join(one, key, how)
-    hot = F.broadcast(hot_keys(many, key).withColumn("_hot", F.lit(True)))
-    marked = many.join(hot, key, "left")
+    marked = many.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     apart = F.col("_hot").isNotNull() | F.col(key).isNull()
     usual = marked.where(~apart).drop("_hot").join(one, key, how)
-    few = F.broadcast(one.join(hot.drop("_hot"), key, "left_semi"))
+    few = F.broadcast(one.join(F.broadcast(hot), key, "left_semi"))
     return usual.unionByName(marked.where(apart).drop("_hot").join(few, key, how))
 
 
@@ -84,8 +98,11 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, salts: int | None =
     column on an input decides the part; without one the row content does. ``keep_spread`` hands
     that of the left side on, for a next join.
     """
-    hot_left, hot_right = may_be_skewed(left), may_be_skewed(right)
-    if not (hot_left or hot_right):
+    left_keys = right_keys = None
+    if may_shuffle(left, right):
+        left_keys = hot_keys(left, key) if may_be_skewed(left) else None
+        right_keys = hot_keys(right, key) if may_be_skewed(right) else None
+    if left_keys is None and right_keys is None:
         return (left if keep_spread else left.drop(SPREAD)).join(right.drop(SPREAD), key)
     salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -107,8 +124,6 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, salts: int | None =
         )
         return salted if keep_spread and mine == "left" else salted.drop(SPREAD)
 
-    left_keys = hot_keys(left, key) if hot_left else None
-    right_keys = hot_keys(right, key) if hot_right else None
     parts = ["_part_left", "_part_right"]
     joined = tagged(left, "left", "right").join(tagged(right, "right", "left"), [key, *parts])
     return joined.drop(*parts)

@@ -17,11 +17,14 @@ def spark():
 
 
 @pytest.fixture
-def forced_skew(monkeypatch):
-    """Make every join take its skew path, however small the data."""
+def forced_skew(spark, monkeypatch):
+    """Make joins take their skew path, however small the data: every key seen twice is hot."""
     from corpweave.operators import skew
 
     monkeypatch.setattr(skew, "GUARD_BYTES", 0)
+    monkeypatch.setattr(skew, "HOT_SAMPLE", 1.0)
+    monkeypatch.setattr(skew, "HOT_SIGHTINGS", 2)
+    monkeypatch.setattr(skew, "may_shuffle", lambda *sides: True)
 
 
 def rows(df):
