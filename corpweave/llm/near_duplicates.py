@@ -11,8 +11,10 @@ confirmed on the exact sets.
 Documents with equal sets are one class from the start. Inside a bucket of classes pairs with its
 leader come first, so a bucket of many near copies is mostly one component after one pair per member.
 Only buckets with members still apart are compared further: each member outside the largest component
-with all others, in blocks, on registers, and only pairs of different components that pass the
-estimate and have not met in an earlier band come out. No link between different texts is lost to a
+with all others, in blocks, on registers. First each such member is confirmed against its most similar
+partner alone, which joins most of them; then, of those still apart, all pairs of different components
+that pass the estimate and a closer one on their least hashes and have not met in an earlier band come
+out. No link between different texts is lost to a
 cap, and pairs inside a component are not listed.
 
 Words are runs without white space, A-Z counts as a-z. A text of one to four words is one shingle; a
@@ -46,6 +48,8 @@ THRESHOLD = 75  # percent
 COLLISION = 1 / (3 << MANTISSA)
 #: Estimates below are at least five standard errors under the threshold.
 LEAST_ESTIMATE = THRESHOLD / 100 - 5 * (0.75 * 0.25 / REGISTERS) ** 0.5
+#: Least shingle hashes of a set that go along where buckets are compared as a whole.
+BOTTOM = 512
 #: Members of a bucket that are compared with as many others at a time.
 BLOCK = 1000
 
@@ -137,6 +141,11 @@ def shingle_lists(text: Column | str) -> Column:
     return find(text)
 
 
+def least_of_set(shingles: str) -> Column:
+    """The upper halves of a set's least hashes; sets are sorted as unsigned numbers."""
+    return F.transform(F.slice(shingles, 1, BOTTOM), lambda h: F.shiftrightunsigned(h, 32))
+
+
 def corrected(equal: np.ndarray) -> np.ndarray:
     """Estimated similarity from the share of equal registers."""
     return (equal - COLLISION) / (1 - COLLISION)
@@ -160,9 +169,21 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "src").join(two, "dst").where(enough).select("src", "dst")
 
 
-def apart(members: DataFrame) -> DataFrame:
+def alike(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two sets may be similar enough, by their least hashes: all of them in small sets, else
+    as many as estimate the similarity five standard errors away from the threshold."""
+    if max(len(one), len(two)) < BOTTOM:
+        both = len(np.intersect1d(one, two))
+        return both >= (THRESHOLD / 100 - 0.01) * (len(one) + len(two) - both)
+    union = np.union1d(one, two)[:BOTTOM]
+    both = np.isin(union, one) & np.isin(union, two)
+    return both.mean() >= THRESHOLD / 100 - 5 * (0.75 * 0.25 / len(union)) ** 0.5
+
+
+def apart(members: DataFrame, best: bool) -> DataFrame:
     """(src, dst) inside a bucket that may be similar, lie in different components and have not met
-    the leader; ``members`` has (band, place, rep, leader, component, registers)."""
+    the leader; ``members`` has (band, place, rep, leader, component, registers, bottom). With ``best`` only
+    the most similar partner of each member outside the largest component."""
     size = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     main = size.groupBy("band").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("n"))
     main = main.where("n > 2 AND m.n < n").select(
@@ -170,7 +191,7 @@ def apart(members: DataFrame) -> DataFrame:
         F.ceil((F.col("n") - F.col("m.n")) / BLOCK).cast("int").alias("few"), F.ceil(F.col("n") / BLOCK).cast("int").alias("all"))
     rows = members.join(main, "band")
     deal = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    columns = ["band", "place", "rep", "leader", "component", "registers"]
+    columns = ["band", "place", "rep", "leader", "component", "registers", "bottom"]
     few = rows.where("component <> main").withColumn("i", deal("few")).withColumn(
         "j", F.explode(F.sequence(F.lit(0), F.col("all") - 1))).select(*columns, "i", "j", F.lit(True).alias("outside"))
     whole = rows.withColumn("j", deal("all")).withColumn(
@@ -182,6 +203,7 @@ def apart(members: DataFrame) -> DataFrame:
         regs, component = ([np.frombuffer(b"".join(p.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
                             for p in parts], [p.column("component").to_numpy() for p in parts])
         reps = [p.column("rep").to_numpy() for p in parts]
+        bottom = [[x.values.to_numpy() for x in p.column("bottom")] for p in parts]
         place = batch.column("place")[0].as_py()
         leader = batch.column("leader")[0].as_py()
         found: list[tuple[int, int]] = []
@@ -190,9 +212,12 @@ def apart(members: DataFrame) -> DataFrame:
             near = corrected(equal.mean(axis=1)) >= LEAST_ESTIMATE
             near &= (component[1] != component[0][i]) & (reps[1] != leader) & (reps[0][i] != leader)
             rows_ = np.flatnonzero(near)
-            if len(rows_):  # only in the first band the two share
+            if len(rows_) and best:
+                found.append((int(reps[0][i]), int(reps[1][rows_[equal[rows_].sum(axis=1).argmax()]])))
+            elif len(rows_):  # only in the first band the two share
                 first = equal[rows_].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-                found += [(int(reps[0][i]), int(x)) for x in reps[1][rows_[first == place]]]
+                found += [(int(reps[0][i]), int(reps[1][x])) for x in rows_[first == place].tolist()
+                          if alike(bottom[0][i], bottom[1][x])]
         ends = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"src": ends.min(axis=1), "dst": ends.max(axis=1)})
 
@@ -222,10 +247,14 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     sets = lineage.cut(texts.select("rep", shingle_lists("text").alias("shingles")).where(F.size("shingles") > 0))
     links = lineage.cut(confirmed(first, sets))
     so_far = components(links).withColumnRenamed("id", "rep")
-    placed = members.join(so_far, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    more = lineage.cut(confirmed(apart(placed.join(known, "rep")), sets))
-    found = components(links.unionByName(more)) if more.head(1) else so_far.withColumnRenamed("rep", "id")
-    named = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+    known = known.join(sets.select("rep", least_of_set("shingles").alias("bottom")), "rep")
+    for best in (True, False):
+        placed = members.join(so_far, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        more = lineage.cut(confirmed(apart(placed.join(known, "rep"), best), sets))
+        if more.head(1):
+            links = links.unionByName(more)
+            so_far = components(links).withColumnRenamed("id", "rep")
+    named = classes.join(so_far, "rep", "left").select(
         "a", "b", F.coalesce("component", "rep").alias("component"))
     inside = usable.select("doc_id", "n", "a", "b").join(named, ["a", "b"])
     alone = rows.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component"))
