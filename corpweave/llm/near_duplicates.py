@@ -180,16 +180,19 @@ def alike(one: np.ndarray, two: np.ndarray) -> bool:
     return both.mean() >= THRESHOLD / 100 - 5 * (0.75 * 0.25 / len(union)) ** 0.5
 
 
-def apart(members: DataFrame, best: bool) -> DataFrame:
+def apart(members: DataFrame, known: DataFrame, best: bool) -> DataFrame:
     """(src, dst) inside a bucket that may be similar, lie in different components and have not met
-    the leader; ``members`` has (band, place, rep, leader, component, registers, bottom). With ``best`` only
-    the most similar partner of each member outside the largest component."""
+    the leader; ``members`` has (band, place, rep, leader, component), ``known`` what is compared, by rep.
+    With ``best`` only the most similar partner of each member outside the largest component."""
     size = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     main = size.groupBy("band").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("n"))
     main = main.where("n > 2 AND m.n < n").select(
         "band", F.col("m.component").alias("main"),
         F.ceil((F.col("n") - F.col("m.n")) / BLOCK).cast("int").alias("few"), F.ceil(F.col("n") / BLOCK).cast("int").alias("all"))
-    rows = members.join(main, "band")
+    # Only what lies in such buckets takes its registers along.
+    rows = lineage.cut(members.join(main, "band"))
+    needed = lineage.cut(rows.select("rep").distinct())
+    rows = lineage.cut(rows.join(known.join(needed, "rep"), "rep"))
     deal = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     columns = ["band", "place", "rep", "leader", "component", "registers", "bottom"]
     few = rows.where("component <> main").withColumn("i", deal("few")).withColumn(
@@ -247,10 +250,11 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     sets = lineage.cut(texts.select("rep", shingle_lists("text").alias("shingles")).where(F.size("shingles") > 0))
     links = lineage.cut(confirmed(first, sets))
     so_far = components(links).withColumnRenamed("id", "rep")
-    known = known.join(sets.select("rep", least_of_set("shingles").alias("bottom")), "rep")
+    closer = sets.select("rep", least_of_set("shingles").alias("bottom"))
+    known = known.join(closer, "rep")
     for best in (True, False):
         placed = members.join(so_far, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        more = lineage.cut(confirmed(apart(placed.join(known, "rep"), best), sets))
+        more = lineage.cut(confirmed(apart(placed, known, best), sets))
         if more.head(1):
             links = links.unionByName(more)
             so_far = components(links).withColumnRenamed("id", "rep")
