@@ -8,9 +8,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 # Texts are handled in slices of about this many bytes, so that temporary arrays stay small.
 SLICE_BYTES = 1 << 20
+# Bytes of texts that a task hands to Python at a time; Spark's own setting is eight times as much.
+BATCH_BYTES = "8m"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session set to hand its rows to Python in small batches from now on."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
 
 
 def kept_by_worker(key: str, make: Callable):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import SLICE_BYTES, groups_of_rows, utf8
+from corpweave.llm.arrow import SLICE_BYTES, groups_of_rows, in_small_batches, utf8
 
 WINDOW = 10
 #: (phrase, item) pairs that are sent to the tasks at a time.
@@ -301,7 +301,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     if not found:
         found = [hits(Phrases({}, np.zeros((0, 1), np.int64), np.ones(1, np.int64),
                               np.zeros(0, np.int64), np.zeros(1, np.int64), []), F.col("text"))]
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.select("doc_id", *[f.alias(f"_{i}") for i, f in enumerate(found)])
     if len(found) == 1:
         return rows.select("doc_id", "_0.n_words", "_0.n_hit", "_0.spans", "_0.items")
@@ -322,7 +322,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns kept, in whose text no phrase occurs."""
-    kept = docs
+    kept = in_small_batches(docs)
     for block in blocks(windows(benchmark, window)):
         kept = kept.where(hits(block, F.col(text_col))["n_hit"] == 0)
     return kept

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import kept_by_worker, utf8
+from corpweave.llm.arrow import in_small_batches, kept_by_worker, utf8
 from corpweave.llm.shingles import shingle_sets
 from corpweave.llm.words import mix
 from corpweave.operators import lineage
@@ -229,7 +229,7 @@ def apart(members: DataFrame, known: DataFrame, best: bool) -> DataFrame:
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    rows = lineage.cut(docs.select(F.col(id_col).alias("doc_id"), sketch(text_col).alias("s")).select("doc_id", "s.*"))
+    rows = lineage.cut(in_small_batches(docs).select(F.col(id_col).alias("doc_id"), sketch(text_col).alias("s")).select("doc_id", "s.*"))
     usable = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = lineage.cut(usable.groupBy("a", "b").agg(F.min("doc_id").alias("rep")))
     reps = usable.join(classes, ["a", "b"]).where("doc_id = rep")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpweave.llm.arrow import kept_by_worker, strings
+from corpweave.llm.arrow import in_small_batches, kept_by_worker, strings
 from corpweave.llm.token_counts import byte_letters
 from corpweave.operators import lineage
 
@@ -34,8 +34,8 @@ CLOSING_ID = 2
 SEQUENCE = 4096
 #: Tokens of a group on average; a group is what one task packs at a time.
 GROUP_TOKENS = 2_000_000
-#: Words whose ids a worker keeps.
-MOST_KEPT = 500_000
+#: Words, and pieces of words, whose ids a worker keeps.
+MOST_KEPT = 200_000
 
 #: Separators that other string functions take for blanks and the vocabulary does not.
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
@@ -114,7 +114,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = SEQUENCE,
             yield pa.array([[dict(zip(("start", "length", "ids_crc32", "doc_tokens", "ids"), p)) for p in f]
                             for f in found], pa.list_(parts))
 
-    found = docs.select(F.col(id_col).alias("doc_id"), F.explode(cut(text_col)).alias("p"))
+    found = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.explode(cut(text_col)).alias("p"))
     columns = ["doc_id", "p.start", "p.length", "p.ids_crc32", "p.doc_tokens"]
     return found.select(*columns, *(["p.ids"] if with_ids else []))
 

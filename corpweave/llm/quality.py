@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import groups_of_rows, utf8
+from corpweave.llm.arrow import groups_of_rows, in_small_batches, utf8
 
 CHUNK = 512
 STRIDE = 448
@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.where(F.col("label").isin(0, 1) & ~held_out(F.col("id")))
     # Which rows is settled on the small table; the order also mixes the classes.
     chosen = known.orderBy(F.xxhash64("id", F.lit(1)), "id", "label").limit(rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = in_small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     cuts = texts.join(F.broadcast(chosen), "id").select("id", "label", cut("text").alias("pieces"))
     sample = cuts.groupBy("id", "label").agg(F.min("pieces").alias("pieces"))  # repeated ids count once
     found = sorted(sample.collect(), key=lambda r: (r["id"], r["label"], r["pieces"]))
@@ -226,11 +226,11 @@ def score_column(net: dict, text: Column | str) -> Column:
 def judge(docs: DataFrame, net: dict, id_col: str = "doc_id", text_col: str = "text",
           accept: float = ACCEPT) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every text."""
-    scored = docs.select(F.col(id_col).alias("doc_id"), score_column(net, F.col(text_col)).alias("score"))
+    scored = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), score_column(net, F.col(text_col)).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= accept).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, net: dict, text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
     """The rows of ``docs``, all columns kept, whose text the network accepts."""
-    return docs.where(score_column(net, F.col(text_col)) >= accept)
+    return in_small_batches(docs).where(score_column(net, F.col(text_col)) >= accept)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import groups_of_rows, utf8
+from corpweave.llm.arrow import in_small_batches, utf8
 from corpweave.llm.words import mix
 from corpweave.operators import lineage
 
@@ -285,7 +285,7 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, spans): sorted byte spans to remove, by row hash, for the texts that have any."""
-    texts = docs.select(row_hash(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    texts = in_small_batches(docs).select(row_hash(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
     texts = texts.where(F.octet_length("text") >= LENGTH)
     found = lineage.cut(texts.select("row", anchors("text").alias("anchors")))
     each = found.select("row", F.explode("anchors").alias("x")).select("row", "x.hash", "x.n")

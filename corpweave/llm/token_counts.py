@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import kept_by_worker, strings
+from corpweave.llm.arrow import in_small_batches, kept_by_worker, strings
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -266,7 +266,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
             yield pa.StructArray.from_arrays(
                 [pa.array(totals, pa.int64()), pa.array(fits, pa.int64())], ["n_tokens", "fit_chars"])
 
-    found = docs.select(
+    found = in_small_batches(docs).select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint").alias("n_bytes"),
         count(text_col).alias("found"),

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpweave.llm.arrow import in_small_batches
+
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 FIELDS = ("record_type", "record_id", "refers_to", "concurrent_to", "target_uri", "date", "content_type",
@@ -192,5 +194,5 @@ def derivatives(records: DataFrame, id_col: str = "page_id", warc_col: str = "wa
                         row["warc"] = None
             yield pa.array(found, pa.list_(parts))
 
-    built = records.select(F.col(id_col).alias("page_id"), F.explode(build(warc_col)).alias("d"))
+    built = in_small_batches(records).select(F.col(id_col).alias("page_id"), F.explode(build(warc_col)).alias("d"))
     return built.select("page_id", *[f"d.{f}" for f in FIELDS if with_bytes or f != "warc"])
