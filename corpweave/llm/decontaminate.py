@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import SLICE_BYTES, groups_of_rows, in_small_batches, utf8
+from corpweave.llm.arrow import giving_back, SLICE_BYTES, groups_of_rows, in_small_batches, utf8
 
 WINDOW = 10
 #: (phrase, item) pairs that are sent to the tasks at a time.
 BLOCK_PHRASES = 100_000
 #: Bytes of text in a shard, unless a single text is longer.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 4 << 20
 #: Every so many positions a suffix position is kept.
 SAMPLE = 8
 
@@ -63,6 +63,7 @@ def windows(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id",
     """Distinct (phrase, item): the words of a phrase joined by blanks, the id as a string."""
 
     @F.arrow_udf("array<string>")
+    @giving_back
     def cut(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             found = []
@@ -237,6 +238,7 @@ def hits(phrases: Phrases, text: Column | str) -> Column:
     sent = phrases
 
     @F.arrow_udf(kind)
+    @giving_back
     def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             raw, offsets = utf8(column)

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpweave.llm.arrow import giving_back
 from corpweave.operators import lineage
 from corpweave.operators.components import components
 
@@ -54,6 +55,7 @@ def usable(vector: Column | str) -> Column:
     """struct<dim, mark, unit>: the vector at length one as bytes and a fingerprint; null otherwise."""
 
     @F.arrow_udf("struct<dim:int,mark:binary,unit:binary>")
+    @giving_back
     def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             yield pa.array([one(x) for x in column.to_pylist()], pa.struct(
@@ -123,6 +125,7 @@ def asked_lists(points: np.ndarray, own: np.ndarray, q: Quantiser, radius: float
 def dealt(vectors: DataFrame, q: Quantiser, radius: float, blocks: int) -> DataFrame:
     """Stored and asking copies of the vectors by list and block of the list."""
 
+    @giving_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:

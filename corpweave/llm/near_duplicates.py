@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import in_small_batches, kept_by_worker, utf8
+from corpweave.llm.arrow import giving_back, in_small_batches, kept_by_worker, utf8
 from corpweave.llm.shingles import shingle_sets
 from corpweave.llm.words import mix
 from corpweave.operators import lineage
@@ -106,6 +106,7 @@ def sketch(text: Column | str) -> Column:
     """struct<n, a, b, bands, registers>; (a, b) fingerprints the whole set."""
 
     @F.arrow_udf("struct<n:bigint,a:bigint,b:bigint,bands:array<bigint>,registers:binary>")
+    @giving_back
     def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             done = [one(*sets) for sets in shingle_sets(*utf8(column))]
@@ -132,6 +133,7 @@ def shingle_lists(text: Column | str) -> Column:
     """The distinct shingles of a text as hashes."""
 
     @F.arrow_udf("array<bigint>")
+    @giving_back
     def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             done = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64)))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpweave.llm.arrow import in_small_batches, kept_by_worker, strings
+from corpweave.llm.arrow import giving_back, in_small_batches, kept_by_worker, strings
 from corpweave.llm.token_counts import byte_letters
 from corpweave.operators import lineage
 
@@ -100,6 +100,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = SEQUENCE,
                       + [("ids", pa.binary())])
 
     @F.arrow_udf(kind)
+    @giving_back
     def cut(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, closing = word_ids(tokenizer), np.array([CLOSING_ID], "<u4").tobytes()
         step = 4 * length

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import groups_of_rows, in_small_batches, utf8
+from corpweave.llm.arrow import giving_back, groups_of_rows, in_small_batches, utf8
 
 CHUNK = 512
 STRIDE = 448
@@ -163,6 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A network trained on a bounded sample of the labelled rows that are not held out."""
 
     @F.arrow_udf("binary")
+    @giving_back
     def cut(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             raw, offsets = utf8(column)
@@ -216,6 +217,7 @@ def score_column(net: dict, text: Column | str) -> Column:
     """The score of a text column as a column."""
 
     @F.arrow_udf("double")
+    @giving_back
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             yield pa.array(scores(*utf8(column), net), pa.float64())

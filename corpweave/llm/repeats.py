@@ -36,15 +36,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import in_small_batches, utf8
+from corpweave.llm.arrow import giving_back, in_small_batches, utf8
 from corpweave.llm.words import mix
 from corpweave.operators import lineage
 
 LENGTH = 400
 GRAM = 32
 SPACING = 192
-#: Bytes of a shard, about; a task holds some forty times this while it works on one.
-SHARD_BYTES = 1_500_000
+#: Bytes of a shard, about; a task holds some hundred times this while it works on one.
+SHARD_BYTES = 500_000
 
 SPANS = "array<struct<start:bigint,stop:bigint>>"
 
@@ -90,6 +90,7 @@ def anchors(text: Column | str) -> Column:
     """array<struct<hash, n>>: the distinct anchors of a text and how often each occurs in it."""
 
     @F.arrow_udf("array<struct<hash:bigint,n:int>>")
+    @giving_back
     def find(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             raw, offsets = utf8(column)
@@ -132,6 +133,7 @@ def segments(text: Column | str, repeated: Column | str) -> Column:
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.binary()]
 
     @F.arrow_udf("array<struct<key:bigint,a:bigint,b:bigint,start:bigint,size:bigint,many:boolean,bytes:binary>>")
+    @giving_back
     def cut(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, lists in columns:
             raw, offsets = utf8(texts)
@@ -386,6 +388,7 @@ def removal(text: Column | str, spans: Column | str) -> Column:
     kinds = [pa.int64()] * 3 + [pa.string()] * 2
 
     @F.arrow_udf("struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string,kept:string>")
+    @giving_back
     def remove(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, lists in columns:
             found = []

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import in_small_batches
+from corpweave.llm.arrow import giving_back, in_small_batches
 
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
@@ -185,6 +185,7 @@ def derivatives(records: DataFrame, id_col: str = "page_id", warc_col: str = "wa
     kind = "array<struct<" + ",".join(f"{f}:{spark_kinds.get(f, 'string')}" for f in FIELDS) + ">>"
 
     @F.arrow_udf(kind)
+    @giving_back
     def build(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             found = [derive(x.as_py()) for x in column]
