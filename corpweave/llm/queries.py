@@ -86,8 +86,8 @@ WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
 ), good AS (
   SELECT vec_id, e FROM v
-  WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS src, b.vec_id AS dst FROM good a JOIN good b
   ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
