@@ -18,7 +18,7 @@ from corpweave.functions import text
 from corpweave.operators import (
     adjudicate, components, features, golden, lineage, matching, model, news, standardize, upsert,
 )
-from corpweave.operators.contract import check_contract
+from corpweave.operators.contract import check_contract, differences
 from corpweave.settings import MatchRule
 from corpweave.sources import registry_table
 from corpweave.sources import sample_tables as sample
@@ -80,6 +80,9 @@ def _amount_sql(column: str) -> str:
 
 
 BRONZE = f"""
+named_part AS (
+  SELECT * EXCLUDE (p_name), substr(sha256(CAST(p_partkey // 3 AS VARCHAR)), 1, 5) || ' ' || p_name AS p_name
+  FROM part),
 bronze_companies AS (
   SELECT p_name || {_pick(sample.REGISTRY_ENDINGS, 'p_partkey')} AS name,
          CASE WHEN p_size % 5 <> 0 THEN replace(p_name, ' ', '-') || '.example.com' END AS domain,
@@ -90,17 +93,19 @@ bronze_companies AS (
          'https://social.example.com/' || CAST(p_partkey AS VARCHAR) AS linkedin_url,
          CAST(p_size * 10 AS BIGINT) AS current_employee_estimate,
          CAST(p_size * 25 + p_partkey % 10 AS BIGINT) AS total_employee_estimate
-  FROM part),
+  FROM named_part),
 bronze_tech AS (
   SELECT CAST(c_custkey AS INTEGER) AS ranking,
-         CASE WHEN c_custkey % 3 = 0 THEN substr(p_name, 1, length(p_name) - 1) ELSE p_name END
+         CASE WHEN c_custkey % 3 = 0 THEN substr(p_name, 1, length(p_name) - 1)
+              WHEN c_custkey % 7 = 1 THEN substr(p_name, 1, length(p_name) - 2) || '99'
+              WHEN c_custkey % 11 = 2 THEN p_name || 'xyz' ELSE p_name END
            || {_pick(sample.TECH_ENDINGS, 'c_custkey')} AS company,
          '$' || CAST(c_acctbal AS VARCHAR) || {_pick(sample.CAP_SUFFIXES, 'c_custkey')} AS market_cap,
          c_name AS stock, {_pick(sample.COUNTRY_TEXTS, 'c_nationkey')} AS country,
          c_mktsegment AS sector,
          CASE WHEN c_custkey % 13 = 0 THEN 'N/A' WHEN c_custkey % 11 <> 0 THEN c_mktsegment END
            AS industry
-  FROM customer JOIN part ON p_partkey = c_custkey)"""
+  FROM customer JOIN named_part ON p_partkey = c_custkey)"""
 
 _KNOWN = "(" + ", ".join(f"'{c}'" for c in settings.COUNTRIES) + ")"
 _INDUSTRY = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in settings.INDUSTRIES.items())
@@ -261,10 +266,10 @@ def estimated_revenue(spark, folder):
     return _tech(spark, folder).select("record_id", "market_cap_usd", "estimated_revenue")
 
 
-@query(f"""
+@query(_with(BRONZE) + f"""
 SELECT name, {_key_sql('name')} AS company_name_normalised FROM (
   SELECT c_name AS name FROM customer UNION ALL SELECT s_name FROM supplier
-  UNION ALL SELECT p_name || {_pick(sample.REGISTRY_ENDINGS, 'p_partkey')} FROM part)""")
+  UNION ALL SELECT name FROM bronze_companies)""")
 def normalised_names(spark, folder):
     part = sample.bronze_companies(spark, folder).select("name")
     customer = sample.table(spark, folder, "customer").select(F.col("c_name").alias("name"))
@@ -660,9 +665,7 @@ shares AS (
 
 
 def _verdicts(spark, folder):
-    return adjudicate.adjudicate_names(
-        _band(spark, folder), adjudicate.letter_pair_scorer(LEAST_SHARE)
-    )
+    return adjudicate.adjudicate_by_share(_band(spark, folder), LEAST_SHARE)
 
 
 @query(_VERDICT_SQL + f"""
@@ -797,10 +800,25 @@ def news_refused(spark, folder):
 def news_stream_upsert(spark, folder):
     """The same items, arriving as files of a stream that is merged batch by batch."""
     place = lineage.new_folder(spark)
-    documents = _news_documents(spark, folder).repartition(4)
+    documents = _news_documents(spark, folder)
     documents.write.text(f"{place}/in")
     lines = news_stream.news_lines(spark, f"{place}/in", files_per_batch=2)
     news_stream.start(
         lines, f"{place}/table", f"{place}/quarantine", f"{place}/progress"
     ).awaitTermination()
     return _as_text(registry_table.current(spark, f"{place}/table"))
+
+
+@query("""
+SELECT column_name, kind, count(c_custkey) AS rows_concerned
+FROM customer JOIN (VALUES ('c_mktsegment', 'missing'), ('c_flag', 'extra'), ('c_name', 'retyped')) d(column_name, kind)
+  ON c_custkey IS NOT NULL
+GROUP BY column_name, kind""")
+def schema_contract_report(spark, folder):
+    """How a changed copy of a table departs from it, and how many of its rows that concerns."""
+    customer = sample.table(spark, folder, "customer")
+    staged = customer.drop("c_mktsegment").withColumns({"c_flag": F.lit(1), "c_name": F.length("c_name")})
+    concerned = [F.struct(F.lit(d.column).alias("column_name"), F.lit(d.kind).alias("kind"))
+                 for d in differences(staged, customer)]
+    counted = staged.agg(F.count("c_custkey").alias("rows_concerned"))
+    return counted.select(F.inline(F.array(*concerned)), "rows_concerned")

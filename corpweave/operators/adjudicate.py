@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpweave import schemas
-from corpweave.operators import skew
+from corpweave.operators import lineage, skew
 
 PAIR = schemas.PAIR_REQUEST.fieldNames()
 IDS = ["left_id", "right_id"]
@@ -74,17 +74,14 @@ def read_pairs(requests: DataFrame, column: str = "value") -> DataFrame:
 
 
 def ask(pairs: DataFrame, scorer: Callable[[str], str], batch: int = 200) -> DataFrame:
-    """One response text per ``batch`` pairs. A scorer that fails yields an empty response, so
-    its pairs end up with the default verdict instead of failing the job."""
+    """One response text per ``batch`` pairs. A scorer that fails, fails the job: an outage must not
+    look like a verdict."""
 
     def respond(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), batch):
                 records = frame.iloc[start:start + batch].to_dict("records")
-                try:
-                    response = scorer(json.dumps({"pairs": records}))
-                except Exception:  # the service is outside our control
-                    response = None
+                response = scorer(json.dumps({"pairs": records}))
                 yield pd.DataFrame({"response": [response]}, dtype="object")
 
     return pairs.select(*PAIR).mapInPandas(respond, "response string")
@@ -101,7 +98,8 @@ def read_verdicts(responses: DataFrame, column: str = "response") -> DataFrame:
         *[member(entry, field, "string").alias(field) for field in IDS],
         F.when(F.schema_of_variant(member(entry, "match")) == "BOOLEAN",
                member(entry, "match", "boolean")).alias("match"),
-        member(entry, "match_confidence", "double").alias("match_confidence"),
+        F.when(F.schema_of_variant(member(entry, "match_confidence")).rlike("^(BIGINT|DOUBLE|DECIMAL)"),
+               member(entry, "match_confidence", "double")).alias("match_confidence"),
     )
     return answered.where(
         F.col("match").isNotNull() & F.col("match_confidence").between(0.0, 1.0)
@@ -135,16 +133,18 @@ def adjudicate_names(pairs: DataFrame, scorer: Callable[[str], str], batch: int
     """Verdict per record pair, asking once per distinct pair of names.
 
     The scorer sees names only, so equal names get equal verdicts and are not paid for twice. The
-    name pair's hash serves as its id in the request.
+    name pair's hash serves as its id in the request. Of several verdicts on a pair the most
+    confident counts, a match before none.
     """
     names = ["left_company_name", "right_company_name"]
     tag = F.sha2(F.to_json(F.struct(*names)), 256)
     distinct = pairs.select(*names).distinct().select(
         tag.alias("left_id"), tag.alias("right_id"), *names
     )
-    verdicts = complete_verdicts(distinct, read_verdicts(ask(distinct, scorer, batch)))
-    by_name = verdicts.groupBy(F.col("left_id").alias("_tag")).agg(
-        F.max_by(F.struct("match", "match_confidence"), F.col("match_confidence")).alias("_v")
+    # Answers are paid for, so they are stored before anything reads them.
+    answers = lineage.cut(ask(distinct, scorer, batch))
+    by_name = read_verdicts(answers).groupBy(F.col("left_id").alias("_tag")).agg(
+        F.max(F.struct("match_confidence", "match")).alias("_v")
     )
     return skew.lookup_join(pairs.withColumn("_tag", tag), by_name, "_tag").select(
         *IDS,
@@ -163,24 +163,21 @@ def adjudicated_edges(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def letter_pair_scorer(least: float = 0.85) -> Callable[[str], str]:
-    """Offline stand-in for the service: the share of two-letter sequences two names have in
-    common, a match from ``least`` on."""
+def letter_pair_share(left: str, right: str) -> Column:
+    """The share of two-letter sequences two names have in common, from 0 to 1."""
 
-    def letter_pairs(name: str | None) -> set[str]:
-        name = name or ""
-        return {name[i:i + 2] for i in range(len(name) - 1)}
+    def sequences(name: str) -> str:
+        name = f"coalesce({name}, '')"
+        return (f"IF(length({name}) > 1, transform(sequence(1, length({name}) - 1), "
+                f"i -> substring({name}, i, 2)), array())")
 
-    def scorer(request: str) -> str:
-        results = []
-        for pair in json.loads(request)["pairs"]:
-            left = letter_pairs(pair["left_company_name"])
-            right = letter_pairs(pair["right_company_name"])
-            share = len(left & right) / len(left | right) if left | right else 0.0
-            results.append({
-                "left_id": pair["left_id"], "right_id": pair["right_id"],
-                "match": share >= least, "match_confidence": share,
-            })
-        return json.dumps({"results": results})
+    one, two = sequences(left), sequences(right)
+    return F.expr(f"coalesce(try_divide(cast(size(array_intersect({one}, {two})) AS DOUBLE), "
+                  f"size(array_union({one}, {two}))), 0D)")
 
-    return scorer
+
+def adjudicate_by_share(pairs: DataFrame, least: float = 0.85) -> DataFrame:
+    """Verdict per record pair without a service: a match from ``least`` shared sequences on."""
+    share = letter_pair_share("left_company_name", "right_company_name")
+    scored = pairs.select(*IDS, share.alias("match_confidence"))
+    return scored.select(*IDS, (F.col("match_confidence") >= least).alias("match"), "match_confidence")

@@ -33,19 +33,20 @@ def edges(matches: DataFrame) -> DataFrame:
     return matches.select(F.col("left_id").alias("src"), F.col("right_id").alias("dst"))
 
 
-def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, component) of every node with a link, component being the least id reached.
 
     Alternating large-star and small-star rounds (Kiveris et al., "Connected Components in
     MapReduce and Beyond", 2014). A link is kept as greater id -> lesser id. Every round is
-    checkpointed; the loop ends when a round changes nothing.
+    stored; the loop ends when a round changes nothing, after a number of rounds that grows with the
+    logarithm of the longest path.
     """
     ordered = links.where(F.col("src") != F.col("dst")).select(
         F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")
     )
     stars = lineage.cut(ordered.distinct())
     state = _fingerprint(stars)
-    for _ in range(max_rounds):
+    while True:
         skewed = state[0] >= SMALL_LINKS
         stars = lineage.cut(_small_star(_large_star(stars, skewed), skewed))
         previous, state = state, _fingerprint(stars)
@@ -54,7 +55,6 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
             return stars.select(F.col("src").alias("id"), F.col("dst").alias("component")).unionByName(
                 roots.withColumn("component", F.col("id"))
             )
-    raise RuntimeError(f"components still changing after {max_rounds} rounds")
 
 
 def _fingerprint(links: DataFrame) -> tuple:
@@ -85,9 +85,9 @@ def _small_star(links: DataFrame, skewed: bool) -> DataFrame:
     )
 
 
-def corporate_ids(nodes: DataFrame, links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def corporate_ids(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(record_id, corporate_id) for every node; one without links stands for itself."""
-    found = components(links, max_rounds)
+    found = components(links)
     return skew.lookup_join(nodes, found, "id").select(
         F.col("id").alias("record_id"), F.coalesce("component", "id").alias("corporate_id")
     )

@@ -55,7 +55,6 @@ def comparable(df: DataFrame, other: DataFrame, reach: int | None) -> DataFrame:
     present = other.selectExpr(f"{test} AS _present").distinct()
     if skew.estimated_bytes(present) > skew.broadcast_limit(df.sparkSession):
         return df
-    present = F.broadcast(present)
     return df.join(present, F.expr(test) == F.col("_present"), "left_semi")
 
 

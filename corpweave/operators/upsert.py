@@ -37,8 +37,10 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
     updated = skew.lookup_join(current, one, "_key")
     hit = F.col("_new").isNotNull()
     if duplicates == "error":
+        # In a filter, so that no choice of columns optimises the check away.
         message = F.lit("several source rows match one target row")
-        hit = F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(hit)
+        alone = F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+        updated = updated.where(alone)
     kept = updated.select(
         *[F.when(hit, F.col(f"_new.`{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in names]
     )

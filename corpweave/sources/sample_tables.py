@@ -1,8 +1,10 @@
 """The given sample tables in the shape of the bronze datasets.
 
 ``part`` plays the company registry and ``customer`` the tech companies, whose names come from
-the part with the same key: every third loses its last letter, so that near matches exist next
-to exact ones.
+the part with the same key. A word that three neighbouring parts share comes before each part's
+name, so that a name occurs a few times at any scale. Of the tech names every third loses its last
+letter and some have two letters changed or three added, so that near matches exist next to exact
+ones.
 """
 
 from __future__ import annotations
@@ -36,8 +38,13 @@ def pick(values: list[str | None], number: str) -> str:
     return f"get(array({cells}), cast({number} % {len(values)} AS INT))"
 
 
+NAMED = "concat(left(sha2(cast(p_partkey div 3 AS STRING), 256), 5), ' ', p_name) AS p_name"
+
+
 def bronze_companies(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").selectExpr(
+    parts = table(spark, folder, "part")
+    named = parts.selectExpr(*[c for c in parts.columns if c != "p_name"], NAMED)
+    return named.selectExpr(
         f"concat(p_name, {pick(REGISTRY_ENDINGS, 'p_partkey')}) AS name",
         "CASE WHEN p_size % 5 <> 0 THEN concat(replace(p_name, ' ', '-'), '.example.com') END "
         "AS domain",
@@ -53,8 +60,12 @@ def bronze_companies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_tech(spark: SparkSession, folder: str) -> DataFrame:
-    names = table(spark, folder, "part").selectExpr("p_partkey AS c_custkey", "p_name")
-    stem = "CASE WHEN c_custkey % 3 = 0 THEN left(p_name, length(p_name) - 1) ELSE p_name END"
+    names = table(spark, folder, "part").selectExpr("p_partkey AS c_custkey", NAMED)
+    stem = (
+        "CASE WHEN c_custkey % 3 = 0 THEN left(p_name, length(p_name) - 1) "
+        "WHEN c_custkey % 7 = 1 THEN concat(left(p_name, length(p_name) - 2), '99') "
+        "WHEN c_custkey % 11 = 2 THEN concat(p_name, 'xyz') ELSE p_name END"
+    )
     return (
         table(spark, folder, "customer")
         .join(names, "c_custkey")

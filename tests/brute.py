@@ -1,5 +1,6 @@
 """Plain-Python definitions that the Spark operators are compared with."""
 
+import json
 from collections import defaultdict
 
 
@@ -58,3 +59,26 @@ def least_in_component(nodes, links):
     for n in parent:
         members[root(n)].append(n)
     return {n: min(group) for group in members.values() for n in group}
+
+
+def letter_pair_scorer(least: float = 0.85):
+    """Offline stand-in for the service: the share of two-letter sequences two names have in
+    common, a match from ``least`` on."""
+
+    def letter_pairs(name: str | None) -> set[str]:
+        name = name or ""
+        return {name[i:i + 2] for i in range(len(name) - 1)}
+
+    def scorer(request: str) -> str:
+        results = []
+        for pair in json.loads(request)["pairs"]:
+            left = letter_pairs(pair["left_company_name"])
+            right = letter_pairs(pair["right_company_name"])
+            share = len(left & right) / len(left | right) if left | right else 0.0
+            results.append({
+                "left_id": pair["left_id"], "right_id": pair["right_id"],
+                "match": share >= least, "match_confidence": share,
+            })
+        return json.dumps({"results": results})
+
+    return scorer

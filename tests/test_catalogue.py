@@ -21,7 +21,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query_equals_sql(spark, db, name):
     frame = entry.queries()[name](spark, FOLDER)
     got = frame.collect()
@@ -53,3 +53,14 @@ def test_scans_are_pruned(spark):
 def test_exact_matching_broadcasts_the_small_side_and_never_measures_distance(spark):
     plan = catalogue.exact_matches(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "levenshtein" not in plan
+
+
+def test_golden_rows_grow_with_the_data(spark):
+    larger = FOLDER.replace("sf0.001", "sf0.01")
+    few, many = (catalogue.golden_registry(spark, folder).count() for folder in (FOLDER, larger))
+    assert 0 < many <= 12 * few
+
+
+def test_every_distance_occurs(spark):
+    found = catalogue.fuzzy_matches_t3(spark, FOLDER.replace("sf0.001", "sf0.01"))
+    assert {r[0] for r in found.select("name_distance").distinct().collect()} == {0, 1, 2, 3}

@@ -63,9 +63,9 @@ def test_hub_on_skew_path(spark, forced_skew, monkeypatch):
     check(spark, ["lonely"], GRAPHS["star, centre high"] + path(30))
 
 
-def test_round_limit(spark):
-    with pytest.raises(RuntimeError):
-        components.components(spark.createDataFrame(path(200), LINKS), max_rounds=1)
+def test_long_path_ends(spark):
+    found = components.components(spark.createDataFrame(path(200), LINKS))
+    assert found.select("component").distinct().count() == 1
 
 
 def test_vertices_are_distinct(spark):

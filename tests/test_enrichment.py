@@ -9,6 +9,7 @@ from tests.conftest import rows
 
 PAIR = {"left_id": "1", "right_id": "2", "left_company_name": "ibm", "right_company_name": "i b m"}
 READ = ("1", "2", "ibm", "i b m")
+from tests.brute import letter_pair_scorer
 
 
 def lines(spark, *values):
@@ -66,19 +67,53 @@ def test_complete_verdicts(spark):
     assert adjudicate.complete_verdicts(asked, given, keep_unasked=True).count() == 5
 
 
-def test_ask_in_batches_and_survive_failures(spark):
+def test_ask_in_batches(spark):
     def scorer(request):
         asked = json.loads(request)["pairs"]
         assert len(asked) <= 3
-        if any(p["left_id"] == "4" for p in asked):
-            raise RuntimeError("service down")
         return json.dumps({"results": [verdict(p["left_id"], p["right_id"]) for p in asked]})
 
     asked = pairs(spark, *[(str(i), "r") for i in range(10)]).coalesce(1)
     answers = adjudicate.ask(asked, scorer, batch=3)
     assert answers.count() == 4
     done = adjudicate.complete_verdicts(asked, adjudicate.read_verdicts(answers))
-    assert done.count() == 10 and done.where("match").count() == 7
+    assert done.count() == 10 and done.where("match").count() == 10
+
+
+def test_a_failing_scorer_fails_the_job(spark):
+    def scorer(request):
+        raise RuntimeError("service down")
+
+    with pytest.raises(Exception, match="service down"):
+        adjudicate.adjudicate_names(pairs(spark, ("1", "r")), scorer)
+
+
+def test_every_name_pair_is_asked_once(spark, tmp_path):
+    def scorer(request):
+        asked = json.loads(request)["pairs"]
+        for p in asked:
+            with open(tmp_path / "calls", "a") as file:
+                file.write(p["left_id"] + "\n")
+        return json.dumps({"results": [verdict(p["left_id"], p["right_id"]) for p in asked]})
+
+    asked = spark.createDataFrame(
+        [(str(i), "r", "acme", f"acme {i % 7}") for i in range(20)], pairs(spark, ("1", "2")).schema)
+    got = adjudicate.adjudicate_names(asked, scorer)
+    assert got.count() == 20 and got.where("match").count() == 20
+    calls = (tmp_path / "calls").read_text().split()
+    assert len(calls) == len(set(calls)) == 7
+
+
+def test_confidence_given_as_text_counts_as_not_given(spark):
+    text = '{"results": [{"left_id": "a", "right_id": "b", "match": true, "match_confidence": "0.9"}]}'
+    assert adjudicate.read_verdicts(responses(spark, text)).count() == 0
+
+
+def test_native_share_equals_the_stand_in(spark):
+    names = [("acme", "acme one"), ("", ""), (None, "x"), ("aaaa", "aa"), ("Müller", "Muller")]
+    asked = spark.createDataFrame([(str(i), "r", a, b) for i, (a, b) in enumerate(names)], pairs(spark, ("1", "2")).schema)
+    given = adjudicate.adjudicate_names(asked, letter_pair_scorer(0.8))
+    assert rows(adjudicate.adjudicate_by_share(asked, 0.8)) == rows(given)
 
 
 def test_names_are_scored_once(spark):
@@ -86,7 +121,7 @@ def test_names_are_scored_once(spark):
         [(str(i), "r", "acme one", "acme on" if i % 2 else "other") for i in range(20)],
         pairs(spark, ("1", "2")).schema,
     )
-    got = adjudicate.adjudicate_names(asked, adjudicate.letter_pair_scorer(0.8))
+    got = adjudicate.adjudicate_names(asked, letter_pair_scorer(0.8))
     assert got.count() == 20
     by_match = {r.match: r["count"] for r in got.groupBy("match").count().collect()}
     assert by_match == {True: 10, False: 10}

@@ -14,6 +14,7 @@ from corpweave.sources import sample_tables as sample
 from tests.conftest import rows
 
 FOLDER = "/root/testdata/sf0.001"
+from tests.brute import letter_pair_scorer
 
 
 @pytest.fixture(scope="module")
@@ -89,7 +90,7 @@ def test_adjudicated_edges_join_entities(spark, lake):
     silver.run(spark, f"{lake}/bronze/companies", f"{lake}/bronze/tech", f"{s}/companies",
                f"{s}/tech", f"{s}/matches")
     enrichment.adjudicate_matches(spark, f"{s}/companies", f"{s}/tech", f"{s}/verdicts",
-                                  adjudicate.letter_pair_scorer(0.0))
+                                  letter_pair_scorer(0.0))
     extra = adjudicate.adjudicated_edges(spark.read.parquet(f"{s}/verdicts"))
     assert extra.count() > 0
     golden.run(spark, f"{s}/companies", f"{s}/tech", f"{s}/golden", f"{s}/matches", extra)
