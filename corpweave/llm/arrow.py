@@ -19,6 +19,9 @@ SLICE_BYTES = 1 << 20
 BATCH_BYTES = "8m"
 
 
+CACHE = "cache_"
+
+
 def in_small_batches(df: DataFrame) -> DataFrame:
     """``df``, with the session set to hand its rows to Python in small batches from now on."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
@@ -28,7 +31,8 @@ def in_small_batches(df: DataFrame) -> DataFrame:
 def kept_by_worker(key: str, make: Callable):
     """What ``make`` returns, made once per Python worker process and reused by its later tasks.
 
-    For read-only tables and bounded caches only: a lost worker just makes them again.
+    For read-only tables and bounded caches only: a lost worker just makes them again. A key that
+    starts with ``CACHE`` is given up when the worker turns to an operator that has no use for it.
     """
     store = sys.modules.setdefault("_corpweave_worker", types.ModuleType("_corpweave_worker"))
     if not hasattr(store, key):
@@ -44,6 +48,9 @@ def giving_back(task: Callable) -> Callable:
 
     @functools.wraps(task)
     def run(batches: Iterator) -> Iterator:
+        store = sys.modules.get("_corpweave_worker")
+        for key in [k for k in vars(store or types) if k.startswith(CACHE)]:
+            delattr(store, key)
         try:
             yield from task(batches)
         finally:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpweave.llm.arrow import giving_back, in_small_batches, kept_by_worker, strings
+from corpweave.llm.arrow import CACHE, in_small_batches, kept_by_worker, strings
 from corpweave.llm.token_counts import byte_letters
 from corpweave.operators import lineage
 
@@ -35,7 +35,7 @@ SEQUENCE = 4096
 #: Tokens of a group on average; a group is what one task packs at a time.
 GROUP_TOKENS = 2_000_000
 #: Words, and pieces of words, whose ids a worker keeps.
-MOST_KEPT = 200_000
+MOST_KEPT = 500_000
 
 #: Separators that other string functions take for blanks and the vocabulary does not.
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
@@ -89,7 +89,7 @@ class WordIds(dict):
 
 def word_ids(tokenizer: str) -> WordIds:
     path = public_tokenizers.path(tokenizer)
-    return kept_by_worker("ids_" + tokenizer, lambda: WordIds(Tokenizer.from_file(path)))
+    return kept_by_worker(CACHE + "ids_" + tokenizer, lambda: WordIds(Tokenizer.from_file(path)))
 
 
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = SEQUENCE,
@@ -100,7 +100,6 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = SEQUENCE,
                       + [("ids", pa.binary())])
 
     @F.arrow_udf(kind)
-    @giving_back
     def cut(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, closing = word_ids(tokenizer), np.array([CLOSING_ID], "<u4").tobytes()
         step = 4 * length

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import giving_back, in_small_batches, kept_by_worker, strings
+from corpweave.llm.arrow import CACHE, in_small_batches, kept_by_worker, strings
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -245,7 +245,7 @@ def byte_letters() -> list[str]:
 
 def counter(tokenizer: str) -> PrefixCounter:
     path = public_tokenizers.path(tokenizer)
-    return kept_by_worker("prefixes_" + tokenizer, lambda: PrefixCounter(path))
+    return kept_by_worker(CACHE + "prefixes_" + tokenizer, lambda: PrefixCounter(path))
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT,
@@ -257,7 +257,6 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
     kind = "struct<n_tokens:bigint,fit_chars:bigint>"
 
     @F.arrow_udf(kind)
-    @giving_back
     def count(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counts = counter(tokenizer)
         for column in columns:

@@ -162,18 +162,19 @@ def derive(data: bytes | None) -> list[dict]:
             fields.append(("title", one_line(html.unescape(title[1]).strip())))
         fields += [("outlink", one_line(html.unescape(m[1] or m[2] or m[3] or ""))) for m in _LINK.finditer(page)]
     about = "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
-    meta_id, text_id = urn("metadata", source, digest(about)), urn("conversion", source, digest(text))
+    about_digest, text_digest = digest(about), digest(text)
+    meta_id, text_id = urn("metadata", source, about_digest), urn("conversion", source, text_digest)
 
-    def made(kind: str, own_id: str, beside: str | None, content_type: str, content: bytes) -> dict:
+    def made(kind: str, own_id: str, beside: str | None, content_type: str, content: bytes, mark: str) -> dict:
         known = [("WARC-Type", kind), ("WARC-Record-ID", own_id), ("WARC-Date", date), ("WARC-Target-URI", uri),
-                 ("WARC-Refers-To", source), ("WARC-Block-Digest", digest(content)), ("Content-Type", content_type)]
+                 ("WARC-Refers-To", source), ("WARC-Block-Digest", mark), ("Content-Type", content_type)]
         if beside:
             known.append(("WARC-Concurrent-To", beside))
         return dict(zip(FIELDS, (kind, own_id, source, beside, uri, date, content_type, len(content),
-                                 digest(content), said or own, content.decode(), record(known, content), None)))
+                                 mark, said or own, content.decode(), record(known, content), None)))
 
-    return [made("metadata", meta_id, None, "application/warc-fields", about),
-            made("conversion", text_id, meta_id, "text/plain; charset=utf-8", text)]
+    return [made("metadata", meta_id, None, "application/warc-fields", about, about_digest),
+            made("conversion", text_id, meta_id, "text/plain; charset=utf-8", text, text_digest)]
 
 
 def derivatives(records: DataFrame, id_col: str = "page_id", warc_col: str = "warc",
