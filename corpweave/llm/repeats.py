@@ -3,9 +3,9 @@
 Texts are bytes; a *window* is a string of ``LENGTH`` bytes and is repeated when it also starts
 anywhere else, in the same text or another. The work narrows down in steps that lose no window:
 
-1. Every text yields anchors, the least hashes of 32-byte strings within some distance. A repeated
-   window has the same anchors wherever it occurs, so a window with an anchor that occurs only once
-   is out.
+1. Every text yields anchors, the least hashes of 32-byte strings within some distance. Those that a
+   repeated window's own bytes decide are anchors wherever it occurs, so a window with such an anchor
+   that occurs only once is out.
 2. The remaining windows are cut into segments: neighbours with the same least 32-byte hash. Equal
    windows share that hash, so they meet in the group of segments under it. Equal segments are
    counted, not carried along: all windows of a segment that occurs twice are repeated.
@@ -113,14 +113,20 @@ def anchors(text: Column | str) -> Column:
 
 
 def open_windows(raw: np.ndarray, hashes: np.ndarray, repeated: np.ndarray) -> np.ndarray:
-    """For every window start whether all anchors inside the window are repeated ones."""
-    places = anchor_places(hashes)
-    at = np.minimum(np.searchsorted(repeated, hashes[places]), max(len(repeated) - 1, 0))
-    known = repeated[at] == hashes[places] if len(repeated) else np.zeros(len(places), bool)
-    alone, n = places[~known], len(raw) - LENGTH + 1
-    low, high = np.maximum(alone + GRAM - LENGTH, 0), np.minimum(alone, n - 1) + 1
-    change = np.bincount(low, minlength=n + 1) - np.bincount(high, minlength=n + 1)
-    return np.cumsum(change[:n]) == 0
+    """For every window start whether all anchors that the window's own bytes decide are repeated.
+
+    An anchor near the window's end may owe its place to bytes outside and be none where the window
+    starts elsewhere. So what counts is the least hash of each stretch of ``SPACING`` inside.
+    """
+    least = sliding(hashes, SPACING, np.minimum)
+    change = np.append(0, np.flatnonzero(least[1:] != least[:-1]) + 1)
+    values = least[change]
+    at = np.minimum(np.searchsorted(repeated, values), max(len(repeated) - 1, 0))
+    known = repeated[at] == values if len(repeated) else np.zeros(len(values), bool)
+    alone = np.repeat(~known, np.diff(np.append(change, len(least))))
+    before = np.append(0, np.cumsum(alone))
+    windows, stretches = len(raw) - LENGTH + 1, LENGTH - GRAM - SPACING + 2
+    return before[stretches:stretches + windows] == before[:windows]
 
 
 def segments(text: Column | str, repeated: Column | str) -> Column:
@@ -418,8 +424,9 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with repeated strings removed from the text."""
-    spans = repeated_spans(docs, id_col, text_col).withColumnRenamed("row", "_row").withColumnRenamed("spans", "_spans")
-    joined = docs.withColumn("_row", row_hash(id_col, text_col)).join(spans, "_row", "left")
-    kept = removal(text_col, "_spans")["kept"]
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(kept)).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    # The whole row travels in one column, so that no name of its own can clash.
+    rows = docs.select(F.struct("*").alias("doc"), row_hash(id_col, text_col).alias("row"))
+    joined = rows.join(repeated_spans(docs, id_col, text_col), "row", "left")
+    text = F.col("doc").getField(text_col)
+    kept = F.when(F.col("spans").isNull(), text).otherwise(removal(text, F.col("spans"))["kept"])
+    return joined.select(F.col("doc").withField(f"`{text_col}`", kept).alias("doc")).select("doc.*")

@@ -70,3 +70,15 @@ def test_interval_expansion_equals_counting(monkeypatch):
         parts = ["".join(random.choice("ab\0é") for _ in range(random.randint(0, 60))).encode() for _ in range(random.randint(1, 6))]
         want = r.plain_repeats(parts)
         assert all((a == b).all() for a, b in zip(r.repeated_windows(parts), want))
+
+
+def test_passages_barely_longer_than_a_window(spark):
+    """Anchors at a passage's ends differ with what stands around it."""
+    random.seed(12)
+    draw = lambda n: "".join(random.choice("etaoin shrdlu.") for _ in range(n))
+    rows = []
+    for i in range(60):
+        passage = draw(random.randint(399, 430))
+        rows += [(2 * i, draw(random.randint(0, 700)) + passage + draw(random.randint(0, 700))),
+                 (2 * i + 1, draw(random.randint(0, 700)) + passage + draw(random.randint(0, 700)))]
+    assert got(spark, rows) == brute(rows)
