@@ -53,10 +53,12 @@ def _news_requests(spark, a):
 
 
 def _news_merge(spark, a):
+    _catalog(spark, a)
     enrichment.merge_news(spark, a.documents_path, a.table, a.quarantine_path)
 
 
 def _news_stream(spark, a):
+    _catalog(spark, a)
     lines = news_stream.news_lines(spark, a.documents_path)
     news_stream.start(lines, a.table, a.quarantine_path, a.progress_path).awaitTermination()
 
@@ -106,9 +108,11 @@ def arguments() -> argparse.ArgumentParser:
     train.add_argument("--random-split", action="store_true")
     catalog_options(train)
     stage("news-requests", _news_requests, ["requests-path", "accepted-path", "rejected-path"])
-    stage("news-merge", _news_merge, ["documents-path", "table", "quarantine-path"])
-    stage("news-stream", _news_stream,
-          ["documents-path", "table", "quarantine-path", "progress-path"])
+    catalog_options(
+        stage("news-merge", _news_merge, ["documents-path", "table", "quarantine-path"])
+    )
+    catalog_options(stage("news-stream", _news_stream,
+                          ["documents-path", "table", "quarantine-path", "progress-path"]))
     return parser
 
 

@@ -589,10 +589,44 @@ def stable_split(spark, folder):
     )
 
 
-@query()
+@query(_with(SILVER, _FEATURES_SQL) + f"""
+, drawn AS (
+  SELECT {features.LABEL} AS label,
+         CAST(('0x' || substr(sha256(concat_ws('|', '{model.SEED}',
+           {', '.join(f"coalesce({c}, '')" for c in ROW_KEY)})), 1, 8)) AS BIGINT) % 100
+           < {model.TRAIN_PERCENT} AS in_train
+  FROM features WHERE {_COMPLETE_SQL}),
+plain AS (SELECT avg(label) AS guess FROM drawn WHERE in_train)
+SELECT 'LinearRegression' AS model, count(*) FILTER (in_train) AS train_rows,
+       count(*) FILTER (NOT in_train) AS test_rows,
+       round(avg(abs(label - guess)) FILTER (NOT in_train), 6) AS mean_guess_error,
+       TRUE AS mae_is_mean_error, TRUE AS centred_on_train, TRUE AS fits_train
+FROM drawn, plain""")
 def model_mae(spark, folder):
-    trained = model.train(lineage.cut(_features(spark, folder)))
-    return trained.report(spark).select("model", "train_rows", "test_rows", "metrics.mae")
+    """The report of a training run, the error of always guessing the train rows' mean, and what must
+    hold for every optimum: the reported error is the mean absolute error of the predictions, the
+    intercept is free, so train residuals average 0, and their square is at most the variance."""
+    rows = lineage.cut(_features(spark, folder))
+    trained = model.train(rows)
+    train_rows, test_rows = model.split(features.complete(rows))
+    label, prediction = F.col(features.LABEL), F.col("prediction")
+    on_train = trained.model.transform(train_rows).agg(
+        F.avg(label).alias("guess"), F.var_pop(label).alias("variance"),
+        F.avg(label - prediction).alias("residual"),
+        F.avg((label - prediction) * (label - prediction)).alias("square"),
+    )
+    # The joined sides are single rows.
+    errors = trained.model.transform(test_rows).join(F.broadcast(on_train.select("guess"))).agg(
+        F.avg(F.abs(label - prediction)).alias("error"),
+        F.round(F.avg(F.abs(label - F.col("guess"))), 6).alias("mean_guess_error"),
+    )
+    report = trained.report(spark).select("model", "train_rows", "test_rows", "metrics.mae")
+    return report.join(errors).join(on_train).select(
+        "model", "train_rows", "test_rows", "mean_guess_error",
+        (F.abs(F.col("mae") - F.col("error")) < 1e-9).alias("mae_is_mean_error"),
+        (F.abs("residual") < 1e-6).alias("centred_on_train"),
+        (F.col("square") <= F.col("variance") + 1e-9).alias("fits_train"),
+    )
 
 
 # --- Adjudication ------------------------------------------------------------------------------
@@ -736,6 +770,7 @@ def _news_documents(spark, folder):
       WHEN 5 THEN concat({head}, {title}, ',"extra":1', {tail})
       WHEN 6 THEN ''
       WHEN 7 THEN concat({head}, {title}, {tail}, ',', {impossible}, {title}, {tail})
+      WHEN 8 THEN concat({head}, {title}, {tail}, ',', {head}, ',"title":5', {tail}, ',"{{}}"')
       ELSE concat({head}, {title}, {tail}) END"""
     line = f"""concat('{{"corporate_id":"C-', user_id, '","company":"Company ', user_id,
       '","current_date":"2024-1-', user_id % 20 + 1, '","items":[', {items},
@@ -789,7 +824,9 @@ SELECT error, count(*) AS entries FROM (
   SELECT CASE kind WHEN 3 THEN 'unreadable document' WHEN 4 THEN 'item: missing field'
                    WHEN 5 THEN 'item: unknown field' ELSE 'item: older than requested' END AS error
   FROM feed WHERE kind IN (3, 4, 5) OR (kind <> 6 AND date < asked)
-  UNION ALL SELECT 'item: unreadable date' FROM feed WHERE kind = 7)
+  UNION ALL SELECT 'item: unreadable date' FROM feed WHERE kind = 7
+  UNION ALL SELECT 'item: wrong type' FROM feed WHERE kind = 8
+  UNION ALL SELECT 'item: not an object' FROM feed WHERE kind = 8)
 GROUP BY error""")
 def news_refused(spark, folder):
     refused = news.refused(news.read_news(_news_documents(spark, folder)))

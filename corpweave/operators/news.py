@@ -43,8 +43,13 @@ def read_requests(requests: DataFrame, column: str = "value") -> DataFrame:
     text); ``queryStringParameters`` fill what is left blank. Absent values are ''.
     """
     others = [c for c in requests.columns if c != column]
-    event = F.try_parse_json(F.col(column))
-    body = member(event, "body")
+    # One step per level, so that no text is parsed again for each value taken from it.
+    events = requests.select(*others, F.try_parse_json(F.col(column)).alias("_event"))
+    bodies = events.select(
+        *others, "_event", member(F.col("_event"), "body").alias("_body"),
+        member(F.col("_event"), "queryStringParameters").alias("_query"),
+    )
+    event, body = F.col("_event"), F.col("_body")
     body_kind = F.coalesce(F.schema_of_variant(body), F.lit("VOID"))
     body_text = body.try_cast("string")
     source = (
@@ -52,8 +57,7 @@ def read_requests(requests: DataFrame, column: str = "value") -> DataFrame:
         .when(body_kind.startswith("OBJECT") & (body_text != "{}"), body)
         .otherwise(event)
     )
-    query = member(event, "queryStringParameters")
-    parsed = requests.select(*others, source.alias("_source"), query.alias("_query"))
+    parsed = bodies.select(*others, source.alias("_source"), "_query")
     members = parsed.select(
         *others,
         *[member(F.col("_source"), field).alias(f"_own_{field}") for field in FIELDS],
@@ -80,17 +84,20 @@ def checked_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(fields: str) -> str:
-    return f"{fields}, _corrupt_record STRING"
+def _members(value: str) -> str:
+    """The members of a variant object by name, NULL for any other value."""
+    return f"try_variant_get({value}, '$', 'map<string,variant>')"
 
 
-def _key_problem(keys: str, wanted: list[str]) -> str:
-    """What is wrong with the member names of an object, NULL when they are exactly ``wanted``."""
-    listed = "array(" + ", ".join(f"'{name}'" for name in sorted(wanted)) + ")"
+def _field_problem(members: str, wanted: list[str]) -> str:
+    """What is wrong with the members of an object that should be exactly the texts ``wanted``."""
+    listed = "array(" + ", ".join(f"'{name}'" for name in wanted) + ")"
+    kinds = f"transform({listed}, name -> schema_of_variant({members}[name]))"
     return (
-        f"CASE WHEN sort_array({keys}) = {listed} THEN NULL "
-        f"WHEN size(array_except({listed}, {keys})) > 0 THEN 'missing field' "
-        "ELSE 'unknown field' END"
+        f"CASE WHEN exists({kinds}, kind -> kind IS NULL) THEN 'missing field' "
+        f"WHEN size({members}) > {len(wanted)} THEN 'unknown field' "
+        f"WHEN exists({kinds}, kind -> kind = 'VOID') THEN 'missing field' "
+        f"WHEN exists({kinds}, kind -> kind <> 'STRING') THEN 'wrong type' END"
     )
 
 
@@ -98,49 +105,53 @@ def read_news(documents: DataFrame, column: str = "value") -> DataFrame:
     """Items of result documents, one JSON document per row, with the problem of each in ``error``.
 
     Accepted items have ``error`` NULL. A document that cannot be used gives one row that holds
-    its text in ``entry``. Items dated before the document's ``current_date`` are refused, as are
-    items whose date cannot be read. Each text is parsed once.
+    its text in ``entry``; one without items gives none. All members but ``items`` must be texts.
+    Items dated before the document's ``current_date`` are refused, as are items whose date cannot
+    be read. An item keeps its own ``corporate_id``, which may differ from its document's. Each
+    document is parsed once; its items are taken from the parsed value.
     """
-    texts = documents.selectExpr(
-        f"`{column}` AS entry",
-        f"from_json(`{column}`, '{_parsed('company STRING, current_date STRING, items ARRAY<STRING>')}') "
-        "AS doc",
-        f"json_object_keys(`{column}`) AS keys",
+    parsed = documents.selectExpr(f"`{column}` AS entry", f"try_parse_json(`{column}`) AS doc")
+    opened = parsed.selectExpr("entry", f"{_members('doc')} AS members")
+    heads = opened.selectExpr(
+        "entry",
+        "map_filter(members, (name, value) -> name <> 'items') AS head",
+        "schema_of_variant(members['items']) AS kind",
+        "try_variant_get(members['items'], '$', 'array<variant>') AS items",
+        *[f"try_variant_get(members['{name}'], '$', 'string') AS `{name}`" for name in FIELDS[1:]],
     )
-    read = texts.select(
-        "entry", "keys", "doc.company", "doc.items",
-        calendar_date(F.col("doc.`current_date`")).alias("asked"),
-        F.expr("doc._corrupt_record IS NOT NULL OR keys IS NULL").alias("unreadable"),
+    read = heads.select(
+        "*", calendar_date(F.col("`current_date`")).alias("asked")
     ).selectExpr(
-        "entry", "company", "asked", "items",
-        f"""CASE WHEN unreadable THEN 'unreadable document'
-            ELSE concat('document: ', coalesce({_key_problem('keys', [*FIELDS, 'items'])},
-              IF(items IS NULL OR company IS NULL, 'missing field', NULL),
+        "entry", "company", "asked",
+        f"""CASE WHEN head IS NULL OR (items IS NULL AND kind <> 'VOID') THEN 'unreadable document'
+            ELSE concat('document: ', coalesce(
+              IF(items IS NULL, 'missing field', NULL), {_field_problem('head', FIELDS)},
               IF(asked IS NULL, 'unreadable current_date', NULL))) END AS problem""",
+        "items",
     )
+    # The outer form, since the plain one would have Spark test the array for emptiness ahead and
+    # parse the document again for that.
     entries = read.selectExpr(
         "entry", "company", "asked", "problem",
-        "explode(IF(problem IS NULL, items, array(string(NULL)))) AS item",
-    ).selectExpr(
-        "*",
-        f"from_json(item, '{_parsed(', '.join(f'{name} STRING' for name in ITEM_FIELDS))}') AS parts",
-        "json_object_keys(item) AS keys",
+        """explode_outer(IF(problem IS NULL, transform(items, item -> struct(item)),
+             array(struct(CAST(NULL AS VARIANT) AS item)))) AS found""",
+    ).where("found IS NOT NULL")
+    opened_items = entries.selectExpr(
+        "entry", "company", "asked", "problem", "found.item", f"{_members('found.item')} AS members"
     )
-    checked = entries.select(
-        "entry", "asked", "problem", "item", "keys", "parts.corporate_id", "company", "parts.title",
-        "parts.url", calendar_date(F.col("parts.date")).alias("date"),
-    ).selectExpr(
+    return opened_items.selectExpr(
+        "entry", "asked", "problem", "item", "members", "company",
+        *[f"try_variant_get(members['{name}'], '$', 'string') AS `{name}`" for name in ITEM_FIELDS],
+    ).withColumn("date", calendar_date(F.col("date"))).selectExpr(
         "corporate_id", "IF(problem IS NULL, company, NULL) AS company",
         "IF(problem IS NULL, asked, NULL) AS `current_date`", "date", "title", "url",
-        "IF(problem IS NULL, coalesce(item, 'null'), entry) AS entry",
+        "IF(problem IS NULL, coalesce(to_json(item), 'null'), entry) AS entry",
         f"""CASE WHEN problem IS NOT NULL THEN problem
             ELSE concat('item: ', coalesce(
-              IF(keys IS NULL, 'not an object', {_key_problem('keys', ITEM_FIELDS)}),
-              IF(corporate_id IS NULL OR title IS NULL OR url IS NULL, 'missing field', NULL),
+              IF(members IS NULL, 'not an object', NULL), {_field_problem('members', ITEM_FIELDS)},
               IF(date IS NULL, 'unreadable date', NULL),
               IF(date < asked, 'older than requested', NULL))) END AS error""",
     )
-    return checked
 
 
 def accepted(entries: DataFrame) -> DataFrame:

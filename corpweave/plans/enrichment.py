@@ -27,8 +27,8 @@ def adjudicate_matches(spark: SparkSession, silver_companies_path: str, silver_t
 def merge_news(spark: SparkSession, documents_path: str, table: str, quarantine_path: str) -> None:
     """Validate, deduplicate and upsert all result documents of a folder."""
     entries = news.read_news(spark.read.text(documents_path))
-    items = news.newer_items(news.accepted(entries), registry_table.current(spark, table))
-    registry_table.upsert(spark, table, items, news.ITEM_KEY)
+    items = news.newer_items(news.accepted(entries), registry_table.stored(spark, table))
+    registry_table.store(spark, table, items, news.ITEM_KEY)
     files.write(news.refused(entries), quarantine_path)
 
 

@@ -13,14 +13,21 @@ from corpweave import schemas
 def read(spark: SparkSession, source: str, needs: StructType | None = None) -> DataFrame:
     """A parquet folder, or a catalog table when ``source`` holds no slash.
 
-    ``needs`` names columns the frame must have; a missing one fails here, by name, instead of
-    somewhere inside a plan.
+    ``needs`` gives columns the frame must have and their types; one that is missing or of another
+    type fails here, by name, instead of somewhere inside a plan.
     """
     df = spark.read.parquet(source) if "/" in source else spark.table(source)
     if needs is not None:
         missing = [name for name in needs.fieldNames() if name not in df.columns]
         if missing:
             raise ValueError(f"{source} lacks columns: {', '.join(missing)}")
+        retyped = [
+            f"{field.name} is {df.schema[field.name].dataType.simpleString()}, "
+            f"not {field.dataType.simpleString()}"
+            for field in needs if df.schema[field.name].dataType != field.dataType
+        ]
+        if retyped:
+            raise ValueError(f"{source} has other types: {', '.join(retyped)}")
     return df
 
 

@@ -91,6 +91,21 @@ def current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(_folder(root, finished[-1])).drop(BUCKET)
 
 
+def in_catalog(table: str) -> bool:
+    """A name without a slash is a catalog table, any other a folder of snapshots."""
+    return "/" not in table
+
+
+def stored(spark: SparkSession, table: str) -> DataFrame | None:
+    """The rows of a catalog table or of a folder's latest snapshot."""
+    return spark.table(table) if in_catalog(table) else current(spark, table)
+
+
+def store(spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str] = (KEY,)) -> None:
+    """Upsert by the table's own MERGE, or into the next snapshot of a folder."""
+    (merge_into if in_catalog(table) else upsert)(spark, table, staged, keys)
+
+
 def publish(df: DataFrame, root: str, bucket_by: str | None = None) -> str:
     """Write the next snapshot. With ``bucket_by`` files are grouped into hash buckets of that
     column; the rebalance hint lets Spark split a bucket that is far larger than the rest."""

@@ -25,8 +25,8 @@ def merge_batch(batch: DataFrame, table: str, quarantine: str, batch_id: int) ->
     """
     spark = batch.sparkSession
     entries = news.read_news(batch)
-    items = news.newer_items(news.accepted(entries), registry_table.current(spark, table))
-    registry_table.upsert(spark, table, items, news.ITEM_KEY)
+    items = news.newer_items(news.accepted(entries), registry_table.stored(spark, table))
+    registry_table.store(spark, table, items, news.ITEM_KEY)
     news.refused(entries).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
 
 

@@ -3,6 +3,7 @@ import json
 import pytest
 
 from corpweave.operators import adjudicate, news
+from corpweave.plans import enrichment
 from corpweave.sources import registry_table
 from corpweave.streaming import news_stream
 from tests.conftest import rows
@@ -180,6 +181,11 @@ def document(*items, **fields):
     (document(item(title=None)), "item: missing field"), (document(company=None), "document: missing field"),
     (json.dumps(document(item()))[:-1], "unreadable document"), (document(None), "item: not an object"),
     ("{bad", "unreadable document"),
+    (document(json.dumps(item())), "item: not an object"), (document(item(title=5)), "item: wrong type"),
+    (document(item(url={"a": 1})), "item: wrong type"), (document(item(), company=7), "document: wrong type"),
+    (document(item(), corporate_id=None), "document: missing field"),
+    (document(item(), current_date=20260127), "document: wrong type"),
+    (document(item(corporate_id="C-2")), None),
 ])
 def test_read_news(spark, doc, error):
     got = news.read_news(lines(spark, doc)).collect()
@@ -190,6 +196,17 @@ def test_empty_items_give_nothing(spark):
     assert news.read_news(lines(spark, document())).count() == 0
 
 
+def parses(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson(")
+
+
+def test_no_text_is_parsed_twice(spark):
+    texts = spark.range(3).selectExpr("""concat('{"company":"', id, '"}') AS value""")
+    assert parses(news.accepted(news.read_news(texts))) == 1
+    # The event, and its body when that is text.
+    assert parses(news.checked_requests(news.read_requests(texts))) == 2
+
+
 def test_newest_and_top(spark):
     items = [item(date=f"2026-02-{d:02d}", url=f"u{d % 12}") for d in range(1, 25)]
     accepted = news.accepted(news.read_news(lines(spark, document(*items))))
@@ -224,3 +241,16 @@ def test_stream(spark, tmp_path):
     assert run() == [("C-1", "u", "new"), ("C-1", "v", "t")]
     refused = spark.read.parquet(str(tmp_path / "quarantine"))
     assert rows(refused.select("error")) == [("unreadable document",)]
+
+
+def test_news_of_a_catalog_table_goes_through_merge(spark, tmp_path, monkeypatch):
+    merges = []
+    monkeypatch.setattr(
+        registry_table, "merge_into", lambda spark, table, staged, keys: merges.append(
+            (table, list(keys), sorted(r.title for r in staged.collect()))))
+    old = news.accepted(news.read_news(lines(spark, document(item(title="old")))))
+    old.createOrReplaceTempView("stored_news")
+    (tmp_path / "docs").write_text(json.dumps(document(item(title="new", url="v"), item(date="2026-01-27"))))
+    enrichment.merge_news(spark, str(tmp_path / "docs"), "stored_news", str(tmp_path / "refused"))
+    # The stored item is dated later than the one that came with the same address.
+    assert merges == [("stored_news", ["corporate_id", "url"], ["new", "old"])]

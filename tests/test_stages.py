@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql.types import StructType
 
 from corpweave import __main__ as cli
 from corpweave import schemas
@@ -134,3 +135,11 @@ def test_reading(spark, lake, tmp_path):
     row = files.read_golden_export(spark, str(export)).first()
     assert row.tech_company == "a, inc." and row.tech_market_cap_usd == 1.31e9
     assert row.reg_record_id is None and row.tech_processing_ts.microsecond == 301629
+
+
+def test_read_refuses_other_types(spark, tmp_path):
+    path = f"{tmp_path}/amounts"
+    spark.range(3).selectExpr("id", "double(id) AS amount").write.parquet(path)
+    assert files.read(spark, path, StructType().add("amount", "double")).count() == 3
+    with pytest.raises(ValueError, match="amount is double, not string"):
+        files.read(spark, path, StructType().add("amount", "string"))
