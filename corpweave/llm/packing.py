@@ -13,6 +13,8 @@ length go by the order of the pieces' numbers. Other columns than the id and the
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -42,6 +44,8 @@ NOT_BLANK = "\x1c\x1d\x1e\x1f"
 #: Below this character every text is in composed form and has lower case letter by letter.
 PLAIN = "\u0250"
 PIECES = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+#: The same for words of ASCII characters in lower case.
+ASCII_PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+").findall
 
 
 class WordIds(dict):
@@ -53,7 +57,7 @@ class WordIds(dict):
     """
 
     def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         self.pieces: dict[str, bytes] = {}
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
 
@@ -65,14 +69,19 @@ class WordIds(dict):
         if known is None:
             if len(self.pieces) >= MOST_KEPT:
                 self.pieces.clear()
-            written = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.tokenizer.model.tokenize(written)]
-            known = self.pieces[piece] = np.array(ids, "<u4").tobytes()
+            written = piece  # printable ASCII characters are their own letters
+            if not (piece.isascii() and piece.isprintable()):
+                written = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(written)]
+            known = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return known
 
     def __missing__(self, word: str) -> bytes:
-        if "'" in word or "<|" in word or max(word) >= PLAIN:
+        plain = word.isascii()
+        if "'" in word or "<|" in word or not plain and max(word) >= PLAIN:
             found = self.encode(word)
+        elif plain:
+            found = b"".join(map(self.piece, ASCII_PIECES(word.lower())))
         else:
             found = b"".join(map(self.piece, PIECES(word.lower())))
         if len(word) < 64:
