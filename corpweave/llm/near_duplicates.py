@@ -20,7 +20,8 @@ cap, and pairs inside a component are not listed.
 Words are runs without white space, A-Z counts as a-z. A text of one to four words is one shingle; a
 null or wordless text is linked with nothing and kept. Rows with equal ids are one document: it is
 linked by the shingles of any of them, and its component goes by its id. A row with a null id stands
-alone, has a null component and is kept. Other columns are ignored, in ``distinct`` kept.
+alone, has a null component and is kept. ``distinct`` takes rows of one id with different texts as
+different documents. Other columns are ignored, in ``distinct`` kept.
 """
 
 from __future__ import annotations
@@ -270,7 +271,21 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns kept, but for those of documents that are not kept."""
-    gone = linked(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = lineage.cut(gone)
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The rows of ``docs``, all columns kept, but for those that are not kept.
+
+    Where ids repeat, every row is judged by its own text, and one row stays of each id and text.
+    """
+    counted = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    if not counted.where("n > 1").head(1):
+        gone = linked(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+        gone = lineage.cut(gone)
+        return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    # Null for rows that are linked with nothing.
+    linkable = F.col(id_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.withColumn("_print", F.when(linkable, F.sha2(text_col, 256)))
+    rows = marked.where("_print IS NOT NULL").dropDuplicates([id_col, "_print"])
+    # Numbered in the order of ids, so that the row of the least id stays as elsewhere; stored, so that numbers stand.
+    rows = lineage.cut(rows.orderBy(id_col, "_print").withColumn("_key", F.monotonically_increasing_id()))
+    gone = lineage.cut(linked(rows, "_key", text_col).where("NOT kept").select(F.col("doc_id").alias("_key")).distinct())
+    left = rows.join(gone, "_key", "left_anti").select(docs.columns)
+    return left.unionByName(marked.where("_print IS NULL").select(docs.columns))
