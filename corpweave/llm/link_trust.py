@@ -6,8 +6,11 @@ Trust flows along host edges by personalised PageRank from the trusted seeds, di
 from the distrusted seeds. A host whose distrust reaches ``threshold`` of its trust and distrust
 together is blocked for all pages without a rule; a host that neither reaches is allowed.
 
-Edges are links between different hosts in the pages' HTML, weighted by their number. A host is also
-tied to the domain directly above it, both ways, when pages of both are in the table.
+Rounds go on until no host's trust or distrust moves by more than ``TOLERANCE`` of itself, so far hosts
+are reached however long the way is.
+
+A host is a name without user and port, on both ends of a link. Edges are links between different
+hosts in the pages' HTML, weighted by their number. A host is also tied to the domain directly above it, both ways, when pages of both are in the table.
 
 A null url or one without ``://`` has an empty host and path, fits no rule and takes no part in the
 graph; a null page has no links. Repeated pages count as often as they occur and give a row each;
@@ -32,20 +35,22 @@ class Rule(NamedTuple):
 
 
 DAMPING = 0.85
-ROUNDS = 12
+TOLERANCE = 1e-8
+ROUNDS = 200  # after the last host is reached; 0.85 to this power is 8e-15, so it only guards the loop
 ROUNDS_PER_CUT = 4
 THRESHOLD = 0.5
 SITE_WEIGHT = 1.0
 
 # Only A to Z are lower-cased.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+NAME = r"^(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^:/?#]*)"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     found = F.when(url.contains("://"), F.substring_index(url, "://", 1))
     rest = F.coalesce(url.substr(F.length(found) + 4, F.length(url)), F.lit(""))
-    host = F.translate(F.regexp_extract(rest, "^([^/?#]*)", 1), UPPER, LOWER)
+    host = F.translate(F.regexp_extract(rest, NAME, 1), UPPER, LOWER)
     return host, F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
 
@@ -71,8 +76,7 @@ def host_edges(pages: DataFrame, hosts: DataFrame, site_weight: float = SITE_WEI
     """(src, dst, weight) between different hosts: links, and a host with the domain above it."""
     linked = F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))
     links = pages.select(F.col("host").alias("src"), linked.alias("dst"))
-    # A port or a user name is not part of the host's name.
-    name = F.regexp_extract(F.translate("dst", UPPER, LOWER), "^(?:[^@]*@)?([^:]*)", 1)
+    name = F.regexp_extract(F.translate("dst", UPPER, LOWER), NAME, 1)
     links = links.select("src", name.alias("dst")).where("src <> dst AND src <> '' AND dst <> ''")
     links = links.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     above = hosts.select("host", F.expr("substring(host, locate('.', host) + 1)").alias("above"))
@@ -101,19 +105,32 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     )).alias("w")).select("w.*")
     out = ways.groupBy("kind", "host").agg(F.sum("weight").alias("out"))
     ways = lineage.cut(ways.join(out, ["kind", "host"]).selectExpr("kind", "host", "next", "weight / out AS share"))
-    rank = seeds
-    for number in range(1, rounds + 1):
-        mass = F.when(F.col("kind") == "trust", F.col("trust")).otherwise(F.col("distrust"))
-        moved = ways.join(rank, "host").where(mass > 0).select(
-            F.col("next").alias("host"),
-            *[F.when(F.col("kind") == c, F.col("share") * F.col(c) * damping).otherwise(0.0).alias(c)
-              for c in ("trust", "distrust")])
-        own = seeds.selectExpr("host", f"trust * {1 - damping} AS trust", f"distrust * {1 - damping} AS distrust")
-        rank = own.unionByName(moved).groupBy("host").agg(
-            F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if number % ROUNDS_PER_CUT == 0 or number == rounds:
-            rank = lineage.cut(rank)
-    return rank
+    ranks = ("trust", "distrust")
+    rank, quiet = seeds, 0
+    while True:
+        for number in range(1, ROUNDS_PER_CUT + 1):
+            before = rank
+            mass = F.when(F.col("kind") == "trust", F.col("trust")).otherwise(F.col("distrust"))
+            moved = ways.join(rank, "host").where(mass > 0).select(
+                F.col("next").alias("host"),
+                *[F.when(F.col("kind") == c, F.col("share") * F.col(c) * damping).otherwise(0.0).alias(c) for c in ranks])
+            own = seeds.selectExpr("host", f"trust * {1 - damping} AS trust", f"distrust * {1 - damping} AS distrust")
+            both = own.unionByName(moved)
+            if number == ROUNDS_PER_CUT:
+                both = both.withColumns({f"was_{c}": F.lit(0.0) for c in ranks}).unionByName(before.select(
+                    "host", *[F.lit(0.0).alias(c) for c in ranks], *[F.col(c).alias(f"was_{c}") for c in ranks]))
+            rank = both.groupBy("host").agg(*[F.sum(c).alias(c) for c in both.columns[1:]])
+        stored = lineage.cut(rank)
+        rank = stored.select("host", *ranks)
+        new = F.lit(False)
+        still = F.lit(True)
+        for c in ranks:
+            new |= (F.col(c) > 0) & (F.col(f"was_{c}") == 0)
+            still &= F.abs(F.col(c) - F.col(f"was_{c}")) <= TOLERANCE * F.col(c)
+        reached, moving = stored.agg(F.count_if(new), F.count_if(~still)).first()
+        quiet = 0 if reached else quiet + ROUNDS_PER_CUT
+        if not moving or quiet >= rounds:
+            return rank
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url",
