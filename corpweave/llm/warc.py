@@ -6,7 +6,11 @@ records are built: ``metadata`` lists the source's status, headers, title, diges
 date, and carry digests of their own; the conversion names the metadata record as concurrent. Ids
 are derived from the source id and the content, so building again gives the same records.
 
-A record that is null, broken or no response with a readable body gives no derivatives but one row
+Chunks and the content encodings gzip and deflate are undone before the text is taken. The payload
+digest is that of the body without chunks but as encoded; a stated digest of the body as it stands
+counts as verified, too.
+
+A record that is null, broken, of another encoding or no response with a readable body gives no derivatives but one row
 with ``problem`` set, so nothing is lost in silence. An empty body gives an empty conversion. Repeated
 records give repeated derivatives; other columns than the id and the record are ignored.
 """
@@ -18,6 +22,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -90,6 +95,55 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:int(length)]
 
 
+def values(http: list[tuple[str, str]], name: str) -> list[str]:
+    """The lower-cased items of all headers of a name, in order."""
+    items = (x.strip().lower() for k, v in http if k.lower() == name for x in v.split(","))
+    return [x for x in items if x and x != "identity"]
+
+
+def without_chunks(body: bytes) -> bytes:
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,15}", size):
+            raise Broken("broken chunks")
+        at, n = end + 2, int(size, 16)
+        if n == 0:
+            return b"".join(parts)
+        if body[at + n:at + n + 2] != b"\r\n":
+            raise Broken("broken chunks")
+        parts.append(body[at:at + n])
+        at += n + 2
+
+
+def inflated(body: bytes, kind: int) -> bytes:
+    """What gzip (31), zlib (15) or raw deflate (-15) holds, all members of it."""
+    parts = []
+    while body:
+        member = zlib.decompressobj(kind)
+        parts.append(member.decompress(body))
+        if not member.eof:
+            raise Broken("encoded body cut short")
+        # After the last gzip member other bytes may follow.
+        body = member.unused_data if kind == 31 and member.unused_data[:2] == b"\x1f\x8b" else b""
+    return b"".join(parts)
+
+
+def decoded(body: bytes, encoding: str) -> bytes:
+    if encoding not in ("gzip", "x-gzip", "deflate"):
+        raise Broken(f"unknown encoding {encoding}")
+    try:
+        if encoding != "deflate":
+            return inflated(body, 31)
+        try:
+            return inflated(body, 15)
+        except zlib.error:
+            return inflated(body, -15)
+    except zlib.error:
+        raise Broken(f"body is not {encoding}") from None
+
+
 def plain_text(page: str) -> str:
     """Text of a page, a line per block element, without hidden parts."""
     page = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub("", page)))
@@ -141,11 +195,18 @@ def derive(data: bytes | None) -> list[dict]:
         kind = next((v for k, v in http if k.lower() == "content-type"), "")
         if kind.split(";")[0].strip().lower() not in ("text/html", "application/xhtml+xml", "text/plain"):
             raise Broken("no text")
+        body = payload
+        for encoding in reversed(values(http, "transfer-encoding") if payload else []):
+            payload = without_chunks(payload) if encoding == "chunked" else decoded(payload, encoding)
+        entity = payload
+        for encoding in reversed(values(http, "content-encoding")):
+            if entity or encoding not in ("gzip", "x-gzip", "deflate"):
+                entity = decoded(entity, encoding)
         charset = (m := _CHARSET.search(kind)) and m[1] or "utf-8"
         try:
-            page = payload.decode(charset, "replace")
+            page = entity.decode(charset, "replace")
         except LookupError:
-            page = payload.decode("utf-8", "replace")
+            page = entity.decode("utf-8", "replace")
     except Broken as problem:
         return [dict.fromkeys(FIELDS) | {"problem": str(problem)}]
     is_html = not kind.lower().startswith("text/plain")
@@ -154,7 +215,7 @@ def derive(data: bytes | None) -> list[dict]:
     text = (plain_text(page) if is_html else page).encode()
     fields = [("source-status", status.decode("latin-1")), *((f"source-header-{k}", v) for k, v in http),
               ("source-payload-digest", said or own),
-              ("source-payload-digest-verified", str(said is None or said == own).lower()),
+              ("source-payload-digest-verified", str(said in (None, own, digest(body))).lower()),
               ("source-block-digest", headers.get("warc-block-digest", "")),
               ("source-charset", charset.lower())]
     if is_html:
