@@ -9,7 +9,8 @@ backwards at once, occurrences are located by walking to sampled suffix position
 cover is merged into spans of words.
 
 Phrases are taken to the tasks in blocks of at most ``BLOCK_PHRASES``, however large the test set;
-the texts themselves are never shuffled.
+each block's hits are stored before the next is made. With one block nothing is shuffled; with several
+the texts are stored once with numbers, by which hits are merged and ``clean`` drops rows.
 
 A null or wordless text has no words and no hits, a null or wordless item no phrases. Items that
 share an id are one item with the phrases of all; an item with a null id covers words but is not
@@ -29,10 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.llm.arrow import giving_back, SLICE_BYTES, groups_of_rows, in_small_batches, utf8
+from corpweave.operators import lineage
 
 WINDOW = 10
 #: (phrase, item) pairs that are sent to the tasks at a time.
 BLOCK_PHRASES = 100_000
+ROW = "_row_number"
 #: Bytes of text in a shard, unless a single text is longer.
 SHARD_BYTES = 4 << 20
 #: Every so many positions a suffix position is kept.
@@ -231,6 +234,9 @@ def shard_hits(texts: list[np.ndarray], phrases: Phrases) -> tuple[np.ndarray, n
     return np.repeat(phrase, count), first, np.searchsorted(ends, first, "right")
 
 
+NO_PHRASES = Phrases({}, np.zeros((0, 1), np.int64), np.ones(1, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), [])
+
+
 def hits(phrases: Phrases, text: Column | str) -> Column:
     """struct<n_words, n_hit, spans, items> of a text column."""
     span = "array<struct<start:bigint,stop:bigint>>"
@@ -299,19 +305,38 @@ def merged_spans(spans: Column) -> Column:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                   text_col: str = "text", block_phrases: int = BLOCK_PHRASES) -> DataFrame:
     """(doc_id, n_words, n_hit, spans, items) of every text; spans count words from 0."""
-    found = [hits(b, F.col("text")) for b in blocks(windows(benchmark, window), block_phrases)]
-    if not found:
-        found = [hits(Phrases({}, np.zeros((0, 1), np.int64), np.ones(1, np.int64),
-                              np.zeros(0, np.int64), np.zeros(1, np.int64), []), F.col("text"))]
     rows = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.select("doc_id", *[f.alias(f"_{i}") for i, f in enumerate(found)])
-    if len(found) == 1:
-        return rows.select("doc_id", "_0.n_words", "_0.n_hit", "_0.spans", "_0.items")
-    spans = merged_spans(reduce(F.concat, [F.col(f"_{i}.spans") for i in range(len(found))]))
-    items = F.array_sort(F.array_distinct(F.concat(*[F.col(f"_{i}.items") for i in range(len(found))])))
-    whole = rows.select("doc_id", "_0.n_words", spans.alias("spans"), items.alias("items"))
+    todo = blocks(windows(benchmark, window), block_phrases)
+    first, second = next(todo, NO_PHRASES), next(todo, None)
+    if second is None:
+        return rows.select("doc_id", hits(first, F.col("text")).alias("f")).select(
+            "doc_id", "f.n_words", "f.n_hit", "f.spans", "f.items")
+    rows = numbered(rows)
+    each = [lineage.cut(rows.select(ROW, "doc_id", hits(first, F.col("text")).alias("f")).select(
+        ROW, "doc_id", "f.n_words", "f.spans", "f.items"))]
+    for hit in stored_hits(rows, "text", second, todo):
+        each.append(hit.selectExpr(ROW, "doc_id", "n_words", "spans", "items"))
+    merged = reduce(DataFrame.unionByName, each).groupBy(ROW).agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        merged_spans(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
-    return whole.select("doc_id", "n_words", covered.alias("n_hit"), "spans", "items")
+    return merged.select("doc_id", "n_words", covered.alias("n_hit"), "spans", "items")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows with a number each, stored so that the numbers stand."""
+    return lineage.cut(rows.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def stored_hits(rows: DataFrame, text_col: str, block: Phrases | None, todo: Iterator[Phrases]) -> Iterator[DataFrame]:
+    """Of block after block the rows it hits, stored before the next block is made."""
+    while block is not None:
+        kept = [c for c in rows.columns if c in (ROW, "doc_id")]
+        found = rows.select(*kept, hits(block, F.col(text_col)).alias("f")).where("f.n_hit > 0")
+        yield lineage.cut(found.select(*kept, "f.n_words", "f.spans", "f.items"))
+        del found
+        block = next(todo, None)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -324,7 +349,14 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns kept, in whose text no phrase occurs."""
-    kept = in_small_batches(docs)
-    for block in blocks(windows(benchmark, window)):
-        kept = kept.where(hits(block, F.col(text_col))["n_hit"] == 0)
-    return kept
+    docs = in_small_batches(docs)
+    todo = blocks(windows(benchmark, window))
+    first, second = next(todo, None), next(todo, None)
+    if first is None:
+        return docs
+    kept = docs.where(hits(first, F.col(text_col))["n_hit"] == 0)
+    if second is None:
+        return kept
+    rows = numbered(kept)
+    gone = reduce(DataFrame.unionByName, [hit.select(ROW) for hit in stored_hits(rows, text_col, second, todo)])
+    return rows.join(gone, ROW, "left_anti").drop(ROW)
