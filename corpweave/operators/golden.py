@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave import schemas
-from corpweave.operators import components, skew
+from corpweave.operators import components, lineage, skew
 from corpweave.operators.standardize import run_time
 from corpweave.settings import MatchRule
 
@@ -64,7 +64,7 @@ def golden_by_name(tech: DataFrame, registry: DataFrame, rule: MatchRule = Match
     records are known from the linking, so no anti join is needed.
     """
     tech_linked, registry_linked = components.link_by_name(
-        skew.with_spread(tech), skew.with_spread(registry), rule
+        *(skew.with_spread(lineage.cut(side)) for side in (tech, registry)), rule
     )
     return _assemble(
         skew.fanout_join(

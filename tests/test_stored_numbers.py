@@ -1,0 +1,21 @@
+"""Rows are numbered for salting only above a stored copy."""
+
+from corpweave.operators import golden, lineage, matching, skew
+from corpweave.settings import MatchRule
+from tests.test_golden import TS, registry, tech
+
+
+def test_numbered_rows_are_stored(spark, monkeypatch):
+    stored, numbered = [], []
+    cut, number = lineage.cut, skew.with_spread
+
+    def cut_and_note(df):
+        stored.append(cut(df))
+        return stored[-1]
+
+    monkeypatch.setattr(lineage, "cut", cut_and_note)
+    monkeypatch.setattr(skew, "with_spread", lambda df: numbered.append(any(df is s for s in stored)) or number(df))
+    t, r = tech(spark, [("05", "acme")]), registry(spark, [("07", "acme")])
+    golden.golden_by_name(t, r, MatchRule(), TS)
+    matching.match_records(t, r, MatchRule())
+    assert len(numbered) >= 4 and all(numbered)
