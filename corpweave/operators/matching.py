@@ -228,7 +228,7 @@ def record_pairs(left: DataFrame, right: DataFrame, rule: MatchRule,
     right = comparable(right, left, reach)
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        return skew.with_spread(lineage.cut(df.select(NAME, *kept))).selectExpr(
+        return skew.with_spread(lineage.cut(df.select(*dict.fromkeys([NAME, *kept])))).selectExpr(
             f"{NAME} AS {prefix}_name",
             *[f"{c} AS {prefix}_{c}" for c in kept],
             skew.SPREAD,

@@ -19,3 +19,10 @@ def test_numbered_rows_are_stored(spark, monkeypatch):
     golden.golden_by_name(t, r, MatchRule(), TS)
     matching.match_records(t, r, MatchRule())
     assert len(numbered) >= 4 and all(numbered)
+
+
+def test_name_can_be_carried(spark):
+    t, r = tech(spark, [("05", "acme")]), registry(spark, [("07", "acmf")])
+    pairs = matching.ambiguous_pairs(t, r, MatchRule(), carried=(matching.NAME,))
+    found = pairs.select("left_company_name_normalised", "right_company_name_normalised").collect()
+    assert [tuple(x) for x in found] == [("acme", "acmf")]
