@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpweave.llm import (
     decontaminate, embedding_neighbours, link_trust, masked_lm, near_duplicates, packing, quality, repeats,
-    token_counts, warc, whitening,
+    spelling, token_counts, warc, whitening,
 )
 
 #: What the blocking policy of the pages table says.
@@ -77,11 +77,16 @@ def op11_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
 
 
+def op13_reduced_alphabet_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_masked_lm, op2_quality_cnn, op3_fm_decontamination, op4_warc_derivatives, op5_link_trust,
         op6_bwt_repeats, op7_hyperminhash, op8_tournament_packing, op9_prefix_token_counts,
-        op10_product_quantisation, op11_bit_sliced_whitening)
+        op10_product_quantisation, op11_bit_sliced_whitening,
+        op13_reduced_alphabet_variants)
 }
 
 SQL: dict[str, str] = {}
