@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpweave.llm import (
     decontaminate, embedding_neighbours, link_trust, masked_lm, near_duplicates, packing, quality, repeats,
-    spelling, token_counts, warc, whitening,
+    spelling, stable_projections, token_counts, warc, whitening,
 )
 
 #: What the blocking policy of the pages table says.
@@ -77,6 +77,10 @@ def op11_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
 
 
+def op12_stable_projections(spark: SparkSession, folder: str) -> DataFrame:
+    return stable_projections.search(table(spark, folder, "embeddings"))
+
+
 def op13_reduced_alphabet_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
 
@@ -86,7 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_masked_lm, op2_quality_cnn, op3_fm_decontamination, op4_warc_derivatives, op5_link_trust,
         op6_bwt_repeats, op7_hyperminhash, op8_tournament_packing, op9_prefix_token_counts,
         op10_product_quantisation, op11_bit_sliced_whitening,
-        op13_reduced_alphabet_variants)
+        op12_stable_projections, op13_reduced_alphabet_variants)
 }
 
 SQL: dict[str, str] = {}
