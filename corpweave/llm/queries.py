@@ -118,3 +118,68 @@ WITH RECURSIVE v AS (
 SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, least.component_id, v.vec_id = least.component_id AS kept
 FROM v LEFT JOIN n ON n.src = v.vec_id LEFT JOIN least ON least.node = v.vec_id
 """
+
+# All inner products in SQL. The stopping test loses nothing here: no cell of these tables is ruled out.
+SQL["op12_stable_projections"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+  SELECT vec_id, e FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+# crc32 byte by byte from a table that its polynomial gives; near words by the letter they lack.
+SQL["op13_reduced_alphabet_variants"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT b, 0 AS k, b AS c FROM range(256) t(b)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), each AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS item, run, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(list_reduce(
+    [CAST('0x' || substr(hex(encode(item)), 2 * i + 1, 2) AS BIGINT) FOR i IN range(octet_length(encode(item)))],
+    lambda h, b: xor(h >> 8, t[xor(h & 255, b) + 1]), 4294967295), 4294967295) AS h
+  FROM each, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM hashed
+  ) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), less AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, struct_pack(r := -near_n, w := encode(near))) AS near, max(near_n) AS near_n
+  FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form,
+    CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word
+), reach AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL
+  SELECT r.word, f.form FROM reach r JOIN forms f ON f.word = r.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN reach r ON r.word = f.word JOIN forms l ON l.word = r.at AND l.form IS NULL
+"""
