@@ -9,7 +9,8 @@ together is blocked for all pages without a rule; a host that neither reaches is
 Rounds go on until no host's trust or distrust moves by more than ``TOLERANCE`` of itself, so far hosts
 are reached however long the way is.
 
-A host is a name without user and port, on both ends of a link. Edges are links between different
+A page's host is all between ``://`` and the path, and rules fit that. In the graph a host is its name
+without user and port, on both ends of a link. Edges are links between different
 hosts in the pages' HTML, weighted by their number. A host is also tied to the domain directly above it, both ways, when pages of both are in the table.
 
 A null url or one without ``://`` has an empty host and path, fits no rule and takes no part in the
@@ -39,6 +40,7 @@ TOLERANCE = 1e-8
 ROUNDS = 200  # after the last host is reached; 0.85 to this power is 8e-15, so it only guards the loop
 ROUNDS_PER_CUT = 4
 THRESHOLD = 0.5
+TIE = 1e-6  # relative; above TOLERANCE
 SITE_WEIGHT = 1.0
 
 # Only A to Z are lower-cased.
@@ -50,7 +52,7 @@ LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 def host_and_path(url: Column) -> tuple[Column, Column]:
     found = F.when(url.contains("://"), F.substring_index(url, "://", 1))
     rest = F.coalesce(url.substr(F.length(found) + 4, F.length(url)), F.lit(""))
-    host = F.translate(F.regexp_extract(rest, NAME, 1), UPPER, LOWER)
+    host = F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), UPPER, LOWER)
     return host, F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
 
@@ -67,7 +69,7 @@ def fitting_rule(rules: Sequence[Rule], host: Column, path: Column) -> tuple[Col
 def with_rule(pages: DataFrame, rules: Sequence[Rule], id_col: str, url_col: str, *more: str) -> DataFrame:
     host, path = host_and_path(F.col(url_col))
     placed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"),
-                          *[F.col(c).alias("html") for c in more])
+                          F.regexp_extract(host, NAME, 1).alias("name"), *[F.col(c).alias("html") for c in more])
     rule, verdict = fitting_rule(rules, F.col("host"), F.col("path"))
     return placed.select("*", rule.alias("rule"), verdict.alias("ruled"))
 
@@ -75,7 +77,7 @@ def with_rule(pages: DataFrame, rules: Sequence[Rule], id_col: str, url_col: str
 def host_edges(pages: DataFrame, hosts: DataFrame, site_weight: float = SITE_WEIGHT) -> DataFrame:
     """(src, dst, weight) between different hosts: links, and a host with the domain above it."""
     linked = F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))
-    links = pages.select(F.col("host").alias("src"), linked.alias("dst"))
+    links = pages.select(F.col("name").alias("src"), linked.alias("dst"))
     name = F.regexp_extract(F.translate("dst", UPPER, LOWER), NAME, 1)
     links = links.select("src", name.alias("dst")).where("src <> dst AND src <> '' AND dst <> ''")
     links = links.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("weight"))
@@ -137,15 +139,17 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_
           html_col: str = "html", threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of every page."""
     placed = with_rule(pages, rules, id_col, url_col)
-    hosts = lineage.cut(placed.where("host <> ''").groupBy("host").agg(
+    hosts = lineage.cut(placed.where("name <> ''").groupBy(F.col("name").alias("host")).agg(
         F.count_if(F.col("ruled") == "allow").cast("double").alias("trust"),
         F.count_if(F.col("ruled") == "block").cast("double").alias("distrust")))
     linking = with_rule(pages, rules, id_col, url_col, html_col)
     rank = propagate(hosts, host_edges(linking, hosts), rounds=rounds)
-    judged = placed.join(rank, "host", "left").select(
+    judged = placed.join(rank.withColumnRenamed("host", "name"), "name", "left").select(
         "page_id", "host", "path", "rule", "ruled",
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
-    bad = (F.col("distrust") > 0) & (F.col("distrust") >= threshold * (F.col("trust") + F.col("distrust")))
+    # Sums arrive in any order; a tie must not depend on their last digits.
+    least = threshold * (1 - TIE) * (F.col("trust") + F.col("distrust"))
+    bad = (F.col("distrust") > 0) & (F.col("distrust") >= least)
     return judged.select("page_id", "host", "path", "rule",
                          F.coalesce("ruled", F.when(bad, "block").otherwise("allow")).alias("verdict"),
                          "trust", "distrust")
