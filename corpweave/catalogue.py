@@ -297,14 +297,23 @@ def country_std(spark, folder):
     return _registry(spark, folder).select(cells).unionByName(_tech(spark, folder).select(cells))
 
 
-@query(_with(SILVER) + f"SELECT {', '.join(_TECH_COLUMNS)} FROM tech")
+# The time of the run as text, since engines differ in time zones.
+_RUN_TEXT = RUN_TS.strftime("%Y-%m-%d %H:%M:%S")
+
+
+def _with_times(df: DataFrame, cells: list[str]) -> DataFrame:
+    times = [c for c in df.columns if c.endswith("processing_ts")]
+    return df.select(*cells, *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in times])
+
+
+@query(_with(SILVER) + f"SELECT {', '.join(_TECH_COLUMNS)}, '{_RUN_TEXT}' AS processing_ts FROM tech")
 def silver_tech(spark, folder):
-    return _tech(spark, folder).select(_TECH_COLUMNS)
+    return _with_times(_tech(spark, folder), _TECH_COLUMNS)
 
 
-@query(_with(SILVER) + f"SELECT {', '.join(_REG_COLUMNS)} FROM registry")
+@query(_with(SILVER) + f"SELECT {', '.join(_REG_COLUMNS)}, '{_RUN_TEXT}' AS processing_ts FROM registry")
 def silver_companies(spark, folder):
-    return _registry(spark, folder).select(_REG_COLUMNS)
+    return _with_times(_registry(spark, folder), _REG_COLUMNS)
 
 
 # --- Matching ----------------------------------------------------------------------------------
@@ -407,6 +416,16 @@ def corporate_ids_t1(spark, folder):
     return _graph_ids(spark, folder, NEAR)
 
 
+@query(_with(SILVER, _ids_sql(NEAR)) + "SELECT record_id, corporate_id FROM ids")
+def corporate_ids_extended(spark, folder):
+    """Entities of the exact matches, to which the links of the near ones are added."""
+    tech, registry = _tech(spark, folder), _registry(spark, folder)
+    pairs = lineage.cut(matching.match_records(tech, registry, NEAR))
+    exact, near = (components.edges(pairs.where(c)) for c in ("name_distance = 0", "name_distance > 0"))
+    stored = lineage.cut(components.corporate_ids(components.vertices(registry, tech), exact))
+    return components.extended_ids(stored, near)
+
+
 def _by_name(spark, folder, rule):
     sides = components.link_by_name(_tech(spark, folder), _registry(spark, folder), rule)
     cells = ["record_id", "corporate_id"]
@@ -431,9 +450,14 @@ def attach_ids(spark, folder):
     return golden.attach_corporate_id(_registry(spark, folder), ids).drop("processing_ts")
 
 
-@query(_with(SILVER, _golden_sql(EXACT)) + f"SELECT {', '.join(_GOLDEN_COLUMNS)} FROM golden")
+_GOLDEN_TIMES = "".join(
+    f", CASE WHEN {'reg_record_id' if c.startswith('reg_') else 'tech_record_id'} IS NOT NULL THEN '{_RUN_TEXT}' END AS {c}"
+    for c in schemas.GOLDEN.fieldNames() if c.endswith("processing_ts"))
+
+
+@query(_with(SILVER, _golden_sql(EXACT)) + f"SELECT {', '.join(_GOLDEN_COLUMNS)}{_GOLDEN_TIMES} FROM golden")
 def golden_registry(spark, folder):
-    return _golden(spark, folder, EXACT).select(_GOLDEN_COLUMNS)
+    return _with_times(_golden(spark, folder, EXACT), _GOLDEN_COLUMNS)
 
 
 @query(_with(SILVER, _golden_sql(NEAR)) + f"SELECT {', '.join(_GOLDEN_COLUMNS)} FROM golden")
@@ -525,6 +549,45 @@ def upsert_golden(spark, folder):
     return upsert.merged(target, source, ROW_KEY, null_safe=ROW_KEY[1:])
 
 
+def _changed_orders_sql(condition: str) -> str:
+    return f"""
+WITH source AS (
+  SELECT o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 100000000 ELSE 0 END AS o_orderkey,
+         o_totalprice + 1 AS o_totalprice, CASE WHEN o_orderkey % 5 <> 0 THEN 'new' END AS o_orderstatus
+  FROM orders WHERE {condition})
+SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey,
+       CASE WHEN s.o_orderkey IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice,
+       CASE WHEN s.o_orderkey IS NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus
+FROM orders t FULL JOIN source s ON s.o_orderkey = t.o_orderkey"""
+
+
+def _changed_orders(spark, folder, condition: str) -> tuple[DataFrame, DataFrame]:
+    orders = sample.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    changed = orders.where(condition).selectExpr(
+        "o_orderkey + IF(o_orderkey % 7 = 0, 100000000, 0) AS o_orderkey", "o_totalprice + 1 AS o_totalprice",
+        "CASE WHEN o_orderkey % 5 <> 0 THEN 'new' END AS o_orderstatus")
+    return orders, changed
+
+
+@query(_changed_orders_sql("o_orderkey % 3 = 0"))
+def upsert_in_place(spark, folder):
+    """Changed orders replace and extend the stored ones, in the buckets of a folder."""
+    orders, changed = _changed_orders(spark, folder, "o_orderkey % 3 = 0")
+    place = f"{lineage.new_folder(spark)}/orders"
+    for staged in (orders, changed):
+        registry_table.upsert(spark, place, staged, ["o_orderkey"])
+    return registry_table.current(spark, place)
+
+
+@query(_changed_orders_sql("o_orderkey % 2 = 0"))
+def upsert_bucketed(spark, folder):
+    """The same between two tables that are bucketed alike, which meet without a shuffle."""
+    place = lineage.new_folder(spark)
+    tables = [registry_table.save_bucketed(df, f"{name}_{place[-32:]}", ["o_orderkey"], f"{place}/{name}")
+              for df, name in zip(_changed_orders(spark, folder, "o_orderkey % 2 = 0"), ("target", "source"))]
+    return upsert.merged(*tables, ["o_orderkey"], as_laid_out=True)
+
+
 # --- Features and model ------------------------------------------------------------------------
 
 _FEATURES_SQL = _golden_sql(EXACT) + f""",

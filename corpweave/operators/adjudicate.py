@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpweave import schemas
-from corpweave.operators import lineage, skew
+from corpweave.operators import lineage
 
 PAIR = schemas.PAIR_REQUEST.fieldNames()
 IDS = ["left_id", "right_id"]
@@ -143,10 +143,10 @@ def adjudicate_names(pairs: DataFrame, scorer: Callable[[str], str], batch: int
     )
     # Answers are paid for, so they are stored before anything reads them.
     answers = lineage.cut(ask(distinct, scorer, batch))
-    by_name = read_verdicts(answers).groupBy(F.col("left_id").alias("_tag")).agg(
+    by_name = lineage.cut(read_verdicts(answers).groupBy(F.col("left_id").alias("_tag")).agg(
         F.max(F.struct("match_confidence", "match")).alias("_v")
-    )
-    return skew.lookup_join(pairs.withColumn("_tag", tag), by_name, "_tag").select(
+    ))
+    return pairs.withColumn("_tag", tag).join(by_name, "_tag", "left").select(
         *IDS,
         F.coalesce("_v.match", F.lit(False)).alias("match"),
         F.coalesce("_v.match_confidence", F.lit(0.0)).alias("match_confidence"),

@@ -13,12 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.operators import lineage, matching, skew
+from corpweave.operators import lineage, matching
 from corpweave.settings import MatchRule
 
-# A round of the component loop on fewer links than this cannot suffer from a hot node.
-SMALL_LINKS = 1_000_000
-
 
 def vertices(*sources: DataFrame) -> DataFrame:
     """All record ids of all sources, once each."""
@@ -37,8 +34,8 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of every node with a link, component being the least id reached.
 
     Alternating large-star and small-star rounds (Kiveris et al., "Connected Components in
-    MapReduce and Beyond", 2014). A link is kept as greater id -> lesser id. Every round is
-    stored; the loop ends when a round changes nothing, after a number of rounds that grows with the
+    MapReduce and Beyond", 2014). A link is kept as greater id -> lesser id. Every half round is
+    stored and the one before it deleted, so no more than two are there at a time; the loop ends when a round changes nothing, after a number of rounds that grows with the
     logarithm of the longest path.
     """
     ordered = links.where(F.col("src") != F.col("dst")).select(
@@ -47,8 +44,13 @@ def components(links: DataFrame) -> DataFrame:
     stars = lineage.cut(ordered.distinct())
     state = _fingerprint(stars)
     while True:
-        skewed = state[0] >= SMALL_LINKS
-        stars = lineage.cut(_small_star(_large_star(stars, skewed), skewed))
+        for star in (_large_star, _small_star):
+            # Stored, so that it joins as it is: adaptive execution splits the links of a hot node
+            # only where no aggregate stands between the shuffle and the join.
+            least = lineage.cut(stars.groupBy("src").agg(F.min("dst").alias("least")))
+            moved = lineage.cut(star(stars, least))
+            lineage.discard(stars, least)
+            stars = moved
         previous, state = state, _fingerprint(stars)
         if state == previous:
             roots = stars.select(F.col("dst").alias("id")).distinct()
@@ -63,20 +65,15 @@ def _fingerprint(links: DataFrame) -> tuple:
     )
 
 
-def _least_below(links: DataFrame) -> DataFrame:
-    return links.groupBy("src").agg(F.min("dst").alias("least"))
-
-
-def _large_star(links: DataFrame, skewed: bool) -> DataFrame:
+def _large_star(links: DataFrame, least: DataFrame) -> DataFrame:
     """Point every node above a neighbour at that neighbour's own least neighbour."""
-    least = _least_below(links).withColumnRenamed("src", "dst")
-    moved = skew.lookup_join(links, least, "dst", "left", skewed)
+    moved = links.join(least.withColumnRenamed("src", "dst"), "dst", "left")
     return moved.select("src", F.coalesce("least", "dst").alias("dst"))
 
 
-def _small_star(links: DataFrame, skewed: bool) -> DataFrame:
+def _small_star(links: DataFrame, least: DataFrame) -> DataFrame:
     """Point every node and all its lesser neighbours at the least of these."""
-    joined = skew.lookup_join(links, _least_below(links), "src", "inner", skewed)
+    joined = links.join(least, "src")
     ends = F.explode(F.array("src", "dst")).alias("src")
     return (
         joined.select(ends, F.col("least").alias("dst"))
@@ -88,11 +85,37 @@ def _small_star(links: DataFrame, skewed: bool) -> DataFrame:
 def corporate_ids(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(record_id, corporate_id) for every node; one without links stands for itself."""
     found = components(links)
-    return skew.lookup_join(nodes, found, "id").select(
+    return nodes.join(found, "id", "left").select(
         F.col("id").alias("record_id"), F.coalesce("component", "id").alias("corporate_id")
     )
 
 
+def extended_ids(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """``ids`` (record_id, corporate_id) after ``links`` between its records, or new ones, are added.
+
+    The result equals that of all links together, old and new. Every end of a new link counts as
+    the entity it already belongs to, an unknown record as itself, and only these entities go
+    through the component loop: its rounds and their size follow the new links, not the registry. The
+    stored map is read twice, without being shuffled as long as the new links are few enough to be
+    broadcast. Its corporate ids must be the least record ids of their entities, which also makes the
+    least of them the id of a joined one.
+    """
+    links = lineage.cut(links.select("src", "dst").distinct())
+    ends = lineage.cut(links.select(F.explode(F.array("src", "dst")).alias("record_id")).distinct())
+    known = lineage.cut(ids.join(ends, "record_id", "left_semi"))
+    fresh = lineage.cut(ends.join(known, "record_id", "left_anti").withColumn("corporate_id", F.col("record_id")))
+    placed = known.unionByName(fresh)
+
+    def entity(end: str, name: str) -> DataFrame:
+        return placed.select(F.col("record_id").alias(end), F.col("corporate_id").alias(name))
+
+    between = links.join(entity("src", "from"), "src").join(entity("dst", "to"), "dst")
+    moved = lineage.cut(components(between.select(F.col("from").alias("src"), F.col("to").alias("dst")))
+                        .withColumnsRenamed({"id": "corporate_id", "component": "joined"}))
+    return ids.unionByName(fresh).join(moved, "corporate_id", "left").select(
+        "record_id", F.coalesce("joined", "corporate_id").alias("corporate_id"))
+
+
 def name_labels(left: DataFrame, right: DataFrame, rule: MatchRule) -> tuple[DataFrame, DataFrame]:
     """Per side, (name, component, bound) of the names that take part in a match.
 
@@ -147,7 +170,7 @@ def link_by_name(left: DataFrame, right: DataFrame,
 
     def attach(df: DataFrame, labels: DataFrame, inside: str) -> DataFrame:
         labels = labels.withColumnRenamed("name", matching.NAME)
-        joined = skew.lookup_join(df, labels, matching.NAME)
+        joined = df.join(lineage.cut(labels), matching.NAME, "left")
         linked = f"coalesce({inside if rule.id_order else 'component IS NOT NULL'}, false)"
         return joined.selectExpr(
             *[f"`{c}`" for c in df.columns],

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave import schemas
-from corpweave.operators import components, lineage, skew
+from corpweave.operators import components
 from corpweave.operators.standardize import run_time
 from corpweave.settings import MatchRule
 
@@ -17,12 +17,11 @@ KEY = "corporate_id"
 
 def attach_corporate_id(records: DataFrame, ids: DataFrame) -> DataFrame:
     """Every record with its corporate id. ``ids`` holds each record id once."""
-    return skew.lookup_join(records, ids, "record_id")
+    return records.join(ids, "record_id", "left")
 
 
 def _prefixed(df: DataFrame, names: list[str], prefix: str) -> DataFrame:
-    extra = [skew.SPREAD] if skew.SPREAD in df.columns else []
-    return df.selectExpr(KEY, *[f"{name} AS {prefix}{name}" for name in names], *extra)
+    return df.selectExpr(KEY, *[f"{name} AS {prefix}{name}" for name in names])
 
 
 def _tech(df: DataFrame) -> DataFrame:
@@ -34,7 +33,7 @@ def _registry(df: DataFrame) -> DataFrame:
 
 
 def _assemble(paired: DataFrame, alone: DataFrame, processing_ts: datetime | None) -> DataFrame:
-    rows = paired.unionByName(alone.drop(skew.SPREAD), allowMissingColumns=True)
+    rows = paired.unionByName(alone, allowMissingColumns=True)
     return rows.withColumn("processing_ts", run_time(processing_ts)).select(
         *schemas.GOLDEN.fieldNames()
     )
@@ -45,12 +44,12 @@ def golden_rows(tech: DataFrame, registry: DataFrame,
     """Left join of the two sources on ``corporate_id``.
 
     Split into matched and unmatched tech rows: the matched part is an inner join, which may
-    broadcast a small tech side and salt a hot id, and the unmatched part only needs the distinct
-    registry ids.
+    broadcast a small tech side, and of which adaptive execution splits a hot id on either side; the
+    unmatched part only needs the distinct registry ids.
     """
     known = registry.select(KEY).distinct()
     return _assemble(
-        skew.fanout_join(_tech(tech), _registry(registry), KEY),
+        _tech(tech).join(_registry(registry), KEY),
         _tech(tech).join(known, KEY, "left_anti"),
         processing_ts,
     )
@@ -63,13 +62,9 @@ def golden_by_name(tech: DataFrame, registry: DataFrame, rule: MatchRule = Match
     Registry records outside every entity are dropped before the wide join, and unmatched tech
     records are known from the linking, so no anti join is needed.
     """
-    tech_linked, registry_linked = components.link_by_name(
-        *(skew.with_spread(lineage.cut(side)) for side in (tech, registry)), rule
-    )
+    tech_linked, registry_linked = components.link_by_name(tech, registry, rule)
     return _assemble(
-        skew.fanout_join(
-            _tech(tech_linked.where("linked")), _registry(registry_linked.where("linked")), KEY
-        ),
+        _tech(tech_linked.where("linked")).join(_registry(registry_linked.where("linked")), KEY),
         _tech(tech_linked.where(~F.col("linked"))),
         processing_ts,
     )

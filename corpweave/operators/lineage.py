@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The folder of every stored frame that is still in use, and all folders not yet deleted.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_MADE: dict[str, SparkSession] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a private one only for a local session without any."""
@@ -21,7 +28,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/corpweave-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses; it is deleted when the program ends."""
+    folder = f"{shared_folder(spark)}/corpweave-{uuid.uuid4().hex}"
+    _MADE[folder] = spark
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -31,4 +41,30 @@ def cut(df: DataFrame) -> DataFrame:
     """
     folder = new_folder(df.sparkSession)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    stored = df.sparkSession.read.schema(df.schema).parquet(folder)
+    _FOLDERS[stored] = folder
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the stored copies of frames made by ``cut`` that nobody will read again."""
+    for frame in frames:
+        folder = _FOLDERS.pop(frame, None)
+        if folder is not None:
+            delete(_MADE.pop(folder), folder)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def clear() -> None:
+    """Delete every intermediate result of this program. Runs by itself when the program ends; frames
+    built on stored copies can't be read afterwards."""
+    _FOLDERS.clear()
+    while _MADE:
+        folder, spark = _MADE.popitem()
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            delete(spark, folder)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.functions import text
-from corpweave.operators import lineage, skew
+from corpweave.operators import lineage
 from corpweave.settings import BLOCK_LENGTH, AmbiguityBand, MatchRule
 
 NAME = "company_name_normalised"
@@ -27,6 +27,9 @@ NAME = "company_name_normalised"
 # A piece shared by more than this many (left, right) name pairs is left to the variants.
 CROWDED_PAIRS = 10_000
 
+# Up to this many names or blocks of one side are broadcast to prune the other.
+FEW = 100_000
+
 # What follows the block. Names of one block differ only here.
 TAIL = f"substring(name, {BLOCK_LENGTH + 1})"
 
@@ -50,12 +53,12 @@ def distinct_names(df: DataFrame) -> DataFrame:
 
 def comparable(df: DataFrame, other: DataFrame, reach: int | None) -> DataFrame:
     """The records of ``df`` that can have a partner in ``other`` at all, when that is cheap to
-    tell: if the names (or, with a reach, the blocks) of ``other`` are few enough to broadcast."""
+    tell: if the names (or, with a reach, the blocks) of ``other`` are counted to be at most ``FEW``."""
     test = NAME if not reach else text.name_block(NAME)
-    present = other.selectExpr(f"{test} AS _present").distinct()
-    if skew.estimated_bytes(present) > skew.broadcast_limit(df.sparkSession):
+    present = lineage.cut(other.selectExpr(f"{test} AS _present").distinct().limit(FEW + 1))
+    if present.count() > FEW:
         return df
-    return df.join(present, F.expr(test) == F.col("_present"), "left_semi")
+    return df.join(F.broadcast(present), F.expr(test) == F.col("_present"), "left_semi")
 
 
 def _variant_keys(names: DataFrame, reach: int) -> DataFrame:
@@ -228,17 +231,13 @@ def record_pairs(left: DataFrame, right: DataFrame, rule: MatchRule,
     right = comparable(right, left, reach)
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        return skew.with_spread(lineage.cut(df.select(*dict.fromkeys([NAME, *kept])))).selectExpr(
-            f"{NAME} AS {prefix}_name",
-            *[f"{c} AS {prefix}_{c}" for c in kept],
-            skew.SPREAD,
-        )
+        return df.selectExpr(f"{NAME} AS {prefix}_name", *[f"{c} AS {prefix}_{c}" for c in kept])
 
     lefts, rights = side(left, "left"), side(right, "right")
     if not reach:
         lefts = lefts.withColumnRenamed("left_name", "name")
         rights = rights.withColumnRenamed("right_name", "name")
-        pairs = skew.fanout_join(lefts, rights, "name").drop("name")
+        pairs = lefts.join(rights, "name").drop("name")
         pairs = pairs.withColumn("name_distance", F.lit(0))
         if reach is None:
             pairs = pairs.where("false")
@@ -248,8 +247,7 @@ def record_pairs(left: DataFrame, right: DataFrame, rule: MatchRule,
             right.selectExpr(f"{NAME} AS name").distinct(),
             reach,
         )
-        pairs = skew.fanout_join(lefts, found, "left_name", keep_spread=True)
-        pairs = skew.fanout_join(pairs, rights, "right_name").drop("left_name", "right_name")
+        pairs = lefts.join(found, "left_name").join(rights, "right_name").drop("left_name", "right_name")
     return pairs.where("left_record_id < right_record_id") if rule.id_order else pairs
 
 

@@ -19,7 +19,7 @@ def create(spark: SparkSession, table: str, location: str | None = None) -> None
 
 def run(spark: SparkSession, staging_path: str, table: str, keys: Sequence[str] = ("corporate_id",),
         duplicates: str = "error") -> None:
-    """Check the contract and upsert. ``table`` is a catalog table name or a snapshot folder.
+    """Check the contract and upsert. ``table`` is a catalog table name or a folder of buckets.
 
     Golden rows repeat a corporate id when an entity has several registry records, which a merge on
     that id alone refuses on the second run. Add key columns that tell the rows apart, starting

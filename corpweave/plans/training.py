@@ -13,7 +13,7 @@ from corpweave.sources import files, registry_table
 def run(spark: SparkSession, golden_corporate_registry: str, output_dataset_path: str,
         model_output_path: str, model_report_path: str, as_of: date | None = None,
         run_date: str | None = None, stable_split: bool = True) -> model.Trained:
-    """The source may be a catalog table, a parquet folder or a snapshot folder.
+    """The source may be a catalog table, a parquet folder or a folder of buckets.
 
     Features are stored first, with incomplete rows, and the model is fitted on the stored copy.
     """

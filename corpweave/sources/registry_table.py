@@ -1,18 +1,19 @@
 """Where upserted rows live: an Iceberg table when a catalog is configured, else parquet.
 
-Without a catalog every upsert writes a new folder ``snapshot=<n>`` next to the old ones and
-readers take the greatest one that holds Spark's ``_SUCCESS`` marker. An interrupted run leaves no
-marker and is ignored. This serves one writer at a time; it is not a multi-writer table format.
+Without a catalog the table is a folder of hash buckets of one key column, and an upsert overwrites the
+buckets it touches, by Spark's dynamic partition overwrite. This serves one writer at a time, and no
+reader meanwhile; it is not a multi-writer table format.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpweave import schemas, settings
+from corpweave.operators import lineage
 from corpweave.operators.contract import check_contract
 from corpweave.operators.upsert import latest_per_key, merged
 
@@ -73,64 +74,90 @@ def merge_into(spark: SparkSession, table: str, staged: DataFrame, keys: Sequenc
     spark.sql(merge_sql(table, view, keys, null_safe))
 
 
-def _finished(spark: SparkSession, root: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/snapshot=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return len(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []) > 0
 
 
-def _folder(root: str, number: int) -> str:
-    return f"{root.rstrip('/')}/snapshot={number}"
+def in_catalog(table: str) -> bool:
+    """A name without a slash is a catalog table, any other a folder of buckets."""
+    return "/" not in table
 
 
-def current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The latest finished snapshot, None before the first."""
-    finished = _finished(spark, root)
-    if not finished:
-        return None
-    return spark.read.parquet(_folder(root, finished[-1])).drop(BUCKET)
+def _bucket(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(settings.TABLE_BUCKETS)).cast("int")
 
 
-def in_catalog(table: str) -> bool:
-    """A name without a slash is a catalog table, any other a folder of snapshots."""
-    return "/" not in table
+def _pending(root: str) -> str:
+    # Spark's readers pass over names that begin like this.
+    return f"{root.rstrip('/')}/_pending"
+
+
+def _replace_buckets(spark: SparkSession, root: str) -> None:
+    """Put the finished new buckets in the place of the old ones. May be repeated at will."""
+    changed = spark.read.parquet(_pending(root))
+    out = changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.option("compression", "zstd").partitionBy(BUCKET).parquet(root)
+    lineage.delete(spark, _pending(root))
+
+
+def current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The rows of a folder of buckets, None before the first row. Ends a replacement that was cut
+    short."""
+    if _exists(spark, f"{_pending(root)}/_SUCCESS"):
+        _replace_buckets(spark, root)
+    if not _exists(spark, f"{root.rstrip('/')}/{BUCKET}=*"):
+        return None
+    return spark.read.parquet(root).drop(BUCKET)
 
 
 def stored(spark: SparkSession, table: str) -> DataFrame | None:
-    """The rows of a catalog table or of a folder's latest snapshot."""
+    """The rows of a catalog table or of a folder of buckets."""
     return spark.table(table) if in_catalog(table) else current(spark, table)
 
 
 def store(spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str] = (KEY,)) -> None:
-    """Upsert by the table's own MERGE, or into the next snapshot of a folder."""
+    """Upsert by the table's own MERGE, or into the buckets of a folder."""
     (merge_into if in_catalog(table) else upsert)(spark, table, staged, keys)
 
 
-def publish(df: DataFrame, root: str, bucket_by: str | None = None) -> str:
-    """Write the next snapshot. With ``bucket_by`` files are grouped into hash buckets of that
-    column; the rebalance hint lets Spark split a bucket that is far larger than the rest."""
-    finished = _finished(df.sparkSession, root)
-    path = _folder(root, finished[-1] + 1 if finished else 1)
-    writer = df
-    if bucket_by:
-        bucket = F.pmod(F.xxhash64(bucket_by), F.lit(settings.TABLE_BUCKETS)).cast("int")
-        writer = df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
-    out = writer.write.mode("overwrite").option("compression", "zstd")
-    (out.partitionBy(BUCKET) if bucket_by else out).parquet(path)
-    return path
-
-
 def upsert(spark: SparkSession, root: str, staged: DataFrame, keys: Sequence[str] = (KEY,),
-           duplicates: str = "error", newest: str = "processing_ts",
-           null_safe: Sequence[str] = (), bucket_by: str | None = None) -> str:
-    """Contract check, merge with the latest snapshot, and a new snapshot of the result.
-
-    The first run merges with an empty table, so it follows the same rules.
+           duplicates: str = "error", newest: str = "processing_ts", null_safe: Sequence[str] = (),
+           bucket_by: str | None = None) -> list[int]:
+    """Contract check and merge in place: only buckets that hold a key of ``staged`` are read and
+    written, and these are returned.
+
+    ``bucket_by`` is one of the keys, by default the first, and must be the same at every call. The
+    new buckets are stored completely before they replace the old ones, so a run that dies leaves
+    either the old table or a replacement that the next reader or writer ends; running the same upsert
+    again changes nothing. One writer at a time. The first run merges with an empty table, so it
+    follows the same rules. The rebalance hint lets Spark split a bucket that is far larger than the rest.
     """
-    target = current(spark, root)
-    if target is None:
-        target = spark.createDataFrame([], staged.schema)
+    bucket_by = bucket_by or keys[0]
+    if bucket_by not in keys:
+        raise ValueError(f"{bucket_by} is not one of the keys {', '.join(keys)}")
+    before = current(spark, root)
+    target = spark.createDataFrame([], staged.schema) if before is None else before
     check_contract(staged, target)
-    return publish(
-        merged(target, staged, keys, duplicates, newest, null_safe), root, bucket_by
-    )
+    staged = lineage.cut(staged)
+    touched = sorted(r[0] for r in staged.select(_bucket(bucket_by)).distinct().collect())
+    if not touched:
+        return []
+    if before is not None:
+        target = spark.read.parquet(root).where(F.col(BUCKET).isin(touched)).select(*target.columns)
+    rows = merged(target, staged, keys, duplicates, newest, null_safe)
+    rows = rows.withColumn(BUCKET, _bucket(bucket_by)).hint("rebalance", BUCKET)
+    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(_pending(root))
+    _replace_buckets(spark, root)
+    return touched
+
+
+def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], path: str | None = None,
+                  buckets: int = settings.TABLE_BUCKETS) -> DataFrame:
+    """Store ``df`` as a catalog table bucketed by ``keys``. Tables that are bucketed alike meet on
+    these keys without a shuffle."""
+    # One task per bucket, so each bucket is one file.
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+    writer = writer.bucketBy(buckets, *keys).option("compression", "zstd")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -17,14 +17,25 @@ def spark():
 
 
 @pytest.fixture
-def forced_skew(spark, monkeypatch):
-    """Make joins take their skew path, however small the data: every key seen twice is hot."""
-    from corpweave.operators import skew
-
-    monkeypatch.setattr(skew, "GUARD_BYTES", 0)
-    monkeypatch.setattr(skew, "HOT_SAMPLE", 1.0)
-    monkeypatch.setattr(skew, "HOT_SIGHTINGS", 2)
-    monkeypatch.setattr(skew, "may_shuffle", lambda *sides: True)
+def forced_skew(spark):
+    """No broadcasts, and adaptive execution splits every partition larger than the others."""
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in forced}
+    for key, value in forced.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
 
 
 def rows(df):

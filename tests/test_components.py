@@ -1,10 +1,12 @@
 import random
+from pathlib import Path
 
 import pytest
 
 from corpweave.operators import components, golden, lineage, matching
 from corpweave.settings import MatchRule
 from tests import brute
+from tests.conftest import rows
 from tests.test_matching import frame, some_names, some_records
 
 LINKS = "src string, dst string"
@@ -58,8 +60,7 @@ def test_random_graphs(spark, seed):
     check(spark, [node(i) for i in range(200)], links)
 
 
-def test_hub_on_skew_path(spark, forced_skew, monkeypatch):
-    monkeypatch.setattr(components, "SMALL_LINKS", 0)
+def test_hub_with_split_joins(spark, forced_skew):
     check(spark, ["lonely"], GRAPHS["star, centre high"] + path(30))
 
 
@@ -115,3 +116,60 @@ def test_edges(spark):
     right = frame(spark, [("2", "abc")], "r")
     links = components.edges(matching.match_records(left, right))
     assert [tuple(r) for r in links.collect()] == [("1", "2")] and links.columns == ["src", "dst"]
+
+
+def stored_folders(spark):
+    root = Path(lineage.shared_folder(spark).removeprefix("file:"))
+    return {p.name for p in root.glob("corpweave-*")}
+
+
+def test_finished_rounds_are_deleted(spark, monkeypatch):
+    before, most = stored_folders(spark), [0]
+    cut = lineage.cut
+
+    def cut_and_count(df):
+        found = cut(df)
+        most[0] = max(most[0], len(stored_folders(spark) - before))
+        return found
+
+    monkeypatch.setattr(lineage, "cut", cut_and_count)
+    found = components.components(spark.createDataFrame(path(60), LINKS))
+    # The links of two half rounds and, between them, the least neighbours.
+    assert most[0] <= 3 and len(stored_folders(spark) - before) == 1
+    assert found.count() == 60
+
+
+def test_clear_deletes_what_is_left(spark, monkeypatch):
+    monkeypatch.setattr(lineage, "_MADE", {})
+    stored = lineage.cut(spark.range(3))
+    folder = lineage._FOLDERS[stored].rsplit("/", 1)[1]
+    assert folder in stored_folders(spark)
+    lineage.clear()
+    assert folder not in stored_folders(spark)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_extended_ids_equal_those_of_all_links(spark, seed):
+    draw = random.Random(seed)
+    nodes = [node(i) for i in range(120)]
+    link = lambda most: (node(draw.randrange(most)), node(draw.randrange(most)))
+    old, new = [link(100) for _ in range(50)], [link(130) for _ in range(25)] + [(node(5), node(5))]
+    frames = [spark.createDataFrame(x, LINKS) for x in (old, new, old + new)]
+    known = spark.createDataFrame([(n,) for n in nodes], "id string")
+    ids = components.corporate_ids(known, frames[0])
+    everything = {n for n in nodes} | {n for pair in new for n in pair}
+    wanted = components.corporate_ids(spark.createDataFrame([(n,) for n in everything], "id string"), frames[2])
+    assert rows(components.extended_ids(ids, frames[1])) == rows(wanted)
+
+
+def test_extended_ids_without_new_links(spark):
+    ids = spark.createDataFrame([("a", "a"), ("b", "a")], "record_id string, corporate_id string")
+    assert rows(components.extended_ids(ids, spark.createDataFrame([], LINKS))) == [("a", "a"), ("b", "a")]
+
+
+def test_extended_ids_loop_only_over_touched_entities(spark, monkeypatch):
+    ids = spark.createDataFrame([(node(i), node(i - i % 50)) for i in range(1000)], "record_id string, corporate_id string")
+    seen, loop = [], components.components
+    monkeypatch.setattr(components, "components", lambda links: seen.append(links.count()) or loop(links))
+    components.extended_ids(ids, spark.createDataFrame([(node(3), node(77)), (node(60), node(2))], LINKS)).count()
+    assert seen == [2]

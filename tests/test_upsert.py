@@ -102,22 +102,108 @@ def test_contract():
         check_contract(mistyped, base)
 
 
-def test_snapshots(spark, tmp_path):
+def bucket_files(root):
+    return {p.parent.name: (p.name, p.stat().st_mtime_ns) for p in root.glob("bucket=*/*.parquet")}
+
+
+def test_only_touched_buckets_are_written_and_read(spark, tmp_path):
+    root = tmp_path / "table"
+    assert registry_table.current(spark, str(root)) is None
+    first = frame(spark, [(f"k{i}", "p", i, 1) for i in range(500)])
+    assert len(registry_table.upsert(spark, str(root), first, ["id"])) == 32
+    before = bucket_files(root)
+    touched = registry_table.upsert(spark, str(root), frame(spark, [("k7", "q", 9, 2)]), ["id"])
+    after = bucket_files(root)
+    assert len(touched) == 1 and len(before) == 32
+    assert {k for k in after if after[k] != before[k]} == {f"bucket={touched[0]}"}
+    wanted = rows(first.where("id <> 'k7'").unionByName(frame(spark, [("k7", "q", 9, 2)])))
+    assert rows(registry_table.current(spark, str(root))) == wanted
+    # A second run of the same changes nothing, a new key is inserted, an empty source is no change.
+    for source in ([("k7", "q", 9, 2)], []):
+        registry_table.upsert(spark, str(root), frame(spark, source), ["id"])
+        assert rows(registry_table.current(spark, str(root))) == wanted
+    registry_table.upsert(spark, str(root), frame(spark, [("new", "q", 3, 3)]), ["id"])
+    assert rows(registry_table.current(spark, str(root))) == sorted([*wanted, ("new", "q", 3, 3)], key=repr)
+    with pytest.raises(ValueError, match="Extra"):
+        registry_table.upsert(spark, str(root), first.selectExpr("*", "1 AS more"), ["id"])
+    with pytest.raises(ValueError, match="not one of the keys"):
+        registry_table.upsert(spark, str(root), first, ["id"], bucket_by="part")
+
+
+def test_the_scan_of_an_upsert_is_pruned(spark, tmp_path, monkeypatch):
+    root, plans = str(tmp_path / "table"), []
+    registry_table.upsert(spark, root, frame(spark, [(f"k{i}", "p", i, 1) for i in range(200)]), ["id"])
+    merge = registry_table.merged
+
+    def noted(target, *rest):
+        plans.append(target._jdf.queryExecution().executedPlan().toString())
+        return merge(target, *rest)
+
+    monkeypatch.setattr(registry_table, "merged", noted)
+    (bucket,) = registry_table.upsert(spark, root, frame(spark, [("k7", "q", 9, 2)]), ["id"])
+    assert f"bucket#" in plans[0] and f"= {bucket})" in plans[0].split("PartitionFilters")[1].split("]")[0]
+
+
+def test_a_replacement_that_was_cut_short_is_ended(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "table")
-    assert registry_table.current(spark, root) is None
-    first = frame(spark, [("a", "p", 1, 1), ("b", "p", 2, 1)])
-    registry_table.upsert(spark, root, first, ["id"], bucket_by="id")
-    registry_table.upsert(spark, root, frame(spark, [("a", "q", 9, 2)]), ["id"], bucket_by="id")
-    wanted = [("a", "q", 9, 2), ("b", "p", 2, 1)]
+    first = frame(spark, [(f"k{i}", "p", i, 1) for i in range(100)])
+    registry_table.upsert(spark, root, first, ["id"])
+    replace = registry_table._replace_buckets
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(registry_table, "_replace_buckets", dies)
+    source = frame(spark, [("k3", "q", 30, 2), ("k4", "q", 40, 2)])
+    with pytest.raises(RuntimeError):
+        registry_table.upsert(spark, root, source, ["id"])
+    monkeypatch.setattr(registry_table, "_replace_buckets", replace)
+    # One bucket is gone, as when the driver died between deleting the old and moving in the new one.
+    pending = next((tmp_path / "table" / "_pending").glob("bucket=*"))
+    for file in (tmp_path / "table" / pending.name).iterdir():
+        file.unlink()
+    wanted = rows(first.where("id NOT IN ('k3', 'k4')").unionByName(source))
     assert rows(registry_table.current(spark, root)) == wanted
-    unfinished = tmp_path / "table" / "snapshot=3"
-    unfinished.mkdir()
-    assert rows(registry_table.current(spark, root)) == wanted
-    registry_table.upsert(spark, root, frame(spark, [("c", "q", 3, 3)]), ["id"], bucket_by="id")
-    assert rows(registry_table.current(spark, root)) == [*wanted, ("c", "q", 3, 3)]
-    with pytest.raises(ValueError, match="Extra"):
-        registry_table.upsert(spark, root, first.selectExpr("*", "1 AS more"), ["id"])
+    assert not (tmp_path / "table" / "_pending").exists()
+
+
+def test_null_keys_and_null_safe_keys_in_buckets(spark, tmp_path):
+    root = str(tmp_path / "table")
+    registry_table.upsert(spark, root, frame(spark, TARGET), ["id", "part"], null_safe=["part"])
+    registry_table.upsert(spark, root, frame(spark, [("c", None, 30, 2), (None, "p", 40, 2)]), ["id", "part"], null_safe=["part"])
+    wanted = [("a", "p", 1, 1), ("b", "p", 2, 1), ("c", None, 30, 2), (None, "p", 4, 1), (None, "p", 40, 2)]
+    assert rows(registry_table.current(spark, root)) == sorted(wanted, key=repr)
+
 
+def test_empty_first_upsert(spark, tmp_path):
+    root = str(tmp_path / "table")
+    assert registry_table.upsert(spark, root, frame(spark, []), ["id"]) == []
+    assert registry_table.current(spark, root) is None
+    assert registry_table.upsert(spark, root, frame(spark, [("a", "p", 1, 1)]), ["id"])
+    assert rows(registry_table.current(spark, root)) == [("a", "p", 1, 1)]
+
+
+@pytest.mark.parametrize("keys", [["id"], ["id", "part"]])
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path, forced_skew, keys):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # for the plan as it is made
+    try:
+        target = frame(spark, [(f"k{i % 90}", f"p{i // 90}", i, 1) for i in range(120)])
+        source = frame(spark, [(f"k{i}", "p0", -i, 2) for i in range(80, 120)])
+        stored = [registry_table.save_bucketed(df, name, keys, str(tmp_path / name)) for df, name in (
+            (target, f"target{len(keys)}"), (source, f"source{len(keys)}"))]
+        found = merged(*stored, keys, as_laid_out=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert rows(found) == rows(merged(target, source, keys))
+        # A source that is not bucketed is shuffled to the target's buckets, the target is not.
+        plan = merged(stored[0], source, keys)._jdf.queryExecution().executedPlan().toString()
+        on_target = [j for j in plan.split("SortMergeJoin")[1:] if "LeftOuter" in j[:60] or "LeftSemi" in j[:60]]
+        assert plan.count("Exchange") > 0 and len(on_target) == 2
+        assert all("Exchange" not in join.split("FileScan")[0] for join in on_target)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for name in (f"target{len(keys)}", f"source{len(keys)}"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 def test_catalog_statements_parse(spark):
     parser = spark._jsparkSession.sessionState().sqlParser()
