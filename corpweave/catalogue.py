@@ -769,6 +769,34 @@ def adjudicated_verdicts(spark, folder):
     return _verdicts(spark, folder)
 
 
+def _length_scorer(request: str) -> str:
+    """A scorer in the shape of the service: names of like length match, other requests go unanswered."""
+    import json
+
+    results = []
+    for pair in json.loads(request)["pairs"]:
+        left, right = (len(pair[f"{side}_company_name"]) for side in ("left", "right"))
+        if (left + right) % 11:
+            results.append({"left_id": pair["left_id"], "right_id": pair["right_id"], "match": left == right,
+                            "match_confidence": min(left, right) / max(left, right, 1)})
+    return json.dumps({"results": results})
+
+
+@query(_BAND_SQL.replace("SELECT left_id, right_id, left_name AS left_company_name, right_name AS right_company_name,\n"
+                         "       name_distance, match_confidence\n", """
+SELECT left_id, right_id, (length(left_name) + length(right_name)) % 11 <> 0 AND length(left_name) = length(right_name) AS match,
+       CASE WHEN (length(left_name) + length(right_name)) % 11 = 0 THEN 0.0::DOUBLE
+            ELSE least(length(left_name), length(right_name))::DOUBLE / greatest(length(left_name), length(right_name), 1) END
+         AS match_confidence
+"""))
+def asked_verdicts(spark, folder):
+    """Verdicts of a scorer that is asked in batches, half of them by a run before this one."""
+    ledger = f"{lineage.new_folder(spark)}/ledger"
+    pairs = lineage.cut(_band(spark, folder))
+    adjudicate.ask_once(pairs.where("length(left_company_name) % 2 = 0"), _length_scorer, ledger, 50, 100)
+    return adjudicate.adjudicate_names(pairs, _length_scorer, 50, ledger)
+
+
 @query(_VERDICT_SQL + f"""
 SELECT left_id AS src, right_id AS dst, share AS match_confidence, 'adjudicated' AS match_type
 FROM shares WHERE share >= {LEAST_SHARE}""")

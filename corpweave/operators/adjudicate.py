@@ -13,13 +13,14 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpweave import schemas
 from corpweave.operators import lineage
 
 PAIR = schemas.PAIR_REQUEST.fieldNames()
+LEDGER = "tags array<string>, response string"
 IDS = ["left_id", "right_id"]
 
 
@@ -129,24 +130,73 @@ def unasked(pairs: DataFrame, verdicts: DataFrame) -> DataFrame:
     return verdicts.alias("v").join(asked.alias("p"), _same_pair("v", "p"), "left_anti")
 
 
-def adjudicate_names(pairs: DataFrame, scorer: Callable[[str], str], batch: int = 200) -> DataFrame:
+NAMES = ["left_company_name", "right_company_name"]
+#: Name pairs that are asked about by one job, and lost at most when it fails.
+PORTION = 20_000
+
+
+def name_tag() -> Column:
+    """The hash of two names, which serves as their id in requests and in the ledger."""
+    return F.sha2(F.to_json(F.struct(*NAMES), {"ignoreNullFields": "false"}), 256)
+
+
+def ledger_of(spark: SparkSession, ledger: str) -> DataFrame:
+    """What was asked so far: the tags of a request next to its response."""
+    if not lineage.exists(spark, f"{ledger.rstrip('/')}/_SUCCESS"):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(ledger)
+
+
+def ask_once(pairs: DataFrame, scorer: Callable[[str], str], ledger: str, batch: int = 200,
+             portion: int = PORTION) -> DataFrame:
+    """The ledger after every distinct pair of names in ``pairs`` has been asked about, in this run or
+    an earlier one.
+
+    Pairs that the ledger holds are not asked again. The rest is asked in portions of about
+    ``portion`` pairs, and each portion's responses are appended to the ledger before the next one
+    begins, so a run that dies loses one portion at most and a restart asks only for the rest. A
+    request that was answered counts as asked, whatever the answer holds. One run at a time.
+    """
+    spark = pairs.sparkSession
+    tagged = pairs.select(*NAMES).distinct().select(name_tag().alias("tag"), *NAMES)
+    asked = ledger_of(spark, ledger).select(F.explode("tags").alias("tag"))
+    rest = lineage.cut(tagged.join(asked, "tag", "left_anti"))
+    portions = -(-rest.count() // portion)
+    # Dealt into folders, so that a portion reads its own pairs only.
+    folder = lineage.new_folder(spark)
+    dealt = rest.withColumn("portion", F.pmod(F.xxhash64("tag"), F.lit(max(portions, 1))).cast("int"))
+    dealt.repartition("portion").write.partitionBy("portion").parquet(folder)
+
+    def respond(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for start in range(0, len(frame), batch):
+                part = frame.iloc[start:start + batch]
+                records = [dict(zip(PAIR, (r.tag, r.tag, r.left_company_name, r.right_company_name))) for r in part.itertuples()]
+                response = scorer(json.dumps({"pairs": records}))
+                yield pd.DataFrame({"tags": [part["tag"].tolist()], "response": [response]}, dtype="object")
+
+    for number in range(portions):
+        part = spark.read.schema(dealt.schema).parquet(folder).where(F.col("portion") == number).drop("portion")
+        part = part.repartition(max(1, min(spark.sparkContext.defaultParallelism, -(-portion // batch))))
+        part.mapInPandas(respond, LEDGER).write.mode("append").parquet(ledger)
+    return ledger_of(spark, ledger)
+
+
+def adjudicate_names(pairs: DataFrame, scorer: Callable[[str], str], batch: int = 200,
+                     ledger: str | None = None) -> DataFrame:
     """Verdict per record pair, asking once per distinct pair of names.
 
     The scorer sees names only, so equal names get equal verdicts and are not paid for twice. The
     name pair's hash serves as its id in the request. Of several verdicts on a pair the most
-    confident counts, a match before none.
+    confident counts, a match before none. Answers are paid for: they go to the ``ledger``, a folder
+    that later runs may go on with (by default one of this program's own).
     """
-    names = ["left_company_name", "right_company_name"]
-    tag = F.sha2(F.to_json(F.struct(*names)), 256)
-    distinct = pairs.select(*names).distinct().select(
-        tag.alias("left_id"), tag.alias("right_id"), *names
-    )
-    # Answers are paid for, so they are stored before anything reads them.
-    answers = lineage.cut(ask(distinct, scorer, batch))
+    pairs = lineage.cut(pairs.select(*PAIR))
+    answers = ask_once(pairs, scorer, ledger or lineage.new_folder(pairs.sparkSession), batch)
     by_name = lineage.cut(read_verdicts(answers).groupBy(F.col("left_id").alias("_tag")).agg(
         F.max(F.struct("match_confidence", "match")).alias("_v")
     ))
-    return pairs.withColumn("_tag", tag).join(by_name, "_tag", "left").select(
+    return pairs.withColumn("_tag", name_tag()).join(by_name, "_tag", "left").select(
         *IDS,
         F.coalesce("_v.match", F.lit(False)).alias("match"),
         F.coalesce("_v.match_confidence", F.lit(0.0)).alias("match_confidence"),

@@ -59,6 +59,12 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path fits, in whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return len(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []) > 0
+
+
 @atexit.register
 def clear() -> None:
     """Delete every intermediate result of this program. Runs by itself when the program ends; frames

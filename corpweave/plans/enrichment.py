@@ -14,14 +14,18 @@ from corpweave.sources import files, registry_table
 
 def adjudicate_matches(spark: SparkSession, silver_companies_path: str, silver_tech_path: str,
                        verdict_path: str, scorer: Callable[[str], str],
-                       rule: MatchRule = MatchRule(), band: AmbiguityBand = AmbiguityBand()) -> None:
-    """Store a verdict for every record pair of the band. Accepted ones are edges for stage 2."""
+                       rule: MatchRule = MatchRule(), band: AmbiguityBand = AmbiguityBand(),
+                       ledger_path: str | None = None) -> None:
+    """Store a verdict for every record pair of the band. Accepted ones are edges for stage 2.
+
+    With a ledger a run that was broken off, or a later one, asks only for what the ledger lacks.
+    """
     tech = files.read(spark, silver_tech_path, schemas.SILVER_TECH)
     companies = files.read(spark, silver_companies_path, schemas.SILVER_COMPANIES)
     pairs = matching.ambiguous_pairs(tech, companies, rule, band).withColumnsRenamed(
         {"left_company": "left_company_name", "right_company": "right_company_name"}
     )
-    files.write(adjudicate.adjudicate_names(pairs, scorer), verdict_path)
+    files.write(adjudicate.adjudicate_names(pairs, scorer, ledger=ledger_path), verdict_path)
 
 
 def merge_news(spark: SparkSession, documents_path: str, table: str, quarantine_path: str) -> None:

@@ -74,11 +74,6 @@ def merge_into(spark: SparkSession, table: str, staged: DataFrame, keys: Sequenc
     spark.sql(merge_sql(table, view, keys, null_safe))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return len(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []) > 0
-
-
 def in_catalog(table: str) -> bool:
     """A name without a slash is a catalog table, any other a folder of buckets."""
     return "/" not in table
@@ -104,9 +99,9 @@ def _replace_buckets(spark: SparkSession, root: str) -> None:
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The rows of a folder of buckets, None before the first row. Ends a replacement that was cut
     short."""
-    if _exists(spark, f"{_pending(root)}/_SUCCESS"):
+    if lineage.exists(spark, f"{_pending(root)}/_SUCCESS"):
         _replace_buckets(spark, root)
-    if not _exists(spark, f"{root.rstrip('/')}/{BUCKET}=*"):
+    if not lineage.exists(spark, f"{root.rstrip('/')}/{BUCKET}=*"):
         return None
     return spark.read.parquet(root).drop(BUCKET)
 
