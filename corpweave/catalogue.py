@@ -374,16 +374,19 @@ def ambiguity_band(spark, folder):
     return _band(spark, folder)
 
 
-_NUMBERED_SQL = f"""
+_NUMBERED_SQL = """
 SELECT l.n AS left_name, r.n AS right_name, CAST(levenshtein(l.n, r.n) AS INTEGER) AS name_distance
-FROM (SELECT DISTINCT {_key_sql('c_name')} AS n FROM customer) l
+FROM (SELECT DISTINCT %s AS n FROM customer) l
 JOIN (SELECT DISTINCT 'customer ' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS n FROM orders) r
-  ON substr(l.n, 1, {settings.BLOCK_LENGTH}) = substr(r.n, 1, {settings.BLOCK_LENGTH})
-WHERE levenshtein(l.n, r.n) <= 1"""
+  ON substr(l.n, 1, %d) = substr(r.n, 1, %d)
+WHERE levenshtein(l.n, r.n) <= %d"""
 
 
-@query(_NUMBERED_SQL)
-def one_block_name_pairs(spark, folder):
+def _numbered_sql(reach: int) -> str:
+    return _NUMBERED_SQL % (_key_sql("c_name"), settings.BLOCK_LENGTH, settings.BLOCK_LENGTH, reach)
+
+
+def _numbered_pairs(spark, folder, reach):
     """All names fall into one block and differ in a digit or two: the worst case of blocking."""
     customers = sample.table(spark, folder, "customer").selectExpr(
         f"{text.company_key('c_name')} AS name"
@@ -391,7 +394,17 @@ def one_block_name_pairs(spark, folder):
     buyers = sample.table(spark, folder, "orders").selectExpr(
         "concat('customer ', lpad(string(o_custkey), 9, '0')) AS name"
     )
-    return matching.name_pairs(customers.distinct(), buyers.distinct(), 1)
+    return matching.name_pairs(customers.distinct(), buyers.distinct(), reach)
+
+
+@query(_numbered_sql(1))
+def one_block_name_pairs(spark, folder):
+    return _numbered_pairs(spark, folder, 1)
+
+
+@query(_numbered_sql(2))
+def one_block_name_pairs_t2(spark, folder):
+    return _numbered_pairs(spark, folder, 2)
 
 
 # --- Entities and golden rows ------------------------------------------------------------------

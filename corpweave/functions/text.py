@@ -79,27 +79,3 @@ def known_or_na(value: str, known: Iterable[str] = settings.COUNTRIES) -> str:
 
 def confidence(distance: str, threshold: int) -> str:
     return f"(1D - {distance} / {threshold})"
-
-
-def deletion_variants(text: str, depth: int) -> str:
-    """The text and everything left of it after deleting up to ``depth`` characters.
-
-    Two texts within edit distance ``depth`` always share a variant, and two that share one are
-    within twice that, so the variants make complete and highly selective join keys.
-    """
-
-    def shorter(word: str, at: str) -> str:
-        return (
-            f"CASE WHEN length({word}) > 0 THEN transform(sequence(1, length({word})), {at} -> "
-            f"concat(substring({word}, 1, {at} - 1), substring({word}, {at} + 1))) "
-            "ELSE cast(array() AS array<string>) END"
-        )
-
-    found = frontier = f"array({text})"
-    for level in range(depth):
-        word, at = f"word{level}", f"at{level}"
-        frontier = (
-            f"array_distinct(flatten(transform({frontier}, {word} -> {shorter(word, at)})))"
-        )
-        found = f"concat({found}, {frontier})"
-    return found

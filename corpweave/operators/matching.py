@@ -7,8 +7,8 @@ The work is done on distinct names, never on records, and never on all pairs of
 * reach 1 joins on the text around the one differing character, which only true pairs share, so
   even a block holding every name costs no more than its names and its result;
 * a larger reach cuts each left name into ``reach + 1`` pieces, one of which must occur intact
-  in the right name, and joins on the pieces. Names with a piece that is too common are joined
-  on deletion variants instead, which loses nothing: both names of such a pair hold that piece.
+  in the right name, and joins on the pieces. Names with a piece that is too common meet in a
+  prefix tree instead, which loses nothing: both names of such a pair hold that piece.
 
 Keys are 64-bit hashes; a collision only adds a candidate, which the exact check removes.
 """
@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpweave.functions import text
-from corpweave.operators import lineage
+from corpweave.operators import lineage, prefix_tree
 from corpweave.settings import BLOCK_LENGTH, AmbiguityBand, MatchRule
 
 NAME = "company_name_normalised"
 
-# A piece shared by more than this many (left, right) name pairs is left to the variants.
+# A piece shared by more than this many (left, right) name pairs is left to the prefix tree.
 CROWDED_PAIRS = 10_000
 
 # Up to this many names or blocks of one side are broadcast to prune the other.
@@ -61,11 +61,6 @@ def comparable(df: DataFrame, other: DataFrame, reach: int | None) -> DataFrame:
     return df.join(F.broadcast(present), F.expr(test) == F.col("_present"), "left_semi")
 
 
-def _variant_keys(names: DataFrame, reach: int) -> DataFrame:
-    variants = names.selectExpr("name", f"explode({text.deletion_variants(TAIL, reach)}) AS variant")
-    return variants.selectExpr("name", _key("'variant'", "variant"))
-
-
 def _placed(pieces: DataFrame, length: str, reach: int) -> DataFrame:
     """Adds ``width`` and ``start`` of each ``piece`` when a text of ``length`` is cut into
     ``reach + 1`` pieces, the shorter ones first."""
@@ -183,9 +178,8 @@ def _piecewise(left: DataFrame, right: DataFrame, reach: int) -> DataFrame:
     usual = _meet(
         left_keys.join(crowded, "key", "left_anti"), right_keys.join(crowded, "key", "left_anti")
     )
-    rest = _meet(
-        _variant_keys(crowded_names(left_keys), reach),
-        _variant_keys(crowded_names(right_keys), reach),
+    rest = prefix_tree.candidates(
+        lineage.cut(crowded_names(left_keys)), lineage.cut(crowded_names(right_keys)), reach
     )
     return usual.unionByName(rest)
 

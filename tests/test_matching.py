@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from corpweave.operators import matching
+from corpweave.operators import matching, prefix_tree
 from corpweave.settings import AmbiguityBand, MatchRule
 from tests import brute
 from tests.conftest import rows
@@ -70,6 +70,42 @@ def test_numbered_names_of_one_block(spark):
         assert rows(got) == sorted(brute.name_pairs(left, right, reach), key=repr)
 
 
+@pytest.mark.parametrize("reach", [1, 2, 3])
+@pytest.mark.parametrize("letters, size, count", [("ab", 8, 90), ("abcdé😀", 7, 150), ("a", 14, 12)])
+def test_walk_of_the_prefix_tree_loses_nothing(letters, size, count, reach):
+    names, words = sorted(set(some_names(1, count, letters, size))), sorted(set(some_names(2, count, letters, size)) | {"", "ab", "abc"})
+    found = [(names[i], words[w]) for rows, w in prefix_tree.walk(names, words, reach) for i in rows.tolist()]
+    assert len(found) == len(set(found))
+    wanted = {(a, b) for a, b, _ in brute.name_pairs(names, words, reach)}
+    assert wanted <= set(found)
+    # Where a word is walked to its end only true pairs come out.
+    prefix = [(names[i], words[w]) for rows, w in prefix_tree.walk(names, words, reach, prefixes=True) for i in rows.tolist()]
+    assert wanted <= set(prefix)
+
+
+def test_crowded_names_in_several_tiles_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(prefix_tree, "TILE_NAMES", 30)
+    monkeypatch.setattr(prefix_tree, "WALKING_NAMES", 25)
+    monkeypatch.setattr(matching, "CROWDED_PAIRS", 3)
+    left = [f"company {i:04d}" for i in range(0, 400, 3)] + ["", "co", "company"]
+    right = [f"company {i:04d}" for i in range(0, 400, 4)] + ["", "co", "comp any 0004"]
+    for reach in (2, 3):
+        got = matching.name_pairs(*(spark.createDataFrame([(n,) for n in x], "name string") for x in (left, right)), reach)
+        assert rows(got) == sorted(brute.name_pairs(left, right, reach), key=repr)
+
+
+def test_long_names_of_one_block_at_reach_three(spark):
+    """Names of 300 letters that differ in a few; deletion variants of one would fill a gigabyte."""
+    base = "".join("abcdefghij"[i * i % 10] for i in range(300))
+    edit = lambda k: base[:20 + k] + "xyz"[k % 3] + base[21 + k:200] + "q" * (k % 4) + base[200:]
+    left, right = [edit(k) for k in range(0, 60, 2)], [edit(k) for k in range(0, 60, 3)]
+    left += [base, base[:150] + base[153:], base[:150] + base[154:]]
+    frames = [spark.createDataFrame([(n,) for n in x], "name string") for x in (left, right)]
+    got = prefix_tree.candidates(*frames, 3).where("levenshtein(left_name, right_name, 3) >= 0")
+    wanted = [(a, b) for a, b, _ in brute.name_pairs(left, right, 3)]
+    assert rows(got) == sorted(wanted, key=repr) and wanted
+
+
 RULES = [
     MatchRule(), MatchRule(min_confidence=0.6), MatchRule(min_confidence=0.0),
     MatchRule(id_order=False), MatchRule(min_confidence=0.3, id_order=False, drop_empty=True),

@@ -90,17 +90,3 @@ def test_calendar_date(spark, value, wanted):
     df = spark.createDataFrame([(value,)], "v string")
     got = df.select(dates.calendar_date(F.col("v")).cast("string")).first()[0]
     assert got == wanted
-
-
-@pytest.mark.parametrize("depth", [0, 1, 2, 3])
-def test_deletion_variants(spark, depth):
-    def expected(word, left):
-        out = {word}
-        if left:
-            for i in range(len(word)):
-                out |= expected(word[:i] + word[i + 1:], left - 1)
-        return out
-
-    for word in ["", "a", "ab", "abca", "éüabß"]:
-        got = evaluate(spark, word, text.deletion_variants("v", depth))
-        assert set(got) == expected(word, depth)
