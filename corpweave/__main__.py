@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 
+from corpweave import schemas, settings
+from corpweave.operators import adjudicate
 from corpweave.plans import enrichment, golden, registry, silver, training
 from corpweave.settings import MatchRule
-from corpweave.sources import registry_table
+from corpweave.sources import files, registry_table
 from corpweave.streaming import news_stream
 
 
@@ -21,7 +24,13 @@ def _silver(spark, a):
 def _golden(spark, a):
     rule = MatchRule(a.threshold, a.min_confidence, not a.any_id_order, a.drop_empty)
     golden.run(spark, a.silver_companies_path, a.silver_tech_path, a.golden_corporate_registry,
-               a.fuzzy_matches_path, rule=rule)
+               a.fuzzy_matches_path, _verdict_edges(spark, a.verdicts_path), rule)
+
+
+def _verdict_edges(spark, path):
+    if path is None:
+        return None
+    return adjudicate.adjudicated_edges(files.read(spark, path, schemas.VERDICT))
 
 
 def _catalog(spark, a):
@@ -54,7 +63,9 @@ def _news_requests(spark, a):
 
 def _news_merge(spark, a):
     _catalog(spark, a)
-    enrichment.merge_news(spark, a.documents_path, a.table, a.quarantine_path)
+    counts = enrichment.merge_news(spark, a.documents_path, a.table, a.quarantine_path, a.processed_path,
+                                   None if a.all_items else settings.NEWS_ITEMS_PER_REQUEST)
+    print(json.dumps(counts))
 
 
 def _news_stream(spark, a):
@@ -96,7 +107,7 @@ def arguments() -> argparse.ArgumentParser:
     matching_options(stage(
         "golden", _golden,
         ["silver-companies-path", "silver-tech-path", "golden-corporate-registry"],
-        ["fuzzy-matches-path"],
+        ["fuzzy-matches-path", "verdicts-path"],
     ))
     catalog_options(stage("create-table", _create, ["table"], ["location"]))
     upsert = stage("upsert", _upsert, ["staging-path", "table"])
@@ -108,9 +119,9 @@ def arguments() -> argparse.ArgumentParser:
     train.add_argument("--random-split", action="store_true")
     catalog_options(train)
     stage("news-requests", _news_requests, ["requests-path", "accepted-path", "rejected-path"])
-    catalog_options(
-        stage("news-merge", _news_merge, ["documents-path", "table", "quarantine-path"])
-    )
+    merge = stage("news-merge", _news_merge, ["documents-path", "table", "quarantine-path"], ["processed-path"])
+    merge.add_argument("--all-items", action="store_true")
+    catalog_options(merge)
     catalog_options(stage("news-stream", _news_stream,
                           ["documents-path", "table", "quarantine-path", "progress-path"]))
     return parser

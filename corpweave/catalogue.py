@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corpweave import schemas, settings
 from corpweave.functions import text
 from corpweave.operators import (
-    adjudicate, components, features, golden, lineage, matching, model, news, standardize, upsert,
+    adjudicate, components, features, golden, lineage, lookup, matching, model, news, standardize, upsert,
 )
 from corpweave.operators.contract import check_contract, differences
 from corpweave.settings import MatchRule
@@ -306,6 +306,18 @@ def _with_times(df: DataFrame, cells: list[str]) -> DataFrame:
     return df.select(*cells, *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in times])
 
 
+@query("""
+SELECT o_orderkey, coalesce(c_mktsegment, 'N/A') AS segment
+FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') ON c_custkey = o_custkey""")
+def translated_by_table(spark, folder):
+    """A lookup in a wording table as large as a table, which repeats some rows."""
+    orders = sample.table(spark, folder, "orders").selectExpr("o_orderkey", "concat('customer ', o_custkey) AS buyer")
+    known = sample.table(spark, folder, "customer").where("c_mktsegment <> 'BUILDING'").selectExpr(
+        "concat('customer ', c_custkey) AS buyer", "c_mktsegment AS segment")
+    known = known.unionByName(known.where("endswith(buyer, '7')"))
+    return lookup.translated_by_table(orders, "buyer", known, "buyer", "segment", "segment").drop("buyer")
+
+
 @query(_with(SILVER) + f"SELECT {', '.join(_TECH_COLUMNS)}, '{_RUN_TEXT}' AS processing_ts FROM tech")
 def silver_tech(spark, folder):
     return _with_times(_tech(spark, folder), _TECH_COLUMNS)

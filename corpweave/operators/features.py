@@ -37,6 +37,14 @@ def with_features(golden: DataFrame, as_of: date | None = None) -> DataFrame:
     )
 
 
+def is_complete() -> Column:
+    """Whether every model input and the label are present, as ``complete`` keeps them."""
+    given = F.col(CATEGORY).isNotNull()
+    for name in [*NUMERIC, LABEL]:
+        given &= F.col(name).isNotNull() & ~F.isnan(name)
+    return given
+
+
 def complete(features: DataFrame) -> DataFrame:
     """Rows with every model input and the label present (neither NULL nor NaN)."""
     return features.dropna(subset=[CATEGORY, *NUMERIC, LABEL])

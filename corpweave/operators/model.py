@@ -8,11 +8,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpweave import schemas
-from corpweave.operators.features import CATEGORY, LABEL, NUMERIC, complete
+from corpweave.operators.features import CATEGORY, LABEL, NUMERIC, complete, is_complete
 
 SPLIT_KEY = ("corporate_id", "tech_record_id", "reg_record_id")
 TRAIN_PERCENT = 80
@@ -69,10 +69,19 @@ class Trained:
         return spark.createDataFrame([row], schemas.RUN_REPORT)
 
 
-def train(features: DataFrame, pipeline: Pipeline | None = None, stable: bool = True) -> Trained:
+def split_counts() -> list[Column]:
+    """``train_rows`` and ``test_rows`` of the stable split, to be observed while features are written."""
+    draw = split_draw()
+    return [F.count_if(is_complete() & (draw < TRAIN_PERCENT)).alias("train_rows"),
+            F.count_if(is_complete() & (draw >= TRAIN_PERCENT)).alias("test_rows")]
+
+
+def train(features: DataFrame, pipeline: Pipeline | None = None, stable: bool = True,
+          counts: dict[str, int] | None = None) -> Trained:
     """Fit on the train rows and take the mean absolute error on the test rows.
 
-    ``features`` should be a stored frame: fitting reads it several times.
+    ``features`` should be a stored frame: fitting reads it several times. With ``counts``, observed
+    when it was stored, the rows of both sides are not counted again.
     """
     needed = dict.fromkeys([*SPLIT_KEY, CATEGORY, *NUMERIC, LABEL])
     rows = complete(features.select(*[c for c in needed if c in features.columns]))
@@ -82,4 +91,6 @@ def train(features: DataFrame, pipeline: Pipeline | None = None, stable: bool =
     mae = RegressionEvaluator(
         labelCol=LABEL, predictionCol="prediction", metricName="mae"
     ).evaluate(predicted)
-    return Trained(model, mae, train_rows.count(), test_rows.count())
+    if counts is None:
+        counts = {"train_rows": train_rows.count(), "test_rows": test_rows.count()}
+    return Trained(model, mae, counts["train_rows"], counts["test_rows"])

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
-from corpweave import schemas
-from corpweave.operators import adjudicate, matching, news
+from corpweave import schemas, settings
+from corpweave.operators import adjudicate, lineage, matching, news
 from corpweave.settings import AmbiguityBand, MatchRule
-from corpweave.sources import files, registry_table
+from corpweave.sources import files, intake, registry_table
 
 
 def adjudicate_matches(spark: SparkSession, silver_companies_path: str, silver_tech_path: str,
@@ -28,12 +29,38 @@ def adjudicate_matches(spark: SparkSession, silver_companies_path: str, silver_t
     files.write(adjudicate.adjudicate_names(pairs, scorer, ledger=ledger_path), verdict_path)
 
 
-def merge_news(spark: SparkSession, documents_path: str, table: str, quarantine_path: str) -> None:
-    """Validate, deduplicate and upsert all result documents of a folder."""
-    entries = news.read_news(spark.read.text(documents_path))
-    items = news.newer_items(news.accepted(entries), registry_table.stored(spark, table))
+def merge_news(spark: SparkSession, documents_path: str, table: str, quarantine_path: str,
+               processed_path: str | None = None,
+               most_items: int | None = settings.NEWS_ITEMS_PER_REQUEST) -> dict[str, int]:
+    """Validate, deduplicate, limit and upsert the result documents of a folder.
+
+    Of each request (company and day) the ``most_items`` latest items count. With a processed list,
+    only files that are not on it are read, and they are listed once their items are stored: a run that
+    dies in between merges them again, which changes nothing. Without one all files are read. The
+    returned counts of accepted and refused entries are observed during the writes.
+    """
+    counts = {"accepted": 0, "refused": 0}
+    fresh = None
+    if processed_path is None:
+        documents = spark.read.text(documents_path)
+    else:
+        fresh = intake.waiting(spark, documents_path, processed_path)
+        documents = intake.lines(spark, fresh)
+        if documents is None:
+            return counts
+    entries = news.read_news(documents)
+    seen = {name: Observation(name) for name in counts}
+    items = lineage.cut(news.accepted(entries).observe(seen["accepted"], F.count(F.lit(1)).alias("n")))
+    if most_items is not None:
+        items = news.top_items(news.newest_per_url(items), most_items).drop("item_rank")
+    items = news.newer_items(items, registry_table.stored(spark, table))
     registry_table.store(spark, table, items, news.ITEM_KEY)
-    files.write(news.refused(entries), quarantine_path)
+    refused = news.refused(entries).observe(seen["refused"], F.count(F.lit(1)).alias("n"))
+    # With a list every run sees other files, so what earlier runs refused stays.
+    refused.write.mode("overwrite" if fresh is None else "append").parquet(quarantine_path)
+    if fresh is not None:
+        intake.take(fresh, processed_path)
+    return {name: seen[name].get["n"] for name in counts}
 
 
 def check_news_requests(spark: SparkSession, requests_path: str, accepted_path: str,
