@@ -40,22 +40,29 @@ def kept_by_worker(key: str, make: Callable):
     return getattr(store, key)
 
 
-def giving_back(task: Callable) -> Callable:
+def _trim() -> None:
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def giving_back(task: Callable, keep: str = "") -> Callable:
     """A task function over batches that returns freed memory to the system when it is through.
 
-    Workers outlive their tasks, and what the allocator keeps of each adds up next to the executor.
+    Workers outlive their tasks, and what the allocator keeps of each adds up next to the executor. What
+    other operators left is given up first; the cache named ``keep`` is this task's own.
     """
 
     @functools.wraps(task)
     def run(batches: Iterator) -> Iterator:
         store = sys.modules.get("_corpweave_worker")
-        for key in [k for k in vars(store or types) if k.startswith(CACHE)]:
+        for key in [k for k in vars(store or types) if k.startswith(CACHE) and k != keep]:
             delattr(store, key)
+        if keep:
+            _trim()
         try:
             yield from task(batches)
         finally:
-            with contextlib.suppress(OSError, AttributeError):  # not every C library can
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            _trim()
 
     return run
 

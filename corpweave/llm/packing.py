@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpweave.llm.arrow import CACHE, in_small_batches, kept_by_worker, strings
+from corpweave.llm.arrow import CACHE, giving_back, in_small_batches, kept_by_worker, strings
 from corpweave.llm.token_counts import byte_letters
 from corpweave.operators import lineage
 
@@ -37,7 +37,7 @@ SEQUENCE = 4096
 #: Tokens of a group on average; a group is what one task packs at a time.
 GROUP_TOKENS = 2_000_000
 #: Words, and pieces of words, whose ids a worker keeps.
-MOST_KEPT = 500_000
+MOST_KEPT = 300_000
 
 #: Separators that other string functions take for blanks and the vocabulary does not.
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
@@ -108,21 +108,25 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = SEQUENCE,
     parts = pa.struct([(n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens")]
                       + [("ids", pa.binary())])
 
-    @F.arrow_udf(kind)
-    def cut(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def cut_all(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, closing = word_ids(tokenizer), np.array([CLOSING_ID], "<u4").tobytes()
         step = 4 * length
         for column in columns:
-            found = []
+            cells: list[list] = [[] for _ in parts]
+            ends = [0]
             for text in strings(column):
                 data = ids.text(text) + closing
-                found.append([
-                    (at // 4, len(piece) // 4, zlib.crc32(piece), len(data) // 4, piece if with_ids else None)
-                    for at in range(0, len(data), step) for piece in (data[at:at + step],)
-                ])
-            yield pa.array([[dict(zip(("start", "length", "ids_crc32", "doc_tokens", "ids"), p)) for p in f]
-                            for f in found], pa.list_(parts))
-
+                for at in range(0, len(data), step):
+                    piece = data[at:at + step]
+                    row = (at // 4, len(piece) // 4, zlib.crc32(piece), len(data) // 4, piece if with_ids else None)
+                    for cell, value in zip(cells, row):
+                        cell.append(value)
+                ends.append(len(cells[0]))
+            flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cells, parts)], fields=list(parts))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+    # Type hints tell Spark the kind of function, and wrapping keeps them.
+    cut = F.arrow_udf(kind)(giving_back(cut_all, CACHE + "ids_" + tokenizer))
     found = in_small_batches(docs).select(F.col(id_col).alias("doc_id"), F.explode(cut(text_col)).alias("p"))
     columns = ["doc_id", "p.start", "p.length", "p.ids_crc32", "p.doc_tokens"]
     return found.select(*columns, *(["p.ids"] if with_ids else []))
