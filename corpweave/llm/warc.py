@@ -10,8 +10,11 @@ Chunks and the content encodings gzip and deflate are undone before the text is
 digest is that of the body without chunks but as encoded; a stated digest of the body as it stands
 counts as verified, too.
 
-A record that is null, broken, of another encoding or no response with a readable body gives no derivatives but one row
-with ``problem`` set, so nothing is lost in silence. An empty body gives an empty conversion. Repeated
+Pages are read once from front to back, however many of their tags, quotes and comments stay open. An
+encoded body may hold ``MOST_BYTES`` at most, which bounds what a small record can unpack to.
+
+A record that is null, broken, of another encoding, larger than that or no response with a readable body
+gives no derivatives but one row with ``problem`` set, so nothing is lost in silence. An empty body gives an empty conversion. Repeated
 records give repeated derivatives; other columns than the id and the record are ignored.
 """
 
@@ -36,13 +39,20 @@ DATE = "2024-01-01T00:00:00Z"
 FIELDS = ("record_type", "record_id", "refers_to", "concurrent_to", "target_uri", "date", "content_type",
           "content_length", "block_digest", "source_payload_digest", "content", "warc", "problem")
 
-_HIDDEN = re.compile(r"<(script|style|noscript|template|title)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+#: Bytes that an encoded body may hold.
+MOST_BYTES = 1 << 26
+
+_HIDDEN = re.compile(r"<(?:(script|style|noscript|template|title)\b|!--)", re.I)
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "title")}
+_ENDS[""] = re.compile("-->")
 _BLOCK = re.compile(
     r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|td|th|table|h[1-6]|article|section|header|footer|nav|aside"
     r"|blockquote|pre|form|figure|main|body|html|head)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"""<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
+_ANCHOR = re.compile(r"<a\s", re.I)
+_HREF = re.compile(r"href\s*=\s*(?=[^\s>])", re.I)
+_UNQUOTED = re.compile(r"[^\s>]+")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w-]+)", re.I)
 
 
@@ -119,10 +129,13 @@ def without_chunks(body: bytes) -> bytes:
 
 def inflated(body: bytes, kind: int) -> bytes:
     """What gzip (31), zlib (15) or raw deflate (-15) holds, all members of it."""
-    parts = []
+    parts, left = [], MOST_BYTES
     while body:
         member = zlib.decompressobj(kind)
-        parts.append(member.decompress(body))
+        parts.append(member.decompress(body, left + 1))
+        left -= len(parts[-1])
+        if left < 0:
+            raise Broken("encoded body too large")
         if not member.eof:
             raise Broken("encoded body cut short")
         # After the last gzip member other bytes may follow.
@@ -144,9 +157,61 @@ def decoded(body: bytes, encoding: str) -> bytes:
         raise Broken(f"body is not {encoding}") from None
 
 
+def without_hidden(page: str) -> str:
+    """The page without comments and elements that are not shown. One that never ends is kept."""
+    parts, start, at, endless = [], 0, 0, set()
+    while opened := _HIDDEN.search(page, at):
+        at, name = opened.end(), (opened[1] or "").lower()
+        if name in endless:
+            continue
+        if end := _ENDS[name].search(page, at):
+            parts.append(page[start:opened.start()])
+            start = at = end.end()
+        else:
+            endless.add(name)
+    return "".join(parts) + page[start:]
+
+
+def replaced(tag: re.Pattern, by: str, page: str) -> str:
+    """The page with other text for its tags. Behind the last ``>`` no tag ends, so none is looked for."""
+    end = page.rfind(">") + 1
+    return tag.sub(by, page[:end]) + page[end:]
+
+
+def title_of(page: str) -> str | None:
+    if opened := _TITLE.search(page, 0, page.rfind(">") + 1):
+        if end := _ENDS["title"].search(page, opened.end()):
+            return page[opened.end():end.start()]
+    return None
+
+
+def links(page: str) -> Iterator[str]:
+    """The first link of every anchor tag."""
+    at, last, unpaired = 0, len(page), set()
+    while anchor := _ANCHOR.search(page, at):
+        end = page.find(">", anchor.end()) if last else -1
+        if end < 0:
+            end, last = len(page), 0  # nor has any later tag an end
+        found = _HREF.search(page, anchor.end(), end)
+        if not found:
+            at = end
+            continue
+        at, quote = found.end(), page[found.end()]
+        if quote in "\"'" and quote not in unpaired:
+            other = page.find(quote, at + 1)
+            if other >= 0:
+                yield page[at + 1:other]
+                at = other + 1
+                continue
+            unpaired.add(quote)
+        value = _UNQUOTED.match(page, at)
+        yield value[0]
+        at = value.end()
+
+
 def plain_text(page: str) -> str:
     """Text of a page, a line per block element, without hidden parts."""
-    page = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub("", page)))
+    page = replaced(_TAG, "", replaced(_BLOCK, "\n", without_hidden(page)))
     if "&" in page:
         page = html.unescape(page)
     lines = (" ".join(line.split()) for line in page.split("\n"))
@@ -219,9 +284,9 @@ def derive(data: bytes | None) -> list[dict]:
               ("source-block-digest", headers.get("warc-block-digest", "")),
               ("source-charset", charset.lower())]
     if is_html:
-        if title := _TITLE.search(page):
-            fields.append(("title", one_line(html.unescape(title[1]).strip())))
-        fields += [("outlink", one_line(html.unescape(m[1] or m[2] or m[3] or ""))) for m in _LINK.finditer(page)]
+        if (title := title_of(page)) is not None:
+            fields.append(("title", one_line(html.unescape(title).strip())))
+        fields += [("outlink", one_line(html.unescape(link))) for link in links(page)]
     about = "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
     about_digest, text_digest = digest(about), digest(text)
     meta_id, text_id = urn("metadata", source, about_digest), urn("conversion", source, text_digest)
