@@ -41,6 +41,7 @@ def kept_by_worker(key: str, make: Callable):
 
 
 def _trim() -> None:
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library can
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
@@ -67,6 +68,19 @@ def giving_back(task: Callable, keep: str = "") -> Callable:
     return run
 
 
+def giving_back_group(task: Callable) -> Callable:
+    """The same for a function of one whole group."""
+
+    @functools.wraps(task)
+    def run(group):
+        try:
+            return task(group)
+        finally:
+            _trim()
+
+    return run
+
+
 def strings(column: pa.Array) -> list[str]:
     """The texts of a column; null counts as empty."""
     return [x or "" for x in column.to_pylist()]

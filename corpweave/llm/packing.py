@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpweave.llm.arrow import CACHE, giving_back, in_small_batches, kept_by_worker, strings
+from corpweave.llm.arrow import CACHE, giving_back, in_small_batches, kept_by_worker
 from corpweave.llm.token_counts import byte_letters
 from corpweave.operators import lineage
 
@@ -36,7 +36,7 @@ CLOSING_ID = 2
 SEQUENCE = 4096
 #: Tokens of a group on average; a group is what one task packs at a time.
 GROUP_TOKENS = 2_000_000
-#: Words, and pieces of words, whose ids a worker keeps.
+#: Words and pieces of words whose ids a worker keeps.
 MOST_KEPT = 300_000
 
 #: Separators that other string functions take for blanks and the vocabulary does not.
@@ -49,7 +49,7 @@ ASCII_PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+").findall
 
 
 class WordIds(dict):
-    """Ids of a blank-separated word as little-endian 32-bit bytes.
+    """Ids of a blank-separated word, or of a piece of one, as little-endian 32-bit bytes.
 
     Blanks only separate in this vocabulary, so words are encoded apart from one another. Words of
     plain letters, digits and signs are cut into pieces here and only new pieces are merged by the
@@ -58,37 +58,36 @@ class WordIds(dict):
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.pieces: dict[str, bytes] = {}
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def keep(self, word: str, found: bytes) -> bytes:
+        if len(word) < 64:
+            if len(self) >= MOST_KEPT:
+                self.clear()
+            self[word] = found
+        return found
+
     def piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
+        known = self.get(piece)  # a piece has the ids it has as a word of its own
         if known is None:
-            if len(self.pieces) >= MOST_KEPT:
-                self.pieces.clear()
             written = piece  # printable ASCII characters are their own letters
             if not (piece.isascii() and piece.isprintable()):
                 written = piece.encode("utf-8").decode("latin-1").translate(self.letters)
             ids = [t.id for t in self.model.tokenize(written)]
-            known = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            known = self.keep(piece, struct.pack(f"<{len(ids)}I", *ids))
         return known
 
     def __missing__(self, word: str) -> bytes:
         plain = word.isascii()
         if "'" in word or "<|" in word or not plain and max(word) >= PLAIN:
-            found = self.encode(word)
-        elif plain:
-            found = b"".join(map(self.piece, ASCII_PIECES(word.lower())))
-        else:
-            found = b"".join(map(self.piece, PIECES(word.lower())))
-        if len(word) < 64:
-            if len(self) >= MOST_KEPT:
-                self.clear()
-            self[word] = found
-        return found
+            return self.keep(word, self.encode(word))
+        parts = (ASCII_PIECES if plain else PIECES)(word.lower())
+        if parts == [word]:
+            return self.piece(word)
+        return self.keep(word, b"".join(map(self.piece, parts)))
 
     def text(self, text: str) -> bytes:
         if any(c in text for c in NOT_BLANK):
@@ -114,8 +113,8 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = SEQUENCE,
         for column in columns:
             cells: list[list] = [[] for _ in parts]
             ends = [0]
-            for text in strings(column):
-                data = ids.text(text) + closing
+            for text in column:
+                data = ids.text(text.as_py() or "") + closing
                 for at in range(0, len(data), step):
                     piece = data[at:at + step]
                     row = (at // 4, len(piece) // 4, zlib.crc32(piece), len(data) // 4, piece if with_ids else None)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpweave.llm.arrow import giving_back, in_small_batches, utf8
+from corpweave.llm.arrow import giving_back, giving_back_group, in_small_batches, utf8
 from corpweave.llm.words import mix
 from corpweave.operators import lineage
 
@@ -337,7 +337,7 @@ def settle(placed: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("shard", F.when(F.col("split"), F.col("key")).otherwise(F.col("shard")))
     kind = ("key bigint, a bigint, b bigint, ranges array<struct<start:bigint,stop:bigint>>, "
             "marks array<struct<x:bigint,y:bigint,at:bigint>>")
-    compared_ = lineage.cut(dealt.groupBy("split", "shard", "part").applyInPandas(compare, kind))
+    compared_ = lineage.cut(dealt.groupBy("split", "shard", "part").applyInPandas(giving_back_group(compare), kind))
     inside = compared_.where(F.size("ranges") > 0).select("key", "a", "b", "ranges")
     return twice.unionByName(inside).unionByName(across(compared_))
 
