@@ -37,7 +37,7 @@ SEQUENCE = 4096
 #: Tokens of a group on average; a group is what one task packs at a time.
 GROUP_TOKENS = 2_000_000
 #: Words and pieces of words whose ids a worker keeps.
-MOST_KEPT = 300_000
+MOST_KEPT = 500_000
 
 #: Separators that other string functions take for blanks and the vocabulary does not.
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
