@@ -37,7 +37,8 @@ def op2_quality_cnn(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_fm_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    # The operator also lists the spans; a digest of rows holds plain columns only.
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("spans")
 
 
 def op4_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,6 +96,91 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {}
 
+# Every run of words that is as long as some phrase, looked up among the phrases.
+SQL["op3_fm_decontamination"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + 9], ' ') AS p
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), runs AS (
+  SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS p
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM phrases) WHERE len(w) >= k)
+), hits AS (
+  SELECT r, i, k, item_id FROM runs JOIN phrases USING (k, p)
+), covered AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS place FROM hits) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+# All windows of all texts, counted by a 128-bit fingerprint; runs of covered bytes as islands.
+SQL["op6_bwt_repeats"] = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), windows AS (
+  SELECT r, i, md5_number(b[i:i + 399]) AS h
+  FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS i FROM docs WHERE octet_length(b) >= 400)
+), starts AS (
+  SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -400) + 400 AS fresh
+  FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), spans AS (
+  SELECT r, min(i) AS start, max(i) + 400 AS stop
+  FROM (SELECT r, i, count_if(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM starts) GROUP BY r, k
+), gaps AS (
+  SELECT r, coalesce(lag(stop) OVER (PARTITION BY r ORDER BY start), 1) AS start, start AS stop FROM spans
+  UNION ALL
+  SELECT r, coalesce(max(s.stop), 1), max(octet_length(b)) + 1 FROM docs LEFT JOIN spans s USING (r) GROUP BY r
+), kept AS (
+  SELECT r, unhex(string_agg(CASE WHEN stop > start THEN hex(b[start:stop - 1]) ELSE '' END, '' ORDER BY start)) AS b
+  FROM gaps g JOIN docs USING (r) GROUP BY r
+), counted AS (
+  SELECT r, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, octet_length(d.b) AS n_bytes, octet_length(d.b) - octet_length(k.b) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(k.b) AS kept_sha256
+FROM docs d JOIN kept k USING (r) LEFT JOIN counted USING (r)
+"""
+
+# Intersections of full shingle sets by a join on shingles; components by spreading ids.
+SQL["op7_hyperminhash"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS src, b.doc_id AS dst, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT src, dst FROM shared s JOIN sizes a ON a.doc_id = src JOIN sizes b ON b.doc_id = dst
+  WHERE 100 * s.n >= 75 * (a.n + b.n - s.n)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS least FROM docs
+  UNION
+  SELECT l.dst, r.least FROM reach r JOIN links l ON l.src = r.node
+), named AS (
+  SELECT node, min(least) AS component_id FROM reach GROUP BY node
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM docs d LEFT JOIN sizes USING (doc_id) JOIN named ON node = d.doc_id
+"""
+
 # All pairs in SQL: links by the dot product of vectors at length one, components by spreading ids.
 SQL["op10_product_quantisation"] = """
 WITH RECURSIVE v AS (
