@@ -12,6 +12,8 @@ from corpweave.operators.adjudicate import member
 FIELDS = ["corporate_id", "company", "current_date"]
 ITEM_FIELDS = ["date", "title", "url", "corporate_id"]
 ITEM_KEY = ["corporate_id", "url"]
+#: Of items with one key the greatest by these is the newest.
+NEWER_BY = ["current_date", "date", "title", "company"]
 
 # The messages a rejected request gets, in the order they are checked.
 MISSING_ID = "Missing required parameter: corporate_id"
@@ -162,12 +164,15 @@ def refused(entries: DataFrame) -> DataFrame:
     return entries.where(F.col("error").isNotNull()).select("entry", "error")
 
 
+def _age() -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in NEWER_BY])
+
+
 def newest_per_url(items: DataFrame) -> DataFrame:
     """One row per corporate id and url: the one asked for last, then dated last."""
-    rest = ["current_date", "date", "title", "company"]
     return (
         items.groupBy(*ITEM_KEY)
-        .agg(F.max(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_last"))
+        .agg(F.max(_age()).alias("_last"))
         .select(*ITEM_KEY, "_last.*")
         .select(*[f"`{name}`" for name in schemas.NEWS_ITEM.fieldNames()])
     )
@@ -182,6 +187,18 @@ def newer_items(items: DataFrame, table: DataFrame | None) -> DataFrame:
     return newest_per_url(items.unionByName(rivals))
 
 
+def overtaking(items: DataFrame, table: DataFrame | None) -> DataFrame:
+    """The newest of ``items`` per corporate id and url where the table holds none or an older one.
+    What the table has already is left out, so a repeated merge has nothing to write."""
+    newest = newest_per_url(items)
+    if table is None:
+        return newest
+    rivals = newest_per_url(table.join(items.select(*ITEM_KEY).distinct(), ITEM_KEY, "left_semi"))
+    beaten = rivals.select(*ITEM_KEY, _age().alias("_stored"))
+    met = newest.join(beaten, ITEM_KEY, "left")
+    return met.where(F.col("_stored").isNull() | (_age() > F.col("_stored"))).drop("_stored").select(newest.columns)
+
+
 def top_items(items: DataFrame, most: int = settings.NEWS_ITEMS_PER_REQUEST) -> DataFrame:
     """The latest items of each request. Spark limits every group before it shuffles."""
     per_request = Window.partitionBy("corporate_id", F.col("`current_date`")).orderBy(

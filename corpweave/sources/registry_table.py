@@ -111,6 +111,18 @@ def stored(spark: SparkSession, table: str) -> DataFrame | None:
     return spark.table(table) if in_catalog(table) else current(spark, table)
 
 
+def _touched(staged: DataFrame, bucket_by: str) -> list[int]:
+    return sorted(r[0] for r in staged.select(_bucket(bucket_by)).distinct().collect())  # at most TABLE_BUCKETS
+
+
+def stored_near(spark: SparkSession, table: str, staged: DataFrame, bucket_by: str = KEY) -> DataFrame | None:
+    """The stored rows that may share a key with ``staged``: of a folder only the buckets it falls into."""
+    rows = stored(spark, table)
+    if rows is None or in_catalog(table):
+        return rows
+    return spark.read.parquet(table).where(F.col(BUCKET).isin(_touched(staged, bucket_by))).select(*rows.columns)
+
+
 def store(spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str] = (KEY,)) -> None:
     """Upsert by the table's own MERGE, or into the buckets of a folder."""
     (merge_into if in_catalog(table) else upsert)(spark, table, staged, keys)
@@ -135,7 +147,7 @@ def upsert(spark: SparkSession, root: str, staged: DataFrame, keys: Sequence[str
     target = spark.createDataFrame([], staged.schema) if before is None else before
     check_contract(staged, target)
     staged = lineage.cut(staged)
-    touched = sorted(r[0] for r in staged.select(_bucket(bucket_by)).distinct().collect())
+    touched = _touched(staged, bucket_by)
     if not touched:
         return []
     if before is not None:

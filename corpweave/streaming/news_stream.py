@@ -1,13 +1,32 @@
-"""Result files that arrive during the day, merged into the news table as they come."""
+"""Result files that arrive during the day, merged into the news table as they come.
+
+The stream keeps the newest item of every corporate id and url as keyed state, and only items newer
+than that go on to the table. So what arrives late or again costs no read and no write of the table.
+The table still has the last word: of what goes on, only what is newer than the stored row is
+written, so a progress folder may be lost and other writers may come in between.
+
+State does not expire by the clock: a query with expiry never runs out of batches, and this one ends
+when it has read everything. It is as large as the keys and dates of the table and lies on disk.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Iterator
+from typing import Any
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from corpweave.operators import news
+from corpweave import schemas
+from corpweave.operators import lineage, news
 from corpweave.sources import registry_table
 
+#: Keyed state needs this store, which holds it on disk.
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def news_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """A stream of JSON documents, one per line, from the files of a folder."""
@@ -17,30 +36,67 @@ def news_lines(spark: SparkSession, folder: str, files_per_batch: int | None = N
     return reader.load(folder)
 
 
+def newest_so_far(items: DataFrame) -> DataFrame:
+    """Of a stream of items those newer than all items of their corporate id and url before, at most
+    one of each key in a batch."""
+    names, key_names, newer_by = items.columns, list(news.ITEM_KEY), list(news.NEWER_BY)
+    kept = T.StructType([items.schema[name] for name in newer_by])
+
+    # Inside, so that it travels to the workers by value.
+    class Newest(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.newest = handle.getValueState("newest", kept)
+
+        def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+            age = lambda values: [(v is not None, v) for v in values]
+            last = max((tuple(row[name] for name in newer_by) for row in rows), key=age)
+            if not self.newest.exists() or age(last) > age(self.newest.get()):
+                self.newest.update(last)
+                item = dict(zip(newer_by, last)) | dict(zip(key_names, key))
+                yield Row(**{name: item[name] for name in names})
+
+        def close(self) -> None:
+            pass
+
+    return items.groupBy(*key_names).transformWithState(Newest(), items.schema, "Update", "None")
+
+
 def merge_batch(batch: DataFrame, table: str, quarantine: str, batch_id: int) -> None:
-    """Upsert the accepted items of one batch and store what was refused.
+    """Upsert the items of one batch, those without ``error``, and store what was refused.
 
     Both writes give the same result when a batch is replayed after a failure: the upsert is keyed
     and the refused rows replace those of the same batch.
     """
     spark = batch.sparkSession
-    entries = news.read_news(batch)
-    items = news.newer_items(news.accepted(entries), registry_table.stored(spark, table))
-    registry_table.store(spark, table, items, news.ITEM_KEY)
-    news.refused(entries).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+    batch = lineage.cut(batch)
+    items = news.accepted(batch)
+    if items.head(1):
+        near = registry_table.stored_near(spark, table, items, news.ITEM_KEY[0])
+        registry_table.store(spark, table, news.overtaking(items, near), news.ITEM_KEY)
+    news.refused(batch).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
 
 
 def start(lines: DataFrame, table: str, quarantine: str, progress: str) -> StreamingQuery:
     """Process everything available and stop; run it on a schedule or from a trigger.
 
-    ``progress`` is the stream's checkpoint folder. No watermark is needed: the table itself is the
-    state.
+    ``progress`` is the stream's checkpoint folder, which holds the state too. No watermark is needed.
     """
-    return (
-        lines.writeStream.foreachBatch(
-            lambda batch, batch_id: merge_batch(batch, table, quarantine, batch_id)
+    entries = news.read_news(lines)
+    items = newest_so_far(news.accepted(entries)).withColumns({c: F.lit(None).cast("string") for c in ("entry", "error")})
+    refused = news.refused(entries).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.NEWS_ITEM], "entry", "error")
+    spark = lines.sparkSession
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKSDB)
+    try:
+        return (
+            items.unionByName(refused).writeStream.outputMode("update").foreachBatch(
+                lambda batch, batch_id: merge_batch(batch, table, quarantine, batch_id)
+            )
+            .option("checkpointLocation", progress)
+            .trigger(availableNow=True)
+            .start()
         )
-        .option("checkpointLocation", progress)
-        .trigger(availableNow=True)
-        .start()
-    )
+    finally:
+        # The query has taken its settings with it.
+        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
