@@ -7,9 +7,12 @@ import contextlib
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: The folder of every stored frame that is still in use, and all folders not yet deleted.
 _FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 _MADE: dict[str, SparkSession] = {}
@@ -34,13 +37,30 @@ def new_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Whatever runs inside deletes its shuffle files when it is through, instead of leaving them on the
+    executors' disks until the driver collects garbage. For jobs whose result is stored; files lost
+    while a job runs are made again as ever."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, True)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
+def cut(df: DataFrame, *partition_by: str, **options: int) -> DataFrame:
     """Store ``df`` in the shared folder and read it back.
 
     Unlike a plain checkpoint the stored copy has a known size, which later joins are planned by.
     """
     folder = new_folder(df.sparkSession)
-    df.write.parquet(folder)
+    with freed_shuffles(df.sparkSession):
+        df.write.options(**options).parquet(folder, partitionBy=list(partition_by) or None)
     stored = df.sparkSession.read.schema(df.schema).parquet(folder)
     _FOLDERS[stored] = folder
     return stored
