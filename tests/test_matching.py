@@ -170,3 +170,24 @@ def test_block_load(spark):
     assert rows(got) == [
         ("abc", 3, 2, 1, 1, "3"), ("q", 0, 0, 1, 1, "0"), ("xyz", 1, 1, 0, 0, "0")
     ]
+
+
+@pytest.mark.parametrize("rule", [MatchRule(), MatchRule(min_confidence=0.6)])
+def test_no_joined_side_is_broadcast_for_its_small_files(spark, tmp_path, rule):
+    """Files say little about the size of what is made of their rows."""
+    left, right = (frame(spark, some_records(seed, 300, some_names(5, 80, "abc", 9)), s) for seed, s in ((1, "l"), (2, "r")))
+    for side, name in ((left, "l"), (right, "r")):
+        side.write.parquet(f"{tmp_path}/{name}")
+    stored = [spark.read.parquet(f"{tmp_path}/{name}") for name in "lr"]
+    pairs = matching.match_records(*stored, rule)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert all("LeftSemi" in line for line in joins)  # counted to be few
+    assert rows(pairs) == rows(matching.match_records(left, right, rule))
+
+
+def test_one_edit_of_characters_beyond_the_first_plane(spark):
+    left = ["abc😀x", "abc😁x", "abcx", "abc", "ab", ""]
+    right = ["abc😁x", "abc😀😀x", "abcy", "abc\x00", "abc😀", "a", "ab", ""]
+    got = matching.name_pairs(*(spark.createDataFrame([(n,) for n in x], "name string") for x in (left, right)), 1)
+    assert rows(got) == sorted(brute.name_pairs(left, right, 1), key=repr)
