@@ -62,3 +62,12 @@ def test_overtaking_leaves_out_what_is_stored(spark):
     assert found.columns == came.columns
     assert rows(news.overtaking(came, None).select("url", "title")) == [("u", "a"), ("v", "c"), ("w", "y")]
     assert news.overtaking(came, came).collect() == []
+
+
+def test_state_needs_no_python(spark, tmp_path):
+    """Items of many keys would cross to Python one by one."""
+    (tmp_path / "in").mkdir()
+    lines = news_stream.news_lines(spark, str(tmp_path / "in"))
+    items = news_stream.newest_so_far(news.accepted(news.read_news(lines)))
+    plan = items._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
