@@ -131,8 +131,12 @@ def unasked(pairs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 NAMES = ["left_company_name", "right_company_name"]
-#: Name pairs that are asked about by one job, and lost at most when it fails.
+#: Name pairs that are asked about by one job, and lost at most when it fails; more where it would take
+#: more than ``ROUNDS`` jobs.
 PORTION = 20_000
+#: Jobs that ask, at most. Each leaves the driver its plan and costs a start, so that their number may not
+#: grow with the pairs.
+ROUNDS = 50
 
 
 def name_tag() -> Column:
@@ -153,15 +157,17 @@ def ask_once(pairs: DataFrame, scorer: Callable[[str], str], ledger: str, batch:
     an earlier one.
 
     Pairs that the ledger holds are not asked again. The rest is asked in portions of about
-    ``portion`` pairs, and each portion's responses are appended to the ledger before the next one
-    begins, so a run that dies loses one portion at most and a restart asks only for the rest. A
-    request that was answered counts as asked, whatever the answer holds. One run at a time.
+    ``portion`` pairs, or of a share of 1 in ``ROUNDS`` where that is more, and each portion's responses
+    are appended to the ledger before the next one begins, so a run that dies loses one portion at most and
+    a restart asks only for the rest. A request that was answered counts as asked, whatever the answer
+    holds. One run at a time.
     """
     spark = pairs.sparkSession
     tagged = pairs.select(*NAMES).distinct().select(name_tag().alias("tag"), *NAMES)
     asked = ledger_of(spark, ledger).select(F.explode("tags").alias("tag"))
     rest = lineage.cut(tagged.join(asked, "tag", "left_anti"))
-    portions = -(-rest.count() // portion)
+    count = rest.count()
+    portions = min(-(-count // portion), ROUNDS)
     # Dealt into folders, so that a portion reads its own pairs only.
     folder = lineage.new_folder(spark)
     dealt = rest.withColumn("portion", F.pmod(F.xxhash64("tag"), F.lit(max(portions, 1))).cast("int"))
@@ -175,9 +181,10 @@ def ask_once(pairs: DataFrame, scorer: Callable[[str], str], ledger: str, batch:
                 response = scorer(json.dumps({"pairs": records}))
                 yield pd.DataFrame({"tags": [part["tag"].tolist()], "response": [response]}, dtype="object")
 
+    stored = spark.read.schema(dealt.schema).parquet(folder)  # its files are listed once
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, -(-count // max(portions * batch, 1))))
     for number in range(portions):
-        part = spark.read.schema(dealt.schema).parquet(folder).where(F.col("portion") == number).drop("portion")
-        part = part.repartition(max(1, min(spark.sparkContext.defaultParallelism, -(-portion // batch))))
+        part = stored.where(F.col("portion") == number).drop("portion").repartition(tasks)
         part.mapInPandas(respond, LEDGER).write.mode("append").parquet(ledger)
     return ledger_of(spark, ledger)
 

@@ -66,3 +66,13 @@ def test_null_and_empty_names_have_tags_of_their_own(spark, tmp_path):
 
 def test_nothing_to_ask(spark, tmp_path):
     assert rows(adjudicate.adjudicate_names(pairs_of(spark, 1).limit(0), scorer_into(tmp_path), ledger=str(tmp_path / "l"))) == []
+
+
+def test_the_number_of_jobs_that_ask_is_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adjudicate, "ROUNDS", 4, raising=False)
+    folder, ledger, at = tmp_path / "asked", str(tmp_path / "ledger"), tmp_path / "kept"
+    folder.mkdir()
+    monkeypatch.setattr(adjudicate.lineage, "new_folder", lambda _: f"{at}/{len(list(at.glob('*')))}")
+    adjudicate.ask_once(pairs_of(spark, 40), scorer_into(folder), ledger, batch=1, portion=1)
+    assert len(set(at.glob("*/portion=*"))) <= 4
+    assert asked(folder) == sorted(f"name {i}" for i in range(40))
