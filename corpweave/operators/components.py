@@ -30,9 +30,11 @@ def edges(matches: DataFrame) -> DataFrame:
     return matches.select(F.col("left_id").alias("src"), F.col("right_id").alias("dst"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, merge: bool = False) -> DataFrame:
     """(id, component) of every node with a link, component being the least id reached.
 
+    With ``merge`` no side of a round is broadcast, for ids whose stored files are small for their rows.
+
     Alternating large-star and small-star rounds (Kiveris et al., "Connected Components in
     MapReduce and Beyond", 2014). A link is kept as greater id -> lesser id. Every half round is
     stored and the one before it deleted, so no more than two are there at a time; the loop ends when a round changes nothing, after a number of rounds that grows with the
@@ -48,7 +50,7 @@ def components(links: DataFrame) -> DataFrame:
             # Stored, so that it joins as it is: adaptive execution splits the links of a hot node
             # only where no aggregate stands between the shuffle and the join.
             least = lineage.cut(stars.groupBy("src").agg(F.min("dst").alias("least")))
-            moved = lineage.cut(star(stars, least))
+            moved = lineage.cut(star(stars.hint("merge") if merge else stars, least))
             lineage.discard(stars, least)
             stars = moved
         previous, state = state, _fingerprint(stars)
@@ -59,6 +61,23 @@ def components(links: DataFrame) -> DataFrame:
             )
 
 
+def numbered_components(links: DataFrame) -> DataFrame:
+    """``components`` of long ids: these are numbered in their order, and the loop sends and stores the
+    numbers only. ``links`` is read several times."""
+    ids = links.where(F.col("src") != F.col("dst")).select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    # Partitions are in order, too, and the numbers of one are above those of all before it.
+    ranged = ids.repartitionByRange("id").sortWithinPartitions("id")
+    numbers = lineage.cut(ranged.withColumn("number", F.monotonically_increasing_id()))
+
+    def known(number: str, name: str) -> DataFrame:
+        return numbers.select(F.col("number").alias(number), F.col("id").alias(name))
+
+    ends = links.hint("merge").join(known("from", "src"), "src").hint("merge").join(known("to", "dst"), "dst")
+    found = components(ends.select(F.col("from").alias("src"), F.col("to").alias("dst")), merge=True)
+    named = found.withColumnsRenamed({"id": "from", "component": "to"}).hint("merge").join(known("from", "id"), "from")
+    return named.hint("merge").join(known("to", "component"), "to").select("id", "component")
+
+
 def _fingerprint(links: DataFrame) -> tuple:
     return tuple(
         links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("src", "dst"))).first()
@@ -151,7 +170,7 @@ def name_labels(left: DataFrame, right: DataFrame, rule: MatchRule) -> tuple[Dat
     pairs = lineage.cut(pairs.select("left_name", "right_name", "left_end", "right_end"))
     if reach:
         ends = pairs.selectExpr("left_end AS src", "right_end AS dst")
-        found = components(ends).withColumnRenamed("id", "left_end")
+        found = numbered_components(ends).withColumnRenamed("id", "left_end")
         pairs = pairs.join(found, "left_end")
     else:
         pairs = pairs.selectExpr("*", "least(left_end, right_end) AS component")

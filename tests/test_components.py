@@ -173,3 +173,27 @@ def test_extended_ids_loop_only_over_touched_entities(spark, monkeypatch):
     monkeypatch.setattr(components, "components", lambda links: seen.append(links.count()) or loop(links))
     components.extended_ids(ids, spark.createDataFrame([(node(3), node(77)), (node(60), node(2))], LINKS)).count()
     assert seen == [2]
+
+
+def test_the_loop_carries_numbers_in_the_order_of_the_ids(spark, monkeypatch):
+    kinds = set()
+    large_star = components._large_star
+
+    def noted(links, least):
+        kinds.update(f.dataType.simpleString() for f in links.schema)
+        return large_star(links, least)
+
+    monkeypatch.setattr(components, "_large_star", noted)
+    ids = ["", "Z", "a", "aa", "é", "\U0001f600", "～", "10", "9"]
+    # The order of UTF-8 bytes, which is that of code points.
+    links = [(a, b) for a, b in zip(ids[:5], ids[1:5])] + [("\U0001f600", "～"), ("9", "10"), (None, "a"), ("9", None)]
+    found = components.numbered_components(spark.createDataFrame(links, LINKS))
+    assert found.columns == ["id", "component"] and kinds == {"bigint"}
+    assert rows(found) == rows(spark.createDataFrame(
+        [(i, "") for i in ids[:5]] + [("\U0001f600", "～"), ("～", "～"), ("9", "10"), ("10", "10")], "a string, b string"))
+    kinds.clear()
+    left, right = frame(spark, [("1", "abcde"), ("3", "xyz")], "l"), frame(spark, [("2", "abcdf"), ("4", "abcdef")], "r")
+    sides = components.link_by_name(left, right, MatchRule(min_confidence=0.60))
+    cells = ["record_id", "corporate_id", "linked"]
+    assert kinds == {"bigint"} and [rows(s.select(cells)) for s in sides] == [
+        [("1", "1", True), ("3", "3", False)], [("2", "1", True), ("4", "1", True)]]
