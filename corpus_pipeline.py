@@ -16,6 +16,9 @@ from corpweave.operators import lineage
 # Executors may not have the package on their path.
 cloudpickle.register_pickle_by_value(corpweave)
 
+#: Passages of over 50 words count as repeated, down to four bytes a word with its space.
+REPEATED_BYTES = 200
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier accepts. It is trained on the labelled ones among its input."""
@@ -29,8 +32,8 @@ def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the strings of 400 bytes that occur more than once."""
-    return repeats.cleaned(docs)
+    """All documents, without the strings of ``REPEATED_BYTES`` bytes that occur more than once."""
+    return repeats.cleaned(docs, length=REPEATED_BYTES)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
