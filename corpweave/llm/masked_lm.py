@@ -23,7 +23,9 @@ depend on the rows and not on files or partitions. What reaches the driver is on
 one set of weights a round.
 
 Texts are dealt to parts of about ``PART_BYTES`` by a hash of the row; small parts share a block of
-about that size. Once per block the words of its texts and the ways to them are stored, in one row.
+about that size. Once per block the words of its texts and the ways to them are stored, in one row. Ways
+travel to a block with many words to a row, and the blocks of one round are stored before those of the
+next, so that the texts and ways of one round are all that is shuffled at a time.
 Ways of the most frequent words, at most ``FREQUENT``, are not shuffled but broadcast. A null or
 wordless text has no tokens, score 0 and no mean. Rows are scored one by one, repeated rows get equal
 scores; other columns than the id and the text are ignored. Without any word in the corpus nothing is
@@ -32,6 +34,7 @@ trained.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -64,7 +67,8 @@ ROUNDS = 4
 CHUNK = 1 << 14  # weights of a row when they are averaged
 PART_BYTES = 1 << 23
 SMALL_PART_BYTES = 1 << 17
-FILE_BLOCKS = 8
+FILE_BLOCKS = 1  # so that a round's blocks spread over its tasks
+PACKED_WORDS = 1 << 18  # words whose ways a task packs at a time
 FREQUENT = 1 << 17  # words whose ways every task holds, some 60 bytes each
 SMALL_PARTS = 64  # small corpora have parts below PART_BYTES, up to so many
 
@@ -74,7 +78,7 @@ SHAPES = {"words": (VOCABULARY + 1, DEPTH), "hidden": (2 * SIDE * DEPTH, HIDDEN)
 
 TEXT_TYPES = {"parts": np.int32, "sizes": np.int64, "rows": np.int32}
 WAY_TYPES = {"word": np.int64, "depth": np.int16, "turns": np.int16, "odds": np.float32, "alike": np.int32, "place": np.int32}
-
+PER_TURN = ("turns", "odds")  # the others have one value per word
 BLOCK_TYPES = TEXT_TYPES | WAY_TYPES
 
 
@@ -246,15 +250,60 @@ def entries(words: DataFrame, ways: DataFrame) -> DataFrame:
     return words.select("home", "word").join(ways.drop("n"), "word", "left")
 
 
-def listed_ways(listed: pa.Table) -> dict[str, np.ndarray]:
-    """What ``as_ways`` takes, of the words in order; a word that the corpus does not hold has depth -1."""
-    listed = listed.sort_by("word")
+def way_columns(listed: pa.Table) -> dict[str, np.ndarray]:
+    """What ``as_ways`` takes, of the words as they come; a word that the corpus does not hold has depth -1."""
     turns, odds = (listed[c].combine_chunks() for c in ("turns", "odds"))
     found = {"word": listed["word"], "depth": pc.list_value_length(turns).fill_null(-1), "turns": turns.flatten(),
              "odds": odds.flatten(), **{c: listed[c].fill_null(0) for c in ("alike", "place")}}
     return {c: x.to_numpy().astype(WAY_TYPES[c]) for c, x in found.items()}
 
 
+def listed_ways(listed: pa.Table) -> dict[str, np.ndarray]:
+    """The same of the words in order."""
+    return way_columns(listed.sort_by("word"))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Tables of about ``most`` rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= most:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def binaries(x: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of ``x`` between neighbouring ends."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+        None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(home, a binary column for each of ``WAY_TYPES``): ``entries`` with many words of a block in a row."""
+    for table in gathered(batches, PACKED_WORDS):
+        table = table.sort_by("home")
+        home, found = table["home"].to_numpy(), way_columns(table)
+        first = np.flatnonzero(np.append(True, home[1:] != home[:-1]))
+        ends = np.append(first, len(home))
+        turn_ends = np.concatenate([[0], np.cumsum(np.maximum(found["depth"], 0), dtype=np.int64)])[ends]
+        yield from pa.table({"home": home[first]} | {
+            c: binaries(x, turn_ends if c in PER_TURN else ends) for c, x in found.items()}).to_batches()
+
+
+def unpacked(rows: pa.Table) -> dict[str, np.ndarray]:
+    """What ``listed_ways`` gives, of all words of a block's rows."""
+    found = {c: np.frombuffer(b"".join(rows[c].to_pylist()), t) for c, t in WAY_TYPES.items()}
+    order, size = np.argsort(found["word"]), np.maximum(found["depth"], 0).astype(np.int64)
+    first = (np.cumsum(size) - size)[order]
+    size = size[order]
+    at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+    return {c: x[at] if c in PER_TURN else x[order] for c, x in found.items()}
+
+
 def as_ways(word: np.ndarray, depth: np.ndarray, turns: np.ndarray, odds: np.ndarray, alike: np.ndarray,
             place: np.ndarray) -> Ways:
     """Whole ways: the turns given, then those among words of one count."""
@@ -282,15 +331,15 @@ def as_ways(word: np.ndarray, depth: np.ndarray, turns: np.ndarray, odds: np.nda
 
 
 def blocks_of(parts: DataFrame, words: DataFrame, ways: DataFrame, frequent: Broadcast) -> DataFrame:
-    """A row per block, stored: the words of its texts and the ways to those that are not frequent, so that
-    training and scoring shuffle neither."""
+    """A row per block, stored round by round: the words of its texts and the ways to those that are not
+    frequent, so that training and scoring shuffle neither."""
 
     def join(texts: pa.Table, listed: pa.Table) -> pa.Table:
         # Texts come in any order from a shuffle.
         texts = texts.sort_by([(c, "ascending") for c in ("part", "doc_id", "text")])
         hashes, sizes = words_in(texts)
         word, rows = np.unique(hashes, return_inverse=True)
-        ids, found = texts["doc_id"].combine_chunks(), listed_ways(listed)
+        ids, found = texts["doc_id"].combine_chunks(), unpacked(listed)
         made = dict(zip(TEXT_TYPES, (texts["part"].to_numpy(), sizes, rows))) | found | {"word": word}
         return pa.table({
             "block": texts["block"].slice(0, 1), "doc_id": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
@@ -298,16 +347,19 @@ def blocks_of(parts: DataFrame, words: DataFrame, ways: DataFrame, frequent: Bro
 
     often = parts.sparkSession.createDataFrame(pa.table({"word": frequent.value["word"]}))
     rare = words.join(F.broadcast(often), "word", "left_anti")  # bounded by FREQUENT
-    listed = lineage.cut(entries(rare, ways), compression="zstd")
+    few = entries(rare, ways).mapInArrow(packed, "home int, " + ", ".join(f"{c} binary" for c in WAY_TYPES))
+    listed = lineage.cut(few.withColumn("turn", F.col("home") % ROUNDS), "turn", compression="zstd")
     lineage.discard(words)
     shape = T.StructType([
         T.StructField("block", T.IntegerType()), T.StructField("doc_id", T.ArrayType(parts.schema["doc_id"].dataType)),
         *(T.StructField(c, T.BinaryType()) for c in BLOCK_TYPES)])
-    joined = parts.groupBy("block").cogroup(listed.groupBy("home")).applyInArrow(join, shape)
-    joined = joined.withColumn("turn", F.col("block") % ROUNDS)
-    stored = lineage.cut(joined, "turn", maxRecordsPerFile=FILE_BLOCKS, compression="zstd")
+    stored = []
+    for turn in range(ROUNDS):
+        texts, own = parts.where(F.col("block") % ROUNDS == turn), listed.where(F.col("turn") == turn).drop("turn")
+        joined = texts.groupBy("block").cogroup(own.groupBy("home")).applyInArrow(join, shape)
+        stored.append(lineage.cut(joined, maxRecordsPerFile=FILE_BLOCKS, compression="zstd").withColumn("turn", F.lit(turn)))
     lineage.discard(listed)
-    return stored
+    return functools.reduce(DataFrame.unionByName, stored)
 
 
 def all_ways(word: np.ndarray, frequent: dict[str, np.ndarray], depth: np.ndarray, turns: np.ndarray, odds: np.ndarray,
