@@ -11,6 +11,9 @@ equal. Which of both holds is known from the place of the edit, so every neighbo
 words that merely share a reduced form do not meet. A word's neighbourhood is made a piece at a time and
 shipped as 64-bit hashes, so a very long word costs time in proportion to its length and bounded memory.
 
+Joins are hinted to be merged: Spark sizes neighbours, over a hundred a word, by the words' compressed files
+and would broadcast them, through the driver.
+
 Words come from maximal runs of ``[A-Za-z\\u00C0-\\u00FF]``, A-Z as a-z. Where 199 divides the unsigned
 crc32 h of ``<doc_id>:<run>`` (a null id is empty), the letter at h % length is left out of the run.
 What has at least six letters and five occurrences is a word. Its form is the most frequent word one
@@ -215,10 +218,10 @@ def near_words(words: DataFrame) -> DataFrame:
     """(id, near_id, near, near_n): both directions of every two words one edit apart."""
     made = words.select("id", "word").mapInArrow(giving_back(_neighbour_rows), "key bigint, id bigint")
     there = words.mapInArrow(giving_back(_vocabulary_rows), "key bigint, near_id bigint, near string, near_n bigint, head boolean")
-    candidates = made.join(there, "key").where("id <> near_id").drop("key")
+    candidates = made.hint("merge").join(there, "key").where("id <> near_id").drop("key")
     # A pair with equal heads is found by these; it may be found by its tails as well.
     head = f"substring(%s, 1, {SIDE})"
-    return candidates.join(words.select("id", "word"), "id").where(
+    return candidates.hint("merge").join(words.select("id", "word"), "id").where(
         f"levenshtein(word, near, 1) = 1 AND head = ({head % 'word'} = {head % 'near'})"
     ).select("id", "near_id", "near", "near_n")
 
@@ -233,7 +236,7 @@ def roots(forms: DataFrame, most: int) -> DataFrame:
     found = forms.selectExpr("id", "form_id AS up", "form AS root")
     for _ in range(max(1, math.ceil(math.log2(steps)))):
         further = found.selectExpr("id AS up", "up AS next", "root AS next_root")
-        found = found.join(further, "up", "left").selectExpr(
+        found = found.hint("merge").join(further, "up", "left").selectExpr(
             "id", "coalesce(next, up) AS up", "coalesce(next_root, root) AS root")
     return found.select("id", "root")
 
@@ -244,10 +247,10 @@ def variants(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words = lineage.cut(counted.withColumn("id", F.monotonically_increasing_id()))
     near = near_words(words).groupBy("id").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("rank"), "near", "near_id")).alias("best"))
-    known = lineage.cut(words.join(near, "id", "left").selectExpr(
+    known = lineage.cut(words.hint("merge").join(near, "id", "left").selectExpr(
         "*", f"coalesce(-best.rank >= {TIMES} * n, false) AS follows").selectExpr(
         "id", "word", "n", "coalesce(n_near, 0L) AS n_near", "if(follows, best.near, NULL) AS form",
         "if(follows, -best.rank, NULL) AS form_n", "if(follows, best.near_id, NULL) AS form_id"))
     most = known.agg(F.max("n")).first()[0] or 1
-    return known.join(roots(known.where("form_id IS NOT NULL"), most), "id", "left").selectExpr(
+    return known.hint("merge").join(roots(known.where("form_id IS NOT NULL"), most), "id", "left").selectExpr(
         "word", "form", "coalesce(root, word) AS root", "n", "n_near", "form_n")

@@ -114,3 +114,15 @@ def test_words_of_the_sample(spark):
     assert some
     for r in some:
         assert r["n_near"] == sum(near(r["word"], x) for x in n)
+
+
+def test_no_joined_side_is_broadcast_for_its_small_files(spark, tmp_path):
+    """Files say little about the size of what is made of their words."""
+    words = [(i, "abcdef" + "ghij"[i % 4] * (i // 4 + 1), 5 * 6 ** (i % 4), (i + 1 if i % 4 < 3 else None)) for i in range(40)]
+    spark.createDataFrame(words, "id bigint, word string, n bigint, form_id bigint").write.parquet(f"{tmp_path}/words")
+    stored = spark.read.parquet(f"{tmp_path}/words")
+    docs = spark.createDataFrame([(i, f"{w} " * n) for i, w, n, _ in words], "doc_id bigint, text string")
+    forms = stored.where("form_id IS NOT NULL").selectExpr("id", "form_id", "word AS form")
+    for made in (s.near_words(stored.select("id", "word", "n")), s.roots(forms, 1000), s.variants(docs)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
