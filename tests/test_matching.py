@@ -191,3 +191,21 @@ def test_one_edit_of_characters_beyond_the_first_plane(spark):
     right = ["abc😁x", "abc😀😀x", "abcy", "abc\x00", "abc😀", "a", "ab", ""]
     got = matching.name_pairs(*(spark.createDataFrame([(n,) for n in x], "name string") for x in (left, right)), 1)
     assert rows(got) == sorted(brute.name_pairs(left, right, 1), key=repr)
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_names_of_the_tree_do_not_meet_on_pieces_as_well(spark, monkeypatch, few):
+    """They share many pieces that are not crowded, and the tree tells their pairs already."""
+    given, meet = [], matching._meet
+    monkeypatch.setattr(matching, "_meet", lambda *keys: given.append([k.count() for k in keys]) or meet(*keys))
+    monkeypatch.setattr(matching, "CROWDED_PAIRS", 1000)
+    monkeypatch.setattr(matching, "FEW", few)
+    left, right = [f"company {i:04d}" for i in range(0, 300, 3)], [f"company {i:04d}" for i in range(0, 300, 4)]
+    apart = [["comet ab", "xylophone", "compound 01"], ["xylphone", "comet b", "compund 01", "common"]]
+    for more in ([[], []], apart):
+        lefts, rights = left + more[0], right + more[1]
+        got = matching.name_pairs(*(spark.createDataFrame([(n,) for n in x], "name string") for x in (lefts, rights)), 2)
+        assert rows(got) == sorted(brute.name_pairs(lefts, rights, 2), key=repr)
+    assert few == 0 or given[0] == [0, 0] and all(0 < n < 100 for n in given[1])
+    pairs = meet(*(spark.createDataFrame([(1, n, n != "c") for n in x], "key bigint, name string, in_tree boolean") for x in ("abc", "bc")))
+    assert rows(pairs) == [("a", "c"), ("b", "c"), ("c", "b"), ("c", "c")]
